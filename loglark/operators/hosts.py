@@ -1,0 +1,50 @@
+"""Distinct host lists that stay bounded however many hosts a group has.
+
+A busy resource or hour can hold a third of all rows, so its host list must
+not be built in one task or one row. Lists are cut into parts by a hash of the
+host. The number of parts follows from the exact distinct count, so a group
+with up to ``HOSTS_PER_PART`` hosts is one row, and a larger one is as many
+rows as needed, numbered in ``hosts_part`` from 1. Together the parts hold
+every host once.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HOSTS_PER_PART = 100_000
+
+
+def attach_hosts(
+    summary: DataFrame,
+    pairs: DataFrame,
+    keys: Sequence[str],
+    count_col: str,
+    hosts_per_part: int = HOSTS_PER_PART,
+) -> DataFrame:
+    """Rows of ``summary`` that have hosts, with ``hosts_part`` and a sorted ``hosts_list``.
+
+    ``pairs`` holds distinct (keys, host) rows, ``summary`` one row per key with the
+    number of hosts in ``count_col``. The join is inner so that AQE may split a hot
+    key on the ``pairs`` side; the grouping after it is by part, not by key.
+    """
+    parts = F.ceil(F.col(count_col) / hosts_per_part)
+    part = (F.pmod(F.xxhash64("host"), parts) + 1).cast("int")
+    joined = pairs.select(*keys, "host").join(summary, list(keys))
+    return (
+        joined.withColumn("hosts_part", part)
+        .groupBy(*summary.columns, "hosts_part")
+        .agg(F.array_sort(F.collect_list("host")).alias("hosts_list"))
+    )
+
+
+def without_hosts(summary: DataFrame, count_col: str) -> DataFrame:
+    """Rows of ``summary`` with no host at all, as one part with an empty list."""
+    return (
+        summary.where(F.col(count_col) == 0)
+        .withColumn("hosts_part", F.lit(1))
+        .withColumn("hosts_list", F.array().cast("array<string>"))
+    )
