@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglark.functions.parsing import parse_logs, valid_logs
+from loglark.functions.parsing import count_quality, parse_logs
 from loglark.operators.traffic import daily_traffic, hourly_errors, top_resources
-from loglark.sources.tables import to_table
+from loglark.session import new_folder
+from loglark.sources.tables import read_metadata, read_parsed, write_parsed, write_results
 
 BATCH_LINES = 2500
 
@@ -59,8 +60,22 @@ def all_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_logs(batched_log(spark, sf_dir))
 
 
+_INGESTED: dict[tuple[str, str], str] = {}
+
+
+def ingest(spark: SparkSession, sf_dir: str) -> str:
+    """Parse the whole log once per application; the queries on parsed rows share the table."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INGESTED:
+        path = new_folder(spark, "parsed")
+        write_parsed(all_parsed(spark, sf_dir), path)
+        _INGESTED[key] = path
+    return _INGESTED[key]
+
+
 def parsed(spark: SparkSession, sf_dir: str, size: int = BATCH_LINES) -> DataFrame:
-    return valid_logs(batched_log(spark, sf_dir, size), keep=("event_id", "batch_no"))
+    rows = read_parsed(spark, ingest(spark, sf_dir), keep="event_id bigint, batch_no int")
+    return rows if size == BATCH_LINES else rows.withColumn("batch_no", batch_no(size))
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,31 +135,26 @@ def timings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compared_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Three runs over the log: the baseline, one with other batches, and one like the baseline."""
-    lines = batched_log(spark, sf_dir)
-    seen = parse_logs(lines).agg(
-        F.count(F.lit(1)).alias("total_record_count"),
-        F.count_if(~F.col("is_valid")).alias("total_malformed_record_count"),
-    )
-    run = F.explode(F.expr("array(1L, 2L, 3L)"))
-    found = {
-        "runs": seen.select("*", run.alias("run_id")).selectExpr(
-            "run_id",
-            "element_at(array('mr', 'pig', 'hive'), cast(run_id as int)) as pipeline_name",
-            "'web_log' as dataset_name",
-            "cast(run_id as double) as total_runtime",
-            "total_record_count",
-            "total_malformed_record_count",
-            "make_timestamp(2024, 1, 1, 0, 0, run_id) as execution_timestamp",
-        )
-    }
-    queries = {"daily": daily_traffic, "top": top_resources, "hours": hourly_errors}
-    names = {"daily": "daily_traffic", "top": "top_resources", "hours": "hourly_errors"}
-    for key, query in queries.items():
-        small = query(parsed(spark, sf_dir), by=("batch_no",))
-        large = query(parsed(spark, sf_dir, 2 * BATCH_LINES), by=("batch_no",))
-        both = small.withColumn("run_id", F.explode(F.array(F.lit(1), F.lit(3)))).unionByName(
-            large.withColumn("run_id", F.lit(2))
-        )
-        found[key] = to_table(both.withColumn("load_id", F.lit(0)), names[key])
+    """Stored results of three runs over the log: a baseline, one with other batches, a copy."""
+    root = new_folder(spark, "compared")
+    for run_id, size in ((1, BATCH_LINES), (2, 2 * BATCH_LINES), (3, BATCH_LINES)):
+        rows = parsed(spark, sf_dir, size)
+        for name, query in (
+            ("daily_traffic", daily_traffic),
+            ("top_resources", top_resources),
+            ("hourly_errors", hourly_errors),
+        ):
+            write_results(query(rows, by=("batch_no",)), root, name, run_id, load_id=0)
+    seen = count_quality(all_parsed(spark, sf_dir), by=())
+    found = {"runs": seen.withColumn("run_id", F.explode(F.expr("array(1L, 2L, 3L)"))).selectExpr(
+        "run_id",
+        "element_at(array('mr', 'pig', 'hive'), cast(run_id as int)) as pipeline_name",
+        "'web_log' as dataset_name",
+        "cast(run_id as double) as total_runtime",
+        "total_records as total_record_count",
+        "malformed_records as total_malformed_record_count",
+        "make_timestamp(2024, 1, 1, 0, 0, run_id) as execution_timestamp",
+    )}
+    for name in ("daily_traffic", "top_resources", "hourly_errors"):
+        found[name] = read_metadata(spark, root, name)
     return found

@@ -321,7 +321,11 @@ def batch_comparison(spark, sf):
 def integrity_scorecard(spark, sf):
     found = fx.compared_runs(spark, sf)
     return reports.integrity_scorecard(
-        found["runs"], found["daily"], found["top"], found["hours"], 1
+        found["runs"],
+        found["daily_traffic"],
+        found["top_resources"],
+        found["hourly_errors"],
+        run_id=1,
     )
 
 

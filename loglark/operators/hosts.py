@@ -11,6 +11,7 @@ every host once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,24 @@ from pyspark.sql import functions as F
 HOSTS_PER_PART = 100_000
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys meet, as they do in a grouping.
+
+    Unlike a plain key join it adds no not-null filters below, so that a table used on
+    several sides is computed and shuffled once.
+    """
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(
+        lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys)
+    )
+    return left.join(renamed, same, how).drop(*(f"_right_{k}" for k in keys))
+
+
+def count_hosts(pairs: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Hosts per key of distinct (keys, host) rows, combined before the shuffle by key."""
+    return pairs.groupBy(*keys).agg(F.count("host").alias(name))
+
+
 def attach_hosts(
     summary: DataFrame,
     pairs: DataFrame,
@@ -28,14 +47,14 @@ def attach_hosts(
     """Rows of ``summary`` that have hosts, with ``hosts_part`` and a sorted ``hosts_list``.
 
     ``pairs`` holds distinct (keys, host) rows, ``summary`` one row per key with the
-    number of hosts in ``count_col``. The join is inner so that AQE may split a hot
-    key on the ``pairs`` side; the grouping after it is by part, not by key.
+    number of hosts in ``count_col``. The join is an inner one followed by a shuffle by
+    part, which leaves AQE free to split a hot key on the ``pairs`` side.
     """
     parts = F.ceil(F.col(count_col) / hosts_per_part)
     part = (F.pmod(F.xxhash64("host"), parts) + 1).cast("int")
-    joined = pairs.select(*keys, "host").join(summary, list(keys))
     return (
-        joined.withColumn("hosts_part", part)
+        join_on(pairs.select(*keys, "host"), summary, keys)
+        .withColumn("hosts_part", part)
         .groupBy(*summary.columns, "hosts_part")
         .agg(F.array_sort(F.collect_list("host")).alias("hosts_list"))
     )

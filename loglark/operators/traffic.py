@@ -11,7 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loglark.operators.hosts import HOSTS_PER_PART, attach_hosts, without_hosts
+from loglark.operators.hosts import (
+    HOSTS_PER_PART,
+    attach_hosts,
+    count_hosts,
+    join_on,
+    without_hosts,
+)
 
 TOP_K = 20
 # A top list of this many rows at most is broadcast by hint; a longer one is left to AQE.
@@ -56,42 +62,38 @@ def top_resources(
 ) -> DataFrame:
     """Top resources with bytes, distinct hosts and their list.
 
-    Counting needs only the resource and bytes columns; hosts are read in a second
-    pass, for the winners alone.
+    Counting needs only the resource and bytes columns; hosts are read in a second pass.
     """
     keys = [*by, "resource_path"]
     winners = top_keys(parsed, k, by)
     requests = parsed.withColumnRenamed("resource", "resource_path").select(*keys, "host")
-    chosen = winners.select(*keys)
     if not by and k <= BROADCAST_ROWS:
-        pairs = requests.join(F.broadcast(chosen), keys, "left_semi").distinct()
+        # The winners are k rows: only their requests are shuffled. They take their
+        # counts along, so that the winners need not be computed and joined again.
+        chosen = join_on(requests, F.broadcast(winners), keys)
+        pairs = chosen.select(*winners.columns, "host").distinct()
+        summary = F.broadcast(count_hosts(pairs, winners.columns, "distinct_host_count"))
     else:
-        # The number of groups is open: first fold repeated requests, then let the
-        # optimizer pick the join from the real size of the winners.
-        pairs = requests.distinct().join(chosen, keys, "left_semi")
-    sizes = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("distinct_host_count"))
-    summary = winners.join(sizes, keys)
-    if not by and k <= BROADCAST_ROWS:
-        summary = F.broadcast(summary)
+        # The number of winners is open. Repeated requests are folded before anything
+        # is joined, which takes the weight off a hot key.
+        pairs = requests.distinct()
+        sizes = count_hosts(pairs, keys, "distinct_host_count")
+        summary = join_on(winners, sizes, keys)
     return attach_hosts(summary, pairs, keys, "distinct_host_count", hosts_per_part)
 
 
-def _error_pairs(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return parsed.where(is_error(F.col("status_code"))).select(*keys, "host").distinct()
-
-
-def _error_rate() -> Column:
-    errors, total = F.col("error_request_count"), F.col("total_request_count")
-    return F.when(total == 0, F.lit(0.0)).otherwise(errors.cast("double") / total)
-
-
-def _hourly_rows(summary: DataFrame, pairs: DataFrame, keys, hosts_per_part) -> DataFrame:
-    summary = summary.select(
+def _hourly(
+    totals: DataFrame, errors: DataFrame, keys: Sequence[str], hosts_per_part: int
+) -> DataFrame:
+    pairs = errors.select(*keys, "host").distinct()
+    hosts = count_hosts(pairs, keys, "_hosts")
+    failed, total = F.col("error_request_count"), F.col("total_request_count")
+    summary = join_on(totals, hosts, keys, "left").select(
         *keys,
         "error_request_count",
         "total_request_count",
-        _error_rate().alias("error_rate"),
-        "distinct_error_hosts",
+        F.when(total == 0, F.lit(0.0)).otherwise(failed.cast("double") / total).alias("error_rate"),
+        F.coalesce("_hosts", F.lit(0).cast("bigint")).alias("distinct_error_hosts"),
     )
     listed = attach_hosts(summary, pairs, keys, "distinct_error_hosts", hosts_per_part)
     return listed.unionByName(without_hosts(summary, "distinct_error_hosts"))
@@ -100,32 +102,28 @@ def _hourly_rows(summary: DataFrame, pairs: DataFrame, keys, hosts_per_part) ->
 def hourly_errors(
     parsed: DataFrame, by: Sequence[str] = (), hosts_per_part: int = HOSTS_PER_PART
 ) -> DataFrame:
-    """Errors, requests, rate and error hosts of every (date, hour), also error-free ones."""
+    """Errors, requests, rate and error hosts of every (date, hour), also error-free ones.
+
+    Totals read three narrow columns; hosts are read from error rows only, and their
+    distinct (hour, host) rows serve both the count and the list.
+    """
     keys = [*by, "log_date", "log_hour"]
     error = is_error(F.col("status_code"))
-    # One distinct aggregate beside plain counts: Spark groups by (keys, host) first
-    # and by keys after, so a hot hour is spread over tasks.
-    summary = parsed.groupBy(*keys).agg(
+    totals = parsed.groupBy(*keys).agg(
         F.count_if(error).alias("error_request_count"),
         F.count(F.lit(1)).alias("total_request_count"),
-        F.count_distinct(F.when(error, F.col("host"))).alias("distinct_error_hosts"),
     )
-    return _hourly_rows(summary, _error_pairs(parsed, keys), keys, hosts_per_part)
+    return _hourly(totals, parsed.where(error), keys, hosts_per_part)
 
 
 def hourly_errors_join(
     parsed: DataFrame, by: Sequence[str] = (), hosts_per_part: int = HOSTS_PER_PART
 ) -> DataFrame:
-    """The same rows by another route: totals, left-joined with the hosts of tagged errors."""
+    """The same rows from explicitly tagged requests: totals, left-joined with error hosts."""
     keys = [*by, "log_date", "log_hour"]
     tagged = tag_errors(parsed)
     totals = tagged.groupBy(*keys).agg(
-        F.sum(F.col("is_error").cast("bigint")).alias("error_request_count"),
+        F.sum(F.col("is_error").cast("int")).alias("error_request_count"),
         F.count(F.lit(1)).alias("total_request_count"),
     )
-    pairs = tagged.where("is_error").select(*keys, "host").distinct()
-    hosts = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hosts"))
-    summary = totals.join(hosts, keys, "left").withColumn(
-        "distinct_error_hosts", F.coalesce("_hosts", F.lit(0).cast("bigint"))
-    )
-    return _hourly_rows(summary, pairs, keys, hosts_per_part)
+    return _hourly(totals, tagged.where("is_error"), keys, hosts_per_part)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loglark.functions.parsing import to_log_date
 from loglark.schemas import PARSED, TABLES
@@ -27,25 +28,26 @@ def write_parsed(parsed: DataFrame, path: str) -> None:
     parsed.select(*kept).write.mode("overwrite").partitionBy("is_valid").parquet(path)
 
 
-def _read_written(spark: SparkSession, path: str) -> DataFrame:
-    schema = f"batch_no int, value string, {', '.join(f'{f.name} {f.dataType.simpleString()}' for f in PARSED)}, is_valid boolean"
-    return spark.read.schema(schema).parquet(path)
+def _read_written(spark: SparkSession, path: str, keep: str) -> DataFrame:
+    schema = T.StructType.fromDDL(f"{keep}, value string, is_valid boolean")
+    return spark.read.schema(T.StructType([*schema, *PARSED])).parquet(path)
 
 
-def read_parsed(spark: SparkSession, path: str) -> DataFrame:
-    """The valid rows written by ``write_parsed``: batch number and the eight fields."""
-    rows = _read_written(spark, path).where("is_valid")
-    return rows.select("batch_no", *PARSED.fieldNames())
+def read_parsed(spark: SparkSession, path: str, keep: str = "batch_no int") -> DataFrame:
+    """The valid rows written by ``write_parsed``: the eight fields after the columns ``keep`` declares."""
+    rows = _read_written(spark, path, keep).where("is_valid")
+    return rows.select(*T.StructType.fromDDL(keep).fieldNames(), *PARSED.fieldNames())
 
 
-def read_malformed(spark: SparkSession, path: str) -> DataFrame:
+def read_malformed(spark: SparkSession, path: str, keep: str = "batch_no int") -> DataFrame:
     """The malformed lines written by ``write_parsed``."""
-    return _read_written(spark, path).where("NOT is_valid").select("batch_no", "value")
+    rows = _read_written(spark, path, keep).where("NOT is_valid")
+    return rows.select(*T.StructType.fromDDL(keep).fieldNames(), "value")
 
 
 def read_quality(spark: SparkSession, path: str) -> DataFrame:
     """Batch numbers and verdicts of everything written by ``write_parsed``."""
-    return _read_written(spark, path).select("batch_no", "is_valid")
+    return _read_written(spark, path, "batch_no int").select("batch_no", "is_valid")
 
 
 def to_table(df: DataFrame, name: str) -> DataFrame:
