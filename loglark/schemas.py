@@ -4,40 +4,82 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-PARSED = T.StructType.fromDDL(
-    "host string, log_date string, log_hour int, method string, "
-    "resource string, protocol string, status_code int, bytes bigint"
+TEXT, INT, LONG, SHORT = T.StringType(), T.IntegerType(), T.LongType(), T.ShortType()
+DOUBLE, DATE, TIME, TEXTS = T.DoubleType(), T.DateType(), T.TimestampType(), T.ArrayType(TEXT)
+
+
+def _schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+PARSED = _schema(
+    host=TEXT,
+    log_date=TEXT,
+    log_hour=INT,
+    method=TEXT,
+    resource=TEXT,
+    protocol=TEXT,
+    status_code=INT,
+    bytes=LONG,
 )
 
 # Result tables. `load_id` tells repeated loads of a batch apart (see sources.tables);
 # host lists are arrays here and become comma-joined text on text and JDBC sinks.
-DAILY_TRAFFIC = T.StructType.fromDDL(
-    "batch_no int, log_date date, status_code int, request_count bigint, "
-    "total_bytes bigint, run_id bigint, load_id bigint"
+DAILY_TRAFFIC = _schema(
+    batch_no=INT,
+    log_date=DATE,
+    status_code=INT,
+    request_count=LONG,
+    total_bytes=LONG,
+    run_id=LONG,
+    load_id=LONG,
 )
-TOP_RESOURCES = T.StructType.fromDDL(
-    "batch_no int, resource_path string, request_count bigint, total_bytes bigint, "
-    "distinct_host_count bigint, hosts_part int, hosts_list array<string>, "
-    "run_id bigint, load_id bigint"
+TOP_RESOURCES = _schema(
+    batch_no=INT,
+    resource_path=TEXT,
+    request_count=LONG,
+    total_bytes=LONG,
+    distinct_host_count=LONG,
+    hosts_part=INT,
+    hosts_list=TEXTS,
+    run_id=LONG,
+    load_id=LONG,
 )
-HOURLY_ERRORS = T.StructType.fromDDL(
-    "batch_no int, log_date date, log_hour smallint, error_request_count bigint, "
-    "total_request_count bigint, error_rate double, distinct_error_hosts bigint, "
-    "hosts_part int, hosts_list array<string>, run_id bigint, load_id bigint"
+HOURLY_ERRORS = _schema(
+    batch_no=INT,
+    log_date=DATE,
+    log_hour=SHORT,
+    error_request_count=LONG,
+    total_request_count=LONG,
+    error_rate=DOUBLE,
+    distinct_error_hosts=LONG,
+    hosts_part=INT,
+    hosts_list=TEXTS,
+    run_id=LONG,
+    load_id=LONG,
 )
 
-RUN_METADATA = T.StructType.fromDDL(
-    "pipeline_name string, dataset_name string, avg_batch_size double, "
-    "total_runtime double, total_malformed_record_count bigint, "
-    "total_record_count bigint, execution_timestamp timestamp, "
-    "run_id bigint, load_id bigint"
+RUN_METADATA = _schema(
+    pipeline_name=TEXT,
+    dataset_name=TEXT,
+    avg_batch_size=DOUBLE,
+    total_runtime=DOUBLE,
+    total_malformed_record_count=LONG,
+    total_record_count=LONG,
+    execution_timestamp=TIME,
+    run_id=LONG,
+    load_id=LONG,
 )
-BATCH_METADATA = T.StructType.fromDDL(
-    "batch_no int, record_count bigint, malformed_record_count bigint, "
-    "batch_runtime double, run_id bigint, load_id bigint"
+BATCH_METADATA = _schema(
+    batch_no=INT,
+    record_count=LONG,
+    malformed_record_count=LONG,
+    batch_runtime=DOUBLE,
+    run_id=LONG,
+    load_id=LONG,
 )
-QUERY_METADATA = T.StructType.fromDDL(
-    "batch_no int, query_number int, query_runtime double, run_id bigint, load_id bigint"
+QUERY_METADATA = _schema(
+    batch_no=INT, query_number=INT, query_runtime=DOUBLE, run_id=LONG, load_id=LONG
 )
 
 TABLES = {

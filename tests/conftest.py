@@ -1,0 +1,68 @@
+import random
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from loglark.session import configure  # noqa: E402
+
+FIELDS = "batch_no int, host string, log_date string, log_hour int, resource string, status_code int, bytes bigint"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    builder = (
+        configure(SparkSession.builder.master("local[4]"))
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    )
+    session = builder.getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def conf(spark):
+    """Set session settings for one test."""
+    before = {}
+
+    def set_all(**settings):
+        for name, value in settings.items():
+            key = name.replace("__", ".")
+            before[key] = spark.conf.get(key, None)
+            spark.conf.set(key, value)
+
+    yield set_all
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def make_rows(n, seed, batches=4):
+    """Random parsed rows; a third of them on one resource, hour and batch."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        hot = rng.random() < 0.33
+        rows.append(
+            (
+                1 if hot else rng.randint(1, batches),
+                f"h{rng.randint(0, 60)}",
+                "01/Jul/1995" if hot else f"0{rng.randint(1, 4)}/Jul/1995",
+                5 if hot else rng.randint(0, 23),
+                "/hot" if hot else f"/r{rng.randint(0, 40)}",
+                rng.choice([200, 200, 304, 399, 400, 404, 500, 599, 600]),
+                rng.randint(0, 5000),
+            )
+        )
+    return rows
+
+
+def line(host="h1", time="01/Jul/1995:00:00:01", resource="/a", status=200, size=10):
+    return f'{host} - - [{time} -0400] "GET {resource} HTTP/1.0" {status} {size}'

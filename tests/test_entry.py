@@ -1,0 +1,46 @@
+"""Every named query against its SQL, on the smallest given tables."""
+
+import glob
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+
+DATA = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for path in glob.glob(f"{DATA}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return con
+
+
+def plain(value):
+    return round(value, 9) if isinstance(value, float) else value
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query(spark, duck, name):
+    df = entry.queries()[name](spark, DATA)
+    columns = sorted(df.columns)
+    cursor = duck.execute(entry.oracle_sql()[name])
+    names = [d[0] for d in cursor.description]
+    assert columns == sorted(names)
+    want = sorted(repr([plain(r[names.index(c)]) for c in columns]) for r in cursor.fetchall())
+    got = sorted(repr([plain(r[c]) for c in columns]) for r in df.collect())
+    assert got == want
+    assert got
