@@ -350,7 +350,7 @@ def stream_batches(spark, sf):
     batched = fx.batched_log(spark, sf).withColumnRenamed("event_id", "row_no")
     write_batches(batched, files)
     streams.stream_batches(
-        spark, files, root, "web_2500", "spark", run_id=1, files_per_trigger=20
+        spark, files, root, "web_2500", "spark", run_id=1, files_per_trigger=50
     ).awaitTermination()
     totals = read_runs(spark, root).select("run_id", "total_record_count")
     stored = tables.read_results(spark, root, "daily_traffic", 1)

@@ -1,11 +1,11 @@
 """Distinct host lists that stay bounded however many hosts a group has.
 
-A busy resource or hour can hold a third of all rows, so its host list must
-not be built in one task or one row. Lists are cut into parts by a hash of the
-host. The number of parts follows from the exact distinct count, so a group
-with up to ``HOSTS_PER_PART`` hosts is one row, and a larger one is as many
-rows as needed, numbered in ``hosts_part`` from 1. Together the parts hold
-every host once.
+A busy resource or hour can hold a third of all rows, so its hosts must not meet in
+one task or one row, and nothing here joins or groups them by the key alone. Hosts
+are hashed into ``BUCKETS`` buckets. Buckets of a key that stay small are put
+together in its part 1, which so holds the whole list of any usual group; a bucket
+that outgrows its share of ``HOSTS_PER_PART`` becomes a part of its own. The parts
+of a key hold every host once. Its counts stand on part 1 and are null on the others.
 """
 
 from __future__ import annotations
@@ -13,23 +13,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOSTS_PER_PART = 100_000
+BUCKETS = 1024
 
 
-def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join in which null keys meet, as they do in a grouping.
-
-    Unlike a plain key join it adds no not-null filters below, so that a table used on
-    several sides is computed and shuffled once.
-    """
-    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    same = reduce(
-        lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys)
-    )
-    return left.join(renamed, same, how).drop(*(f"_right_{k}" for k in keys))
+def host_bucket(buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64("host"), F.lit(buckets)).cast("int")
 
 
 def count_hosts(pairs: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -37,33 +29,45 @@ def count_hosts(pairs: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return pairs.groupBy(*keys).agg(F.count("host").alias(name))
 
 
-def attach_hosts(
-    summary: DataFrame,
+def host_lists(
     pairs: DataFrame,
     keys: Sequence[str],
-    count_col: str,
     hosts_per_part: int = HOSTS_PER_PART,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Rows of ``summary`` that have hosts, with ``hosts_part`` and a sorted ``hosts_list``.
+    """Distinct (keys, host) rows as ``keys, hosts_part, hosts``, one row per bucket of a key.
 
-    ``pairs`` holds distinct (keys, host) rows, ``summary`` one row per key with the
-    number of hosts in ``count_col``. The join is an inner one followed by a shuffle by
-    part, which leaves AQE free to split a hot key on the ``pairs`` side.
+    Other columns of ``pairs`` must follow from the keys. They are grouped by as well and
+    then dropped, so that both readers of ``pairs`` need the same columns and share its work.
     """
-    parts = F.ceil(F.col(count_col) / hosts_per_part)
-    part = (F.pmod(F.xxhash64("host"), parts) + 1).cast("int")
-    return (
-        join_on(pairs.select(*keys, "host"), summary, keys)
-        .withColumn("hosts_part", part)
-        .groupBy(*summary.columns, "hosts_part")
-        .agg(F.array_sort(F.collect_list("host")).alias("hosts_list"))
+    share = max(1, hosts_per_part // buckets)
+    group = [c for c in pairs.columns if c != "host"]
+    collected = pairs.groupBy(*group, host_bucket(buckets).alias("_bucket")).agg(
+        F.collect_list("host").alias("hosts")
     )
+    part = F.when(F.size("hosts") <= share, F.lit(1)).otherwise(F.col("_bucket") + 2)
+    return collected.select(*keys, part.alias("hosts_part"), "hosts")
+
 
+def attach_hosts(
+    counts: Sequence[DataFrame],
+    pairs: DataFrame,
+    keys: Sequence[str],
+    hosts_per_part: int = HOSTS_PER_PART,
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """Tables with one row per key, side by side, and the sorted ``hosts_list`` of ``pairs``.
 
-def without_hosts(summary: DataFrame, count_col: str) -> DataFrame:
-    """Rows of ``summary`` with no host at all, as one part with an empty list."""
-    return (
-        summary.where(F.col(count_col) == 0)
-        .withColumn("hosts_part", F.lit(1))
-        .withColumn("hosts_list", F.array().cast("array<string>"))
+    Everything meets in one grouping by key and part instead of joins by key, so the
+    parts of a hot key go to different tasks and null keys are kept.
+    """
+    values = [c for table in counts for c in table.columns if c not in keys]
+    rows = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [table.withColumn("hosts_part", F.lit(1)) for table in counts],
+        host_lists(pairs, keys, hosts_per_part, buckets),
+    )
+    return rows.groupBy(*keys, "hosts_part").agg(
+        *[F.max(v).alias(v) for v in values],
+        F.array_sort(F.flatten(F.collect_list("hosts"))).alias("hosts_list"),
     )

@@ -17,12 +17,10 @@ def merge_daily(daily: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def _merge_lists(rows: DataFrame, keys: Sequence[str], sums: Sequence[str], hosts: str) -> DataFrame:
     # Host lists are unrolled to rows, so the union of a hot key's hosts is spread
-    # by (key, host). A result row may come in several host parts and each part has
-    # several hosts: its counts go with the first host of part 1 only.
-    first = (F.col("hosts_part") == 1) & (F.coalesce("pos", F.lit(0)) == 0)
-    unrolled = rows.select(
-        *keys, *sums, "hosts_part", F.posexplode_outer("hosts_list").alias("pos", "host")
-    )
+    # by (key, host). A row's counts go with the first host of its list only; further
+    # parts of a list have no counts.
+    first = F.coalesce("pos", F.lit(0)) == 0
+    unrolled = rows.select(*keys, *sums, F.posexplode_outer("hosts_list").alias("pos", "host"))
     return unrolled.groupBy(*keys).agg(
         *[F.sum(F.when(first, F.col(c))).alias(c) for c in sums],
         F.count_distinct("host").alias(hosts),

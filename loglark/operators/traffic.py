@@ -7,21 +7,29 @@ gives the result of every batch in one job.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loglark.operators.hosts import (
+    BUCKETS,
     HOSTS_PER_PART,
     attach_hosts,
     count_hosts,
-    join_on,
-    without_hosts,
+    host_bucket,
 )
 
 TOP_K = 20
-# A top list of this many rows at most is broadcast by hint; a longer one is left to AQE.
+# A top list of this many rows at most is broadcast; a longer one is joined by its size.
 BROADCAST_ROWS = 10_000
+# Shares into which the hosts of one key are split for a join.
+SALTS = 32
+
+
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Join condition in which null keys meet, as they do in a grouping."""
+    return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[k]) for k in keys))
 
 
 def is_error(status: Column) -> Column:
@@ -54,11 +62,45 @@ def top_keys(parsed: DataFrame, k: int = TOP_K, by: Sequence[str] = ()) -> DataF
     return counts.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
 
 
+def _hosts_of_few(requests: DataFrame, winners: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Winner rows with each of their hosts, for winners few enough to broadcast.
+
+    Only the winners' requests are shuffled.
+    """
+    few = F.broadcast(winners.select(F.struct(*winners.columns).alias("w")))
+    same = _same_as_struct(requests, few, keys)
+    return requests.join(few, same).select("w.*", "host").distinct()
+
+
+def _hosts_of_many(
+    requests: DataFrame, winners: DataFrame, keys: Sequence[str], buckets: int = BUCKETS
+) -> DataFrame:
+    """The same for any number of winners.
+
+    Repeated requests are folded before the join. It is salted by host, with a copy of
+    each winner per salt, so that one resource's hosts are shared by several tasks.
+    An inner join is used because a semi join would be moved below the folding.
+    """
+    salt = F.pmod(host_bucket(buckets), F.lit(SALTS))
+    pairs = requests.distinct().withColumn("salt", salt)
+    many = winners.select(
+        F.struct(*winners.columns).alias("w"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("winner_salt"),
+    )
+    same = _same_as_struct(pairs, many, keys) & (pairs["salt"] == many["winner_salt"])
+    return pairs.join(many, same).select("w.*", "host")
+
+
+def _same_as_struct(rows: DataFrame, winners: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, (rows[k].eqNullSafe(winners["w"][k]) for k in keys))
+
+
 def top_resources(
     parsed: DataFrame,
     k: int = TOP_K,
     by: Sequence[str] = (),
     hosts_per_part: int = HOSTS_PER_PART,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Top resources with bytes, distinct hosts and their list.
 
@@ -68,39 +110,35 @@ def top_resources(
     winners = top_keys(parsed, k, by)
     requests = parsed.withColumnRenamed("resource", "resource_path").select(*keys, "host")
     if not by and k <= BROADCAST_ROWS:
-        # The winners are k rows: only their requests are shuffled. They take their
-        # counts along, so that the winners need not be computed and joined again.
-        chosen = join_on(requests, F.broadcast(winners), keys)
-        pairs = chosen.select(*winners.columns, "host").distinct()
-        summary = F.broadcast(count_hosts(pairs, winners.columns, "distinct_host_count"))
+        pairs = _hosts_of_few(requests, winners, keys)
     else:
-        # The number of winners is open. Repeated requests are folded before anything
-        # is joined, which takes the weight off a hot key.
-        pairs = requests.distinct()
-        sizes = count_hosts(pairs, keys, "distinct_host_count")
-        summary = join_on(winners, sizes, keys)
-    return attach_hosts(summary, pairs, keys, "distinct_host_count", hosts_per_part)
+        pairs = _hosts_of_many(requests, winners, keys, buckets)
+    counted = count_hosts(pairs, winners.columns, "distinct_host_count")
+    listed = attach_hosts([counted], pairs, keys, hosts_per_part, buckets)
+    return listed.select(
+        *keys, "request_count", "total_bytes", "distinct_host_count", "hosts_part", "hosts_list"
+    )
 
 
-def _hourly(
-    totals: DataFrame, errors: DataFrame, keys: Sequence[str], hosts_per_part: int
-) -> DataFrame:
-    pairs = errors.select(*keys, "host").distinct()
-    hosts = count_hosts(pairs, keys, "_hosts")
+def _hourly_rows(listed: DataFrame, keys: Sequence[str]) -> DataFrame:
     failed, total = F.col("error_request_count"), F.col("total_request_count")
-    summary = join_on(totals, hosts, keys, "left").select(
+    none = F.when(F.col("hosts_part") == 1, F.lit(0).cast("bigint"))
+    return listed.select(
         *keys,
         "error_request_count",
         "total_request_count",
         F.when(total == 0, F.lit(0.0)).otherwise(failed.cast("double") / total).alias("error_rate"),
-        F.coalesce("_hosts", F.lit(0).cast("bigint")).alias("distinct_error_hosts"),
+        F.coalesce("distinct_error_hosts", none).alias("distinct_error_hosts"),
+        "hosts_part",
+        "hosts_list",
     )
-    listed = attach_hosts(summary, pairs, keys, "distinct_error_hosts", hosts_per_part)
-    return listed.unionByName(without_hosts(summary, "distinct_error_hosts"))
 
 
 def hourly_errors(
-    parsed: DataFrame, by: Sequence[str] = (), hosts_per_part: int = HOSTS_PER_PART
+    parsed: DataFrame,
+    by: Sequence[str] = (),
+    hosts_per_part: int = HOSTS_PER_PART,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Errors, requests, rate and error hosts of every (date, hour), also error-free ones.
 
@@ -113,17 +151,31 @@ def hourly_errors(
         F.count_if(error).alias("error_request_count"),
         F.count(F.lit(1)).alias("total_request_count"),
     )
-    return _hourly(totals, parsed.where(error), keys, hosts_per_part)
+    pairs = parsed.where(error).select(*keys, "host").distinct()
+    hosts = count_hosts(pairs, keys, "distinct_error_hosts")
+    return _hourly_rows(attach_hosts([totals, hosts], pairs, keys, hosts_per_part, buckets), keys)
 
 
 def hourly_errors_join(
-    parsed: DataFrame, by: Sequence[str] = (), hosts_per_part: int = HOSTS_PER_PART
+    parsed: DataFrame,
+    by: Sequence[str] = (),
+    hosts_per_part: int = HOSTS_PER_PART,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """The same rows from explicitly tagged requests: totals, left-joined with error hosts."""
+    """The same rows by the classic route: tag, total, then left-join the error hosts.
+
+    The joined sides hold one row per hour each; host lists are not part of the join.
+    """
     keys = [*by, "log_date", "log_hour"]
     tagged = tag_errors(parsed)
     totals = tagged.groupBy(*keys).agg(
         F.sum(F.col("is_error").cast("int")).alias("error_request_count"),
         F.count(F.lit(1)).alias("total_request_count"),
     )
-    return _hourly(totals, tagged.where("is_error"), keys, hosts_per_part)
+    pairs = tagged.where("is_error").select(*keys, "host").distinct()
+    hosts = count_hosts(pairs, keys, "_hosts")
+    joined = totals.join(hosts, _same(totals, hosts, keys), "left").select(
+        *[totals[c] for c in totals.columns],
+        F.coalesce("_hosts", F.lit(0).cast("bigint")).alias("distinct_error_hosts"),
+    )
+    return _hourly_rows(attach_hosts([joined], pairs, keys, hosts_per_part, buckets), keys)

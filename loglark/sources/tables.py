@@ -108,5 +108,8 @@ def write_jdbc(
 def read_jdbc(
     spark: SparkSession, url: str, table: str, run_id: int, properties: dict[str, str] | None = None
 ) -> DataFrame:
-    """The rows of one run from a database table; the filter runs in the database."""
+    """The rows of one run from a database table; the filter runs in the database.
+
+    Host lists are text there; ``sources.text.lists_of_texts`` turns them into arrays.
+    """
     return spark.read.jdbc(url, table, properties=properties or {}).where(F.col("run_id") == run_id)

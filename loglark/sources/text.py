@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglark.functions.names import batch_identity, join_hosts
+from loglark.functions.names import batch_identity, join_hosts, split_hosts
 from loglark.schemas import PARSED
 
 
@@ -89,3 +89,8 @@ def texts_of_lists(df: DataFrame) -> DataFrame:
     if "hosts_list" not in df.columns:
         return df
     return df.withColumn("hosts_list", join_hosts(F.col("hosts_list")))
+
+
+def lists_of_texts(df: DataFrame) -> DataFrame:
+    """The inverse, for tables that store ``hosts_list`` as text."""
+    return df.withColumn("hosts_list", split_hosts(F.col("hosts_list")))

@@ -36,19 +36,20 @@ def expected_top(rows, k, by_batch):
 
 
 def collect_parts(df, keys, values):
-    """Rows by key with their host parts put together; scalars must agree over the parts."""
-    found = {}
+    """Rows by key with their host parts put together; only part 1 has counts."""
+    counts, parts = {}, defaultdict(list)
     for r in df.collect():
-        key, scalars = tuple(r[k] for k in keys), tuple(r[v] for v in values)
-        seen = found.setdefault(key, (scalars, {}, []))
-        assert seen[0] == scalars
-        assert r.hosts_part not in seen[1]
+        key, found = tuple(r[k] for k in keys), tuple(r[v] for v in values)
+        if r.hosts_part == 1:
+            assert key not in counts and None not in found
+            counts[key] = found
+        else:
+            assert set(found) == {None} and r.hosts_list
         assert r.hosts_list == sorted(r.hosts_list)
-        seen[1][r.hosts_part] = r.hosts_list
-        seen[2].extend(r.hosts_list)
-    for _, _, hosts in found.values():
-        assert len(hosts) == len(set(hosts))
-    return {k: (*s, set(h)) for k, (s, _, h) in found.items()}
+        parts[key].extend(r.hosts_list)
+    assert all(len(hosts) == len(set(hosts)) for hosts in parts.values())
+    assert parts.keys() == counts.keys()
+    return {k: (*v, set(parts[k])) for k, v in counts.items()}
 
 
 HOUR_VALUES = ["error_request_count", "total_request_count", "error_rate", "distinct_error_hosts"]
@@ -56,21 +57,21 @@ TOP_VALUES = ["request_count", "total_bytes", "distinct_host_count"]
 
 
 @pytest.mark.parametrize("by", [(), KEYS])
-@pytest.mark.parametrize("per_part", [100_000, 7])
+@pytest.mark.parametrize("parts", [{}, {"hosts_per_part": 24, "buckets": 8}, {"hosts_per_part": 1}])
 @pytest.mark.parametrize("query", [traffic.hourly_errors, traffic.hourly_errors_join])
-def test_hours(spark, by, per_part, query):
+def test_hours(spark, by, parts, query):
     rows = make_rows(3000, seed=1)
-    got = query(spark.createDataFrame(rows, FIELDS), by=by, hosts_per_part=per_part)
+    got = query(spark.createDataFrame(rows, FIELDS), by=by, **parts)
     want = expected_hours(rows, bool(by))
     assert collect_parts(got, [*by, "log_date", "log_hour"], HOUR_VALUES) == want
 
 
 @pytest.mark.parametrize("by", [(), KEYS])
-@pytest.mark.parametrize("per_part", [100_000, 7])
+@pytest.mark.parametrize("parts", [{}, {"hosts_per_part": 24, "buckets": 8}, {"hosts_per_part": 1}])
 @pytest.mark.parametrize("k", [1, 20, 20_000])
-def test_top(spark, by, per_part, k):
+def test_top(spark, by, parts, k):
     rows = make_rows(3000, seed=2)
-    got = traffic.top_resources(spark.createDataFrame(rows, FIELDS), k, by, per_part)
+    got = traffic.top_resources(spark.createDataFrame(rows, FIELDS), k, by, **parts)
     want = expected_top(rows, k, bool(by))
     assert collect_parts(got, [*by, "resource_path"], TOP_VALUES) == want
 
@@ -111,13 +112,15 @@ def plan_of(df):
     return df._jdf.queryExecution().toString()
 
 
-def test_hot_hour_is_split_over_tasks(spark, conf):
-    """With joins by sorting, AQE must be free to split the hot key's hosts."""
+def tasks_of_hot_key(spark, df, key):
+    """How many tasks the rows of a key come from."""
+    return df.where(key).select(F.spark_partition_id()).distinct().count()
+
+
+def test_hot_keys_are_split_over_tasks(spark, conf):
+    """No join or grouping may bring all hosts of a hot key to one task, however it is joined."""
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="4k",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="8k",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
         spark__sql__adaptive__coalescePartitions__enabled="false",
         spark__sql__shuffle__partitions="16",
     )
@@ -126,25 +129,42 @@ def test_hot_hour_is_split_over_tasks(spark, conf):
         "concat('host', id) AS host",
         "'01/Jul/1995' AS log_date",
         "CAST(if(id % 3 = 0, 5, id % 500) AS INT) AS log_hour",
-        "'/a' AS resource",
+        "if(id % 3 = 0, '/hot', concat('/', id % 50)) AS resource",
         "404 AS status_code",
         "1L AS bytes",
     )
-    got = traffic.hourly_errors(df, hosts_per_part=1000)
-    assert "skew=true" in plan_of(got)
-    assert got.agg(F.sum(F.size("hosts_list"))).first()[0] == 60_000
-    assert got.agg(F.max(F.size("hosts_list"))).first()[0] < 1500
+    small = {"hosts_per_part": 1000, "buckets": 64}
+    hours = traffic.hourly_errors(df, **small)
+    top = traffic.top_resources(df, by=KEYS, **small)
+    for got, key in ((hours, "log_hour = 5"), (top, "resource_path = '/hot'")):
+        assert got.where(key).agg(F.sum(F.size("hosts_list"))).first()[0] >= 20_000
+        assert got.agg(F.max(F.size("hosts_list"))).first()[0] <= 1000
+        assert tasks_of_hot_key(spark, got, key) >= 12
+        shuffles = [x for x in plan_of(got).splitlines() if "Exchange hashpartitioning" in x]
+        assert shuffles
+
+
+def test_salted_join_spreads_a_hot_key(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    conf(spark__sql__shuffle__partitions="16")
+    requests = spark.range(20_000).selectExpr("1 AS batch_no", "'/hot' AS resource_path", "concat('h', id) AS host")
+    winners = spark.createDataFrame([(1, "/hot")], "batch_no int, resource_path string")
+    pairs = traffic._hosts_of_many(requests, winners, ["batch_no", "resource_path"])
+    sizes = pairs.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 20_000
+    assert max(r["count"] for r in sizes) < 20_000 / 4
 
 
 def test_plans_scan_twice_and_read_few_columns(spark, tmp_path):
     path = str(tmp_path / "parsed")
     spark.createDataFrame(make_rows(500, seed=4), FIELDS).write.parquet(path)
     df = spark.read.schema(FIELDS).parquet(path)
-    for query in (traffic.hourly_errors, traffic.top_resources):
+    by_batch = lambda parsed: traffic.top_resources(parsed, by=KEYS)
+    for query in (traffic.hourly_errors, traffic.top_resources, by_batch):
         final = plan_of(query(df)).split("== Initial Plan ==")[0].split("== Physical Plan ==")[-1]
         scans = [s for s in final.splitlines() if "FileScan parquet" in s]
         assert len(scans) == 2, final
-        assert "Window" not in final and "CartesianProduct" not in final
+        assert "CartesianProduct" not in final and "NestedLoop" not in final
 
 
 @pytest.mark.parametrize("size", [1, 3, 7])
@@ -153,7 +173,8 @@ def test_merged_batches_equal_the_whole(spark, size):
     df = spark.createDataFrame(rows, FIELDS)
     daily = merge.merge_daily(traffic.daily_traffic(df, KEYS))
     assert sorted(daily.collect()) == sorted(traffic.daily_traffic(df).collect())
-    hours = merge.merge_hours(traffic.hourly_errors(df, KEYS, hosts_per_part=5)).collect()
+    hours = traffic.hourly_errors(df, KEYS, hosts_per_part=5, buckets=4)
+    hours = merge.merge_hours(hours).collect()
     got = {(r.log_date, r.log_hour): tuple(r)[2:] for r in hours}
     assert got == {k: (e, t, n) for k, (e, t, _, n, _) in expected_hours(rows, False).items()}
 
@@ -161,7 +182,7 @@ def test_merged_batches_equal_the_whole(spark, size):
 def test_merged_top_lists(spark):
     rows = make_rows(2500, seed=9)
     df = spark.createDataFrame(rows, FIELDS)
-    got = merge.merge_resources(traffic.top_resources(df, 5, KEYS, hosts_per_part=4)).collect()
+    got = merge.merge_resources(traffic.top_resources(df, 5, KEYS, hosts_per_part=4, buckets=4)).collect()
     want = defaultdict(lambda: [0, 0, set()])
     for (_, resource), (n, size, _, hosts) in expected_top(rows, 5, True).items():
         want[resource][0] += n
