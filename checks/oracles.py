@@ -456,6 +456,39 @@ oracle(
     f"large as ({_merged(5000)})",
 )
 
+oracle(
+    "scorecard_all_clear",
+    """select not exists (select row_text from small except select row_text from large)
+        and not exists (select row_text from large except select row_text from small) as all_clear""",
+    PARSED,
+    f"small as ({_merged(2500)})",
+    f"large as ({_merged(5000)})",
+)
+oracle(
+    "batch_files",
+    """select value, batch_no,
+        cast(count(*) over (partition by batch_no) as integer) as declared_count from all_parsed""",
+    ALL_PARSED,
+)
+oracle(
+    "line_batches",
+    """select cast(row_no // 700 + 1 as integer) as batch_no, count(*) as lines,
+        min(row_no) as first_row, max(row_no) as last_row
+      from (select row_number() over () - 1 as row_no from events) group by 1""",
+)
+oracle("parsed_tsv", f"select {PARSED_COLUMNS} from parsed", PARSED)
+oracle("stored_malformed", ORACLES["malformed_lines"])
+oracle("hosts_from_text", ORACLES["merged_hourly_errors"])
+oracle(
+    "run_metadata",
+    """select cast(7 as bigint) as run_id, 'spark' as pipeline_name, 'web_2500' as dataset_name,
+        cast(count(*) as double) / count(distinct batch_no) as avg_batch_size,
+        count(*) filter (where not is_valid) as total_malformed_record_count,
+        count(*) as total_record_count
+      from all_parsed""",
+    ALL_PARSED,
+)
+
 DATED = "* replace (cast(strptime(log_date, '%d/%b/%Y') as date) as log_date"
 oracle(
     "run_results",

@@ -15,7 +15,15 @@ from loglark.plans import reports
 from loglark.plans.run import read_runs, run_batches
 from loglark.session import new_folder
 from loglark.sources import tables
-from loglark.sources.text import read_batches, texts_of_lists, write_batches
+from loglark.sources.text import (
+    export_query,
+    lists_of_texts,
+    read_batches,
+    read_parsed_tsv,
+    read_raw,
+    texts_of_lists,
+    write_batches,
+)
 from loglark.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -329,15 +337,75 @@ def integrity_scorecard(spark, sf):
     )
 
 
-# --- whole runs and streams ------------------------------------------------------
+@query
+def scorecard_all_clear(spark, sf):
+    return reports.all_clear(QUERIES["integrity_scorecard"](spark, sf))
+
+
+# --- files, whole runs and streams ------------------------------------------------
+
+
+def _batch_files(spark, sf):
+    files = new_folder(spark, "batches")
+    batched = fx.batched_log(spark, sf).withColumnRenamed("event_id", "row_no")
+    write_batches(batched, files)
+    return files
+
+
+@query
+def batch_files(spark, sf):
+    """The log written as batch files and read back."""
+    return read_batches(spark, _batch_files(spark, sf))
+
+
+@query
+def line_batches(spark, sf):
+    """The log written as text files, numbered in file order and cut into batches."""
+    files = new_folder(spark, "lines")
+    fx.raw_log(spark, sf).select("value").write.text(files)
+    numbered = batching.number_lines(read_raw(spark, files, places=True))
+    batched = batching.assign_batches(numbered, 700)
+    return batched.groupBy("batch_no").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.min("row_no").alias("first_row"),
+        F.max("row_no").alias("last_row"),
+    )
+
+
+@query
+def parsed_tsv(spark, sf):
+    """Parsed rows exported as tab-separated text and read back."""
+    folder = new_folder(spark, "tsv")
+    export_query(fx.parsed(spark, sf).drop("event_id", "batch_no"), folder)
+    return read_parsed_tsv(spark, folder)
+
+
+@query
+def stored_malformed(spark, sf):
+    """The malformed lines kept beside the parsed table."""
+    return tables.read_malformed(spark, fx.ingest(spark, sf), keep="event_id bigint, batch_no int")
+
+
+@query
+def hosts_from_text(spark, sf):
+    """Hourly errors with host lists stored as text, merged over batches."""
+    hours = texts_of_lists(traffic.hourly_errors(fx.parsed(spark, sf), BATCH))
+    return merge.merge_hours(lists_of_texts(hours))
+
+
+@query
+def run_metadata(spark, sf):
+    """What a run over the batch files leaves in the run table, but for its times."""
+    root = new_folder(spark, "results")
+    lines = read_batches(spark, _batch_files(spark, sf))
+    run_batches(lines, root, "web_2500", "Spark", run_id=7, queries="1")
+    return read_runs(spark, root).drop("total_runtime", "execution_timestamp")
 
 
 @query
 def run_results(spark, sf):
     """Write the log as batch files, read them back, run all queries, read the stored hours."""
-    files, root = new_folder(spark, "batches"), new_folder(spark, "results")
-    batched = fx.batched_log(spark, sf).withColumnRenamed("event_id", "row_no")
-    write_batches(batched, files)
+    files, root = _batch_files(spark, sf), new_folder(spark, "results")
     run_batches(read_batches(spark, files), root, "web_2500", "spark", run_id=1)
     stored = tables.read_results(spark, root, "hourly_errors", 1)
     return texts_of_lists(stored).drop("run_id", "load_id")
@@ -346,9 +414,7 @@ def run_results(spark, sf):
 @query
 def stream_batches(spark, sf):
     """The same batch files as a stream; the run's totals and stored daily traffic."""
-    files, root = new_folder(spark, "batches"), new_folder(spark, "results")
-    batched = fx.batched_log(spark, sf).withColumnRenamed("event_id", "row_no")
-    write_batches(batched, files)
+    files, root = _batch_files(spark, sf), new_folder(spark, "results")
     streams.stream_batches(
         spark, files, root, "web_2500", "spark", run_id=1, files_per_trigger=50
     ).awaitTermination()

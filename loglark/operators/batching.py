@@ -8,21 +8,33 @@ from pyspark.sql import functions as F
 from loglark.session import staged
 
 
-def _offset_rows(rows: DataFrame, place: list[str], row: str) -> DataFrame:
-    """Add ``row_no`` (from 0) to rows that know their place and a rising ``row`` id in it.
+def _task():
+    """The task that gave a row its ``_row`` id, which counts up within the task."""
+    return F.shiftright("_row", 33)
 
-    ``place`` names a scan split or a sort partition, so the offset table has one row
-    per task of the write before it: small enough for one window and for a broadcast.
+
+def _offset_rows(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """Add ``row_no`` (from 0) to stored rows with a ``_row`` id.
+
+    ``order`` tells runs of consecutive rows apart and sorts them. The runs are the scan
+    splits or the tasks of the write before: a few numbers for each, as many as the driver
+    itself holds to plan that write. So they fit one window and a broadcast.
     """
-    sizes = rows.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"), F.min(row).alias("_first"))
-    before = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *place, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    names = [f"_o{i}" for i in range(len(order))]
+    keys = [c.alias(n) for c, n in zip(order, names, strict=True)]
+    runs = rows.groupBy(_task().alias("_t"), *keys).agg(
+        F.min("_row").alias("_first"), F.max("_row").alias("_last")
     )
+    before = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    length = F.col("_last") - F.col("_first") + 1
+    offsets = runs.select(
+        "_t", "_first", "_last", F.coalesce(F.sum(length).over(before), F.lit(0)).alias("_offset")
+    )
+    inside = (_task() == F.col("_t")) & F.col("_row").between(F.col("_first"), F.col("_last"))
     return (
-        rows.join(F.broadcast(offsets), place)
-        .withColumn("row_no", F.col("_offset") + F.col(row) - F.col("_first"))
-        .drop(*place, row, "_first", "_offset")
+        rows.join(F.broadcast(offsets), inside)
+        .withColumn("row_no", F.col("_offset") + F.col("_row") - F.col("_first"))
+        .drop("_row", "_t", "_first", "_last", "_offset")
     )
 
 
@@ -30,14 +42,10 @@ def number_rows(df: DataFrame, *order: str | Column) -> DataFrame:
     """Add ``row_no`` from 0 in the given order, which should be unique for each row.
 
     The rows are range-partitioned and sorted once and written to the shared folder;
-    both passes over them then see the same partitions.
+    both passes over them then see the same ids.
     """
-    placed = df.sort(*order).select(
-        "*",
-        F.spark_partition_id().alias("_place"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
-    return _offset_rows(staged(placed, "numbered"), ["_place"], "_row")
+    placed = df.sort(*order).withColumn("_row", F.monotonically_increasing_id())
+    return _offset_rows(staged(placed, "numbered"), [_task()])
 
 
 def number_lines(lines: DataFrame) -> DataFrame:
@@ -47,7 +55,8 @@ def number_lines(lines: DataFrame) -> DataFrame:
     by file and start.
     """
     placed = lines.withColumn("_row", F.monotonically_increasing_id())
-    return _offset_rows(staged(placed, "lines"), ["file_path", "block_start"], "_row")
+    numbered = _offset_rows(staged(placed, "lines"), [F.col("file_path"), F.col("block_start")])
+    return numbered.drop("file_path", "block_start")
 
 
 def assign_batches(numbered: DataFrame, n: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loglark.functions.names import batch_identity, join_hosts, split_hosts
@@ -48,23 +48,30 @@ def read_batches(spark: SparkSession, folder: str) -> DataFrame:
     return batch_columns(reader.text(folder))
 
 
-def write_batches(batched: DataFrame, folder: str, col: str = "value", one_file: bool = True) -> None:
+def write_batches(
+    batched: DataFrame, folder: str, col: str = "value", one_file: bool = True
+) -> None:
     """Write numbered, batched lines as one folder ``batch=b<id>_<count>`` per batch.
 
-    Each batch is one file with its lines in order. For batches too large for that,
-    ``one_file=False`` range-partitions by batch and line: a batch is then shared by
-    several tasks and its files follow each other by name.
+    Each batch is one file with its lines in order, after one shuffle by batch. For
+    batches too large for one task, ``one_file=False`` range-partitions by batch and
+    line: a batch is then shared by several tasks and its files follow each other by name.
     """
-    sizes = batched.groupBy("batch_no").agg(F.count(F.lit(1)).alias("_n"))
+    if one_file:
+        size = F.count(F.lit(1)).over(Window.partitionBy("batch_no"))
+        sized = batched.withColumn("_n", size)
+    else:
+        sizes = batched.groupBy("batch_no").agg(F.count(F.lit(1)).alias("_n"))
+        sized = batched.join(sizes, "batch_no")
     name = F.concat(F.lit("b"), "batch_no", F.lit("_"), "_n")
-    named = batched.join(sizes, "batch_no").select(
+    named = sized.select(
         # Not nullable, so that the writer keeps the sort order of this column.
         F.coalesce(name, F.lit("")).alias("batch"),
         "row_no",
         F.col(col).alias("value"),
     )
     if one_file:
-        placed = named.repartition("batch").sortWithinPartitions("batch", "row_no")
+        placed = named.sortWithinPartitions("batch", "row_no")
     else:
         placed = named.sort("batch", "row_no")
     placed.select("value", "batch").write.mode("overwrite").partitionBy("batch").text(folder)
