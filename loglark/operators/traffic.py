@@ -22,7 +22,7 @@ from loglark.operators.hosts import (
 
 TOP_K = 20
 # A top list of this many rows at most is broadcast; a longer one is joined by its size.
-BROADCAST_ROWS = 10_000
+BROADCAST_ROWS = 1_000
 # Shares into which the hosts of one key are split for a join.
 SALTS = 32
 
@@ -105,6 +105,7 @@ def top_resources(
     """Top resources with bytes, distinct hosts and their list.
 
     Counting needs only the resource and bytes columns; hosts are read in a second pass.
+    Rows come in no order; sort by request_count and resource_path descending to show them.
     """
     keys = [*by, "resource_path"]
     winners = top_keys(parsed, k, by)

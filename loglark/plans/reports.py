@@ -17,7 +17,11 @@ from loglark.functions.names import dataset_base, target_batch_size
 from loglark.operators.merge import merge_daily, merge_hours, merge_resources
 from loglark.operators.runs import ENGINES, finished_runs, latest_runs, successful_runs
 
+# How large a run must be to compare with, the scorecard's verdicts, and the
+# names of the two kinds of series in the batch comparison.
 COMPARISON_MIN_RECORDS = 1000
+BASELINE, MATCH, MISMATCH, NO_HISTORY = "BASELINE", "MATCH", "MISMATCH", "NO_HISTORY"
+TARGET_SERIES, FASTEST_SERIES = "Target Exec", "Fastest Exec"
 
 
 def _target(runs: DataFrame, run_id: int) -> DataFrame:
@@ -289,11 +293,11 @@ def batch_comparison(runs: DataFrame, batches: DataFrame, run_id: int) -> DataFr
 
     def series(rows: DataFrame, kind: str) -> DataFrame:
         label = F.concat(
-            F.upper("pipeline_name"), F.lit(f" ({kind} Exec: "), F.col("run_id"), F.lit(")")
+            F.upper("pipeline_name"), F.lit(f" ({kind}: "), F.col("run_id"), F.lit(")")
         )
         return rows.select("run_id", label.alias("series"))
 
-    chosen = series(target, "Target").unionByName(series(fastest, "Fastest"))
+    chosen = series(target, TARGET_SERIES).unionByName(series(fastest, FASTEST_SERIES))
     return (
         batches.join(chosen, "run_id")
         .select("series", "batch_no", "batch_runtime")
@@ -370,10 +374,10 @@ def integrity_scorecard(
     zero = F.lit(0).cast("bigint")
     n, common, target_n = (F.coalesce(c, zero) for c in ("n", "common", "target_n"))
     status = (
-        F.when(F.col("is_baseline"), "BASELINE")
-        .when(F.col("run_id").isNull(), "NO_HISTORY")
-        .when((n == target_n) & (common == target_n), "MATCH")
-        .otherwise("MISMATCH")
+        F.when(F.col("is_baseline"), BASELINE)
+        .when(F.col("run_id").isNull(), NO_HISTORY)
+        .when((n == target_n) & (common == target_n), MATCH)
+        .otherwise(MISMATCH)
     )
     return (
         rows.select("pos", "engine", "run_id", "is_baseline", F.lit(run_id).alias("target_id"))
@@ -386,7 +390,7 @@ def integrity_scorecard(
 
 def all_clear(scorecard: DataFrame) -> DataFrame:
     """One row: true when no engine disagrees."""
-    return scorecard.agg((F.count_if(F.col("status") == "MISMATCH") == 0).alias("all_clear"))
+    return scorecard.agg((F.count_if(F.col("status") == MISMATCH) == 0).alias("all_clear"))
 
 
 def all_reports(

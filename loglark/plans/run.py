@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglark.functions.parsing import count_quality, parse_logs
-from loglark.operators.batching import dataset_stats
+from loglark.operators.batching import assign_batches, dataset_stats, number_lines
 from loglark.operators.runs import run_totals
 from loglark.operators.traffic import daily_traffic, hourly_errors, top_resources
 from loglark.sources.tables import (
@@ -20,6 +20,7 @@ from loglark.sources.tables import (
     write_parsed,
     write_results,
 )
+from loglark.sources.text import read_raw, write_batches
 
 QUERIES: dict[int, tuple[str, Callable[..., DataFrame]]] = {
     1: ("daily_traffic", daily_traffic),
@@ -37,6 +38,16 @@ def select_queries(choice: str) -> list[int]:
     raise ValueError(f"queries must be 'all' or one of {list(QUERIES)}, not {choice!r}")
 
 
+def split_dataset(spark: SparkSession, path: str, parent: str, n: int) -> str:
+    """Cut a log file into batch files of n lines in ``<parent>/<file name>_<n>``; gives that folder."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    stem = name.rsplit(".", 1)[0] if "." in name else name
+    folder = f"{parent.rstrip('/')}/{stem}_{n}"
+    lines = number_lines(read_raw(spark, path, places=True))
+    write_batches(assign_batches(lines, n), folder)
+    return folder
+
+
 def run_batches(
     lines: DataFrame,
     root: str,
@@ -145,3 +156,15 @@ def read_runs(spark: SparkSession, root: str) -> DataFrame:
         "total_record_count",
         "execution_timestamp",
     )
+
+
+def read_run_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The tables below ``root`` as the arguments of ``reports.all_reports``."""
+    return {
+        "runs": read_runs(spark, root),
+        "batches": read_results(spark, root, "batch_metadata"),
+        "timings": read_metadata(spark, root, "query_metadata"),
+        "daily": read_results(spark, root, "daily_traffic"),
+        "top": read_results(spark, root, "top_resources"),
+        "hours": read_results(spark, root, "hourly_errors"),
+    }

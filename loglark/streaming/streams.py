@@ -23,12 +23,14 @@ def stream_batches(
     queries: str = "all",
     files_per_trigger: int = 1,
     checkpoint: str | None = None,
+    first_load: int = 0,
 ) -> StreamingQuery:
     """Process every batch file of a folder once, new ones included, then stop.
 
-    Each batch is one file, so it is never split over triggers. The trigger number is
-    the load id: a trigger repeated after a failure replaces its own rows.
-    Many small batches go faster with more files per trigger.
+    Each batch is one file, so it is never split over triggers. The trigger number gives
+    the load id: a trigger repeated after a failure replaces its own rows. A new checkpoint
+    counts triggers from 0 again; for the same run give it a ``first_load`` above the old
+    loads. Many small batches go faster with more files per trigger.
     """
     reader = (
         spark.readStream.option("pathGlobFilter", "*.txt")
@@ -37,7 +39,7 @@ def stream_batches(
     )
 
     def load(lines: DataFrame, epoch: int) -> None:
-        run_batches(lines, root, dataset, engine, run_id, epoch, queries)
+        run_batches(lines, root, dataset, engine, run_id, first_load + epoch, queries)
 
     return (
         batch_columns(reader.text(folder))
