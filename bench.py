@@ -94,7 +94,7 @@ def main() -> None:
         "hourly_errors": lambda: traffic.hourly_errors(parsed()),
         "hourly_errors_join": lambda: traffic.hourly_errors_join(parsed()),
         "daily_traffic_by_batch": lambda: traffic.daily_traffic(parsed(), BATCH),
-        "top_resources_by_batch": lambda: traffic.top_resources(parsed(), by=BATCH),
+        "top_resources_by_batch": lambda: fx.top_of_batches(parsed()),
         "hourly_errors_by_batch": lambda: traffic.hourly_errors(parsed(), BATCH),
         "merged_hourly_errors": lambda: merge.merge_hours(traffic.hourly_errors(parsed(), BATCH)),
         "daily_traffic_from_raw": lambda: traffic.daily_traffic(valid_logs(lines())),

@@ -177,7 +177,7 @@ def daily_traffic_by_batch(spark, sf):
 
 @query
 def top_resources_by_batch(spark, sf):
-    return texts_of_lists(traffic.top_resources(fx.parsed(spark, sf), by=BATCH))
+    return texts_of_lists(fx.top_of_batches(fx.parsed(spark, sf)))
 
 
 @query
@@ -195,7 +195,7 @@ def merged_daily_traffic(spark, sf):
 
 @query
 def merged_top_resources(spark, sf):
-    return merge.merge_resources(traffic.top_resources(fx.parsed(spark, sf), by=BATCH))
+    return merge.merge_resources(fx.top_of_batches(fx.parsed(spark, sf)))
 
 
 @query

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOSTS_PER_PART = 100_000
-BUCKETS = 1024
+BUCKETS = 256
 
 
 def host_bucket(buckets: int = BUCKETS) -> Column:

@@ -21,8 +21,8 @@ from loglark.operators.hosts import (
 )
 
 TOP_K = 20
-# A top list of this many rows at most is broadcast; a longer one is joined by its size.
-BROADCAST_ROWS = 1_000
+# Top lists of this many rows at most (some megabytes) are broadcast; longer ones are joined.
+BROADCAST_ROWS = 50_000
 # Shares into which the hosts of one key are split for a join.
 SALTS = 32
 
@@ -62,6 +62,11 @@ def top_keys(parsed: DataFrame, k: int = TOP_K, by: Sequence[str] = ()) -> DataF
     return counts.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
 
 
+def count_groups(rows: DataFrame, by: Sequence[str] = ("batch_no",)) -> int:
+    """How many groups there are; a job that reads the ``by`` columns only."""
+    return rows.select(*by).distinct().count()
+
+
 def _hosts_of_few(requests: DataFrame, winners: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Winner rows with each of their hosts, for winners few enough to broadcast.
 
@@ -99,18 +104,23 @@ def top_resources(
     parsed: DataFrame,
     k: int = TOP_K,
     by: Sequence[str] = (),
+    groups: int | None = None,
     hosts_per_part: int = HOSTS_PER_PART,
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """Top resources with bytes, distinct hosts and their list.
 
     Counting needs only the resource and bytes columns; hosts are read in a second pass.
+    With ``by``, tell the number of its groups if it is known (``count_groups``): it bounds
+    the number of winners, and few winners are broadcast, so that only their requests are
+    shuffled.
     Rows come in no order; sort by request_count and resource_path descending to show them.
     """
     keys = [*by, "resource_path"]
     winners = top_keys(parsed, k, by)
     requests = parsed.withColumnRenamed("resource", "resource_path").select(*keys, "host")
-    if not by and k <= BROADCAST_ROWS:
+    groups = groups if by else 1
+    if groups is not None and k * groups <= BROADCAST_ROWS:
         pairs = _hosts_of_few(requests, winners, keys)
     else:
         pairs = _hosts_of_many(requests, winners, keys, buckets)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loglark.functions.parsing import count_quality, parse_logs
 from loglark.operators.batching import assign_batches, dataset_stats, number_lines
 from loglark.operators.runs import run_totals
-from loglark.operators.traffic import daily_traffic, hourly_errors, top_resources
+from loglark.operators.traffic import count_groups, daily_traffic, hourly_errors, top_resources
 from loglark.sources.tables import (
     read_metadata,
     read_parsed,
@@ -111,7 +111,9 @@ def _load(
     for q in chosen:
         name, query = QUERIES[q]
         start = time.monotonic()
-        write_results(query(parsed, by=("batch_no",)), root, name, run_id, load_id)
+        known = {"groups": count_groups(seen)} if query is top_resources else {}
+        results = query(parsed, by=("batch_no",), **known)
+        write_results(results, root, name, run_id, load_id)
         timings.append((batch, q, (time.monotonic() - start) * 1000))
 
     spent = sum(ms for _, _, ms in timings) / 1000 if batch is not None else None

@@ -68,10 +68,12 @@ def test_hours(spark, by, parts, query):
 
 @pytest.mark.parametrize("by", [(), KEYS])
 @pytest.mark.parametrize("parts", [{}, {"hosts_per_part": 24, "buckets": 8}, {"hosts_per_part": 1}])
-@pytest.mark.parametrize("k", [1, 20, 20_000])
+@pytest.mark.parametrize("k", [1, 20, 60_000])
 def test_top(spark, by, parts, k):
     rows = make_rows(3000, seed=2)
-    got = traffic.top_resources(spark.createDataFrame(rows, FIELDS), k, by, **parts)
+    df = spark.createDataFrame(rows, FIELDS)
+    groups = traffic.count_groups(df, by) if by and k == 20 else None
+    got = traffic.top_resources(df, k, by, groups, **parts)
     want = expected_top(rows, k, bool(by))
     assert collect_parts(got, [*by, "resource_path"], TOP_VALUES) == want
 
@@ -97,8 +99,9 @@ def test_null_group_column_is_kept(spark):
     df = spark.createDataFrame(rows, FIELDS)
     hours = {r.batch_no: r for r in traffic.hourly_errors(df, KEYS).collect()}
     assert hours[None].hosts_list == ["h"] and hours[1].hosts_list == []
-    top = {r.batch_no: r for r in traffic.top_resources(df, by=KEYS).collect()}
-    assert top[None].hosts_list == top[1].hosts_list == ["h"]
+    for groups in (None, 2):
+        top = {r.batch_no: r for r in traffic.top_resources(df, by=KEYS, groups=groups).collect()}
+        assert top[None].hosts_list == top[1].hosts_list == ["h"]
 
 
 def test_empty_input(spark):
@@ -182,7 +185,7 @@ def test_merged_batches_equal_the_whole(spark, size):
 def test_merged_top_lists(spark):
     rows = make_rows(2500, seed=9)
     df = spark.createDataFrame(rows, FIELDS)
-    got = merge.merge_resources(traffic.top_resources(df, 5, KEYS, hosts_per_part=4, buckets=4)).collect()
+    got = merge.merge_resources(traffic.top_resources(df, 5, KEYS, groups=4, hosts_per_part=4, buckets=4)).collect()
     want = defaultdict(lambda: [0, 0, set()])
     for (_, resource), (n, size, _, hosts) in expected_top(rows, 5, True).items():
         want[resource][0] += n
