@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks.oracles import ORACLES
+from checks.registry import QUERIES
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
@@ -26,18 +28,20 @@ def plain(value):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = entry.queries()[name](spark, DATA)
+    df = QUERIES[name](spark, DATA)
     columns = sorted(df.columns)
-    cursor = duck.execute(entry.oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
     assert columns == sorted(names)
     want = sorted(repr([plain(r[names.index(c)]) for c in columns]) for r in cursor.fetchall())
