@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loglark.llm import exact_dedup, mixing, packing, sharding
-from loglark.llm.common import LOWER, UPPER, documents
+from loglark.llm import exact_dedup, minhash, mixing, packing, sharding
+from loglark.llm.common import LOWER, UPPER, WORD, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,11 @@ def op1_extendible_shards(spark, sf):
     return sharding.shard(documents(spark, sf))
 
 
+@query
+def op5_minhash(spark, sf):
+    return minhash.near_duplicates(documents(spark, sf))
+
+
 @query
 def op8_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(documents(spark, sf))
@@ -41,6 +46,20 @@ def op10_mixing(spark, sf):
 
 ORACLES = {
     "op1_extendible_shards": sharding.SQL,
+    "op5_minhash": f"""
+        with recursive t as (
+          select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') as w from documents),
+        g as (
+          select doc_id, unnest(list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+                 else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end)) as s from t),
+        n as (select doc_id, count(*) as n from g group by 1),
+        i as (select a.doc_id as a, b.doc_id as b, count(*) as c from g a join g b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+        l as (select a, b from i join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+        r(a, b) as (select a, b from l union select r.a, l.b from r join l on l.a = r.b),
+        m as (select a, min(b) as b from r group by 1)
+        select t.doc_id, coalesce(n.n, 0) as n_shingles, least(t.doc_id, coalesce(m.b, t.doc_id)) as component_id,
+               t.doc_id = least(t.doc_id, coalesce(m.b, t.doc_id)) as kept
+        from t left join n using (doc_id) left join m on m.a = t.doc_id""",
     "op8_exact_dedup": f"""
         with d as (select doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) as text_sha256 from documents)
         select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
