@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import zipfile
 from collections.abc import Sequence
+from io import BytesIO
+from pathlib import Path
+from tempfile import mkdtemp
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +51,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return Stage(df, name).df
 
 
+def with_package(df: DataFrame) -> DataFrame:
+    """``df``, after sending this package to the executors, whose Python need not have it installed."""
+    context = df.sparkSession.sparkContext
+    if not getattr(context, "_loglark_sent", False):
+        top = Path(__file__).resolve().parents[1]
+        archive = BytesIO()
+        with zipfile.ZipFile(archive, "w") as z:
+            for p in sorted(top.rglob("*.py")):
+                z.write(p, p.relative_to(top.parent))
+        path = Path(mkdtemp(prefix="loglark-"), "loglark.zip")
+        path.write_bytes(archive.getvalue())
+        context.addPyFile(str(path))
+        context._loglark_sent = True
+    return df
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, all other characters as they are. ``lower`` is the fast way where they agree."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(

@@ -13,11 +13,12 @@ from functools import lru_cache
 from math import exp, lgamma, log
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglark.llm.common import Stage, attach, fresh, stage
+from loglark.llm.common import Stage, attach, fresh, stage, with_package
 from loglark.llm.shingles import fingerprint, shingles
 
 #: Link when 100 * intersection >= PERCENT * union.
@@ -121,7 +122,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).take(pa.array(left, pa.int64()))
 
 
-def _link_block(rows) -> pa.Table:
+def _link_block(rows: pd.DataFrame) -> list[tuple[bytes, bytes]]:
     """Links between members of different components in one block, or between two blocks.
 
     Pairs are tested by signature first, best first on the full sets; those that earlier
@@ -160,10 +161,8 @@ def _link_block(rows) -> pa.Table:
     return found
 
 
-def _link_blocks(key, table):
-    import pandas as pd
-
-    return pd.DataFrame(_link_block(table), columns=["a", "b"])
+def _link_blocks(rows: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame(_link_block(rows), columns=["a", "b"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -265,7 +264,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest but among null ids. Rows of one text stay together whatever their ids; an empty
     table gives an empty result; other columns are not read.
     """
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    slim = with_package(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = Stage(slim.mapInArrow(_sets, "doc_id long, n long, fp binary, sig binary"), "near-signatures")
     full = signed.df.where("n > 0")
     nodes = stage(

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loglark.llm.common import Stage, stage
+from loglark.llm.common import Stage, stage, with_package
 
 WINDOW = 2048
 #: The id that ends each document.
@@ -215,7 +215,7 @@ def pack(
     """
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.select(
+    docs = with_package(docs).select(
         F.pmod(F.xxhash64(id_col), F.lit(parts)).cast("int").alias("part"),
         F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
         F.col(id_col).cast("long").alias("doc_id"),

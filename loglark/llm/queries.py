@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loglark.llm import exact_dedup, minhash, mixing, packing, sharding
+from loglark.llm import exact_dedup, language, main_text, minhash, mixing, packing, pii, quality_trees, rule_ensemble, sharding
 from loglark.llm.common import LOWER, UPPER, WORD, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,11 +23,40 @@ def op1_extendible_shards(spark, sf):
     return sharding.shard(documents(spark, sf))
 
 
+def labels(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/labels.parquet")
+
+
+@query
+def op2_rule_ensemble(spark, sf):
+    return rule_ensemble.quality(documents(spark, sf), labels(spark, sf))
+
+
+@query
+def op3_pii_spans(spark, sf):
+    return pii.personal_data(documents(spark, sf))
+
+
+@query
+def op4_language(spark, sf):
+    return language.languages(documents(spark, sf))
+
+
 @query
 def op5_minhash(spark, sf):
     return minhash.near_duplicates(documents(spark, sf))
 
 
+@query
+def op6_main_text(spark, sf):
+    return main_text.main_text(spark.read.parquet(f"{sf}/pages.parquet"))
+
+
+@query
+def op7_quality_trees(spark, sf):
+    return quality_trees.quality_rules(documents(spark, sf), labels(spark, sf))
+
+
 @query
 def op8_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(documents(spark, sf))
@@ -60,6 +89,14 @@ ORACLES = {
         select t.doc_id, coalesce(n.n, 0) as n_shingles, least(t.doc_id, coalesce(m.b, t.doc_id)) as component_id,
                t.doc_id = least(t.doc_id, coalesce(m.b, t.doc_id)) as kept
         from t left join n using (doc_id) left join m on m.a = t.doc_id""",
+    # The pages of the table have one article each, without tags inside that hold other parts.
+    "op6_main_text": r"""
+        with a as (
+          select page_id, url, regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '(?s)<[^>]*>', ' ', 'g') as t from pages),
+        u as (
+          select page_id, url, replace(replace(replace(replace(t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') as t from a)
+        select page_id, url, coalesce(trim(regexp_replace(t, '\s+', ' ', 'g')), '') as text,
+               cast(coalesce(length(trim(regexp_replace(t, '\s+', ' ', 'g'))), 0) as bigint) as n_chars from u""",
     "op8_exact_dedup": f"""
         with d as (select doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) as text_sha256 from documents)
         select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,

@@ -32,9 +32,10 @@ def _power(n: int) -> np.ndarray:
     return _powers
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """Hash of each word, A-Z in lower case; words lie between ASCII white space."""
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), dtype=np.uint8)
+def word_hashes(text: str, lower: bool = True) -> np.ndarray:
+    """Hash of each word, A-Z in lower case if asked; words lie between ASCII white space."""
+    data = text.encode("utf-8", "surrogatepass")
+    raw = np.frombuffer(data.lower() if lower else data, dtype=np.uint8)
     space = _SPACE[raw]
     edges = np.flatnonzero(np.diff(np.concatenate(([True], space, [True]))))
     starts, ends = edges[::2], edges[1::2]
