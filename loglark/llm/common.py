@@ -8,7 +8,7 @@ from io import BytesIO
 from pathlib import Path
 from tempfile import mkdtemp
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loglark.session import new_folder
@@ -96,3 +96,22 @@ def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: str) -
     hot = groups.where(F.col(size) > 1).orderBy(F.desc(size), *keys).limit(HOT_GROUPS)
     cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
     return rows.join(F.broadcast(hot), keys).unionByName(cold.join(groups, keys))
+
+
+def smallest_hashes(rows: DataFrame, group: str, key: str, per_group: int) -> DataFrame:
+    """Of each ``group`` the ``per_group`` rows whose ``key`` hashes smallest; a written table.
+
+    Groups are counted first, and only rows below a hash that about twice as many rows are
+    expected to pass are ranked, so a task ranks that many however large its group is.
+    """
+    sizes = stage(rows.groupBy(group).agg(F.count("*").alias("_size")), "sample-sizes")
+    place = F.xxhash64(key)
+    share = F.lit(2.0 * per_group + 50) / F.col("_size")
+    likely = (
+        rows.join(sizes, group)
+        .withColumn("_place", place)
+        .where((F.shiftrightunsigned("_place", 1) / F.lit(float(1 << 63))) < share)
+    )
+    order = Window.partitionBy(group).orderBy(F.shiftrightunsigned("_place", 1), key)
+    ranked = likely.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= per_group)
+    return stage(ranked.drop("_size", "_place", "_nth"), "sample")

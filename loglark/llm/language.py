@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglark.llm.common import fresh, stage, with_package
+from loglark.llm.common import fresh, smallest_hashes, with_package
 from loglark.llm.statistics import held_out
 
 #: Bytes of a window, widths of the filters and filters of each width.
@@ -136,21 +136,15 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_langua
 
     It learns from documents with crc32(id as text) mod 4 other than 2: of each language the
     ``per_language`` ones with the smallest hashes, WINDOWS pieces of each, spread over its
-    text. The limit is pushed below the shuffle, and that bounded sample comes to the driver.
+    text. That bounded sample comes to the driver.
     """
     text = F.col(text_col)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     piece = F.expr(
         f"explode(transform(sequence(0, {WINDOWS - 1}), i -> substring(text, cast(floor(length(text) * i / {WINDOWS}) as int) + 1, {WINDOW})))"
     )
-    chosen = (
-        docs.where(text.rlike(r"\p{L}") & F.col(lang_col).isNotNull() & ~held_out(id_col, 4, 2))
-        .select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"))
-        .withColumn("nth", F.row_number().over(order))
-        .where(F.col("nth") <= per_language)
-        .drop("nth")
-    )
-    chosen = stage(chosen, "language-sample")
+    labelled = docs.where(text.rlike(r"\p{L}") & F.col(lang_col).isNotNull() & ~held_out(id_col, 4, 2))
+    labelled = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"))
+    chosen = smallest_hashes(labelled, "lang", "id", per_language).distinct()
     rows = (
         docs.select(F.col(id_col).alias("id"), text.alias("text"), F.col(lang_col).cast("string").alias("lang"))
         .join(F.broadcast(chosen), ["id", "lang"])

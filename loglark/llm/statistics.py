@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglark.llm.common import stage, with_package
+from loglark.llm.common import smallest_hashes, with_package
 from loglark.llm.shingles import _SPACE, K, _mix, _PLACE, word_hashes
 
 SYMBOLS = b"#*$%&|<>"
@@ -134,19 +134,14 @@ def training_rows(
     """Features and labels of a bounded sample of labelled documents that are not held out.
 
     Of each label value the ``per_class`` rows with the smallest hashes of their ids are
-    taken; the limit is pushed below the shuffle. Only these documents are measured, and at
-    most 2 * ``per_class`` rows of numbers come to the driver.
+    taken. Only these documents are measured, and at most 2 * ``per_class`` rows of numbers come to the driver.
     """
-    order = Window.partitionBy("label").orderBy(F.xxhash64("label_id"), "label_id")
-    chosen = (
+    known = (
         labels.select(F.col("doc_id").alias("label_id"), F.col(label).cast("int").alias("label"))
         .where(F.col("label").isin(0, 1) & ~held_out("label_id", 5, 0))
         .dropDuplicates(["label_id"])
-        .withColumn("nth", F.row_number().over(order))
-        .where(F.col("nth") <= per_class)
-        .drop("nth")
     )
-    chosen = stage(chosen, "label-sample")
+    chosen = smallest_hashes(known, "label", "label_id", per_class)
     texts = docs.join(F.broadcast(chosen), docs[id_col] == chosen["label_id"])
     rows = measured(texts, id_col, text_col).join(F.broadcast(chosen), F.col("row_id") == F.col("label_id"))
     table = rows.select("row_id", "label", *FEATURES).dropDuplicates(["row_id"]).orderBy("row_id").toPandas()

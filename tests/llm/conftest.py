@@ -1,0 +1,49 @@
+import random
+
+import pytest
+
+WORDS = "the of and a to in is you that it he was for on are as with his they at be this have from or one had by word but".split()
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def sentence(rng, n):
+    return " ".join(rng.choice(WORDS) + rng.choice("abcdefgh") for _ in range(n))
+
+
+@pytest.fixture(scope="session")
+def odd_rows():
+    """Nulls in every column, empty and long texts, ties and repeated rows."""
+    long = "word " * 20_000
+    return [
+        (1, "Plain text of some words here", "en", "src1", 29),
+        (2, "plain text of some words here", "en", "src1", 29),
+        (2, "plain text of some words here", "en", "src1", 29),
+        (3, None, None, None, None),
+        (4, "", "en", "src2", 0),
+        (None, "no id at all in this row", None, "src2", 24),
+        (None, None, "de", None, None),
+        (5, long, "en", "src1", len(long)),
+        (6, " \n\t ", "fr", "src3", 4),
+        (7, "É é", "fr", "src3", 3),
+        (8, "é é", "fr", "src3", 3),
+        (9, "123 456", "en", "src3", 7),
+    ]
+
+
+@pytest.fixture
+def odd(spark, odd_rows):
+    """The rows with columns whose names the operators use inside."""
+    df = spark.createDataFrame(odd_rows, DOCS)
+    extra = ["_key", "_sum", "_id", "_language", "mix_epoch", "part", "bytes", "score", "_kept_id", "fp", "tokens"]
+    return df.selectExpr("*", *[f"'x' as `{c}`" for c in extra])
+
+
+@pytest.fixture
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture
+def rng():
+    return random.Random(7)
