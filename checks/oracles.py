@@ -387,8 +387,8 @@ oracle(
 oracle("batch_size_runtime", "select target_batch_size, total_runtime from family order by 1", RUNS, FAMILY)
 oracle(
     "batch_size_avg_time",
-    """select target_batch_size, coalesce((select avg(batch_runtime) from batches b
-        where b.run_id = f.run_id), 0) as avg_batch_time from family f order by 1""",
+    """select target_batch_size, (select avg(batch_runtime) from batches b
+        where b.run_id = f.run_id) as avg_batch_time from family f order by 1""",
     RUNS,
     FAMILY,
     BATCHES,
@@ -522,3 +522,26 @@ oracle(
     _daily("", f"(select * from parsed {CLOSED.format(unit='day')})"),
     PARSED,
 )
+
+oracle(
+    "data_quality_unlisted",
+    f"""select case when pipeline_name = 'pig' then 'spark' else pipeline_name end as engine, run_id,
+        total_record_count - total_malformed_record_count as valid,
+        total_malformed_record_count as malformed, run_id = {TARGET} as is_baseline, true as has_history
+      from (select * from target union all select * from competitors)""",
+    RUNS,
+    COMPETITORS,
+)
+oracle(
+    "reloaded_results",
+    "select cast(0 as bigint) as stored_rows, count(*) as malformed, count(*) as records from events",
+)
+oracle(
+    "tsv_special_characters",
+    """select concat('h"', user_id) as host, '01/Jul/1995' as log_date, cast(event_id % 24 as integer) as log_hour,
+        'GET' as method, concat('/a"', event_id % 7, chr(92), event_id % 3, ',', chr(39)) as resource,
+        'HTTP/1.0' as protocol, 200 as status_code, event_id as bytes from events""",
+)
+# The names the plan gives them.
+ORACLES["pipeline_comparison"] = ORACLES["engine_comparison"]
+ORACLES["cross_pipeline_timing"] = ORACLES["cross_engine_timing"]

@@ -342,6 +342,20 @@ def scorecard_all_clear(spark, sf):
     return reports.all_clear(QUERIES["integrity_scorecard"](spark, sf))
 
 
+@query
+def data_quality_unlisted(spark, sf):
+    """The report where one engine is under a name that is not listed."""
+    engine = F.col("pipeline_name")
+    renamed = F.when(engine == "pig", "spark").otherwise(engine)
+    runs = fx.runs(spark, sf).withColumn("pipeline_name", renamed)
+    return reports.data_quality(runs, TARGET).where("has_history")
+
+
+# The names the plan gives them.
+QUERIES["pipeline_comparison"] = engine_comparison
+QUERIES["cross_pipeline_timing"] = cross_engine_timing
+
+
 # --- files, whole runs and streams ------------------------------------------------
 
 
@@ -380,6 +394,40 @@ def parsed_tsv(spark, sf):
     return read_parsed_tsv(spark, folder)
 
 
+@query
+def tsv_special_characters(spark, sf):
+    """Quotes, backslashes and commas come back from text as they went."""
+    rows = fx.table(spark, sf, "events").selectExpr(
+        "concat('h\"', user_id) as host",
+        "'01/Jul/1995' as log_date",
+        "cast(event_id % 24 as int) as log_hour",
+        "'GET' as method",
+        "concat('/a\"', event_id % 7, char(92), event_id % 3, ',', char(39)) as resource",
+        "'HTTP/1.0' as protocol",
+        "200 as status_code",
+        "event_id as bytes",
+    )
+    folder = new_folder(spark, "tsv")
+    export_query(rows, folder)
+    return read_parsed_tsv(spark, folder)
+
+
+@query
+def reloaded_results(spark, sf):
+    """A load of valid lines, repeated with only malformed ones: nothing of the first is left."""
+    root, lines = new_folder(spark, "results"), fx.batched_log(spark, sf)
+    run_batches(lines, root, "web_2500", "spark", run_id=1)
+    broken = lines.withColumn("value", F.concat(F.lit("junk "), "value"))
+    run_batches(broken, root, "web_2500", "spark", run_id=1, queries="1")
+    names = ("daily_traffic", "top_resources", "hourly_errors")
+    rows = sum(tables.read_results(spark, root, name, 1).count() for name in names)
+    return tables.read_results(spark, root, "batch_metadata", 1).agg(
+        F.lit(rows).cast("long").alias("stored_rows"),
+        F.sum("malformed_record_count").alias("malformed"),
+        F.sum("record_count").alias("records"),
+    )
+
+
 @query
 def stored_malformed(spark, sf):
     """The malformed lines kept beside the parsed table."""

@@ -2,7 +2,8 @@
 
     split   <file> <parent folder> <lines per batch>
     run     <batch folder> <root> <run id> [--engine NAME] [--queries all|1|2|3] [--load N]
-    report  <root> <run id> <output folder>
+            [--separately 1,2,...]
+    report  <root> <run id> <output folder> [--engines a,b,...]
     history <root> <output folder>
 """
 
@@ -13,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from loglark.operators.runs import ENGINES
 from loglark.plans.reports import all_reports, run_history_json
 from loglark.plans.run import read_run_tables, read_runs, run_batches, split_dataset
 from loglark.session import configure
@@ -20,6 +22,10 @@ from loglark.sources.tables import write_run_history
 from loglark.sources.text import export_query, read_batches
 
 
+def numbers(text: str) -> list[int]:
+    return [int(x) for x in text.split(",") if x]
+
+
 def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="loglark")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -36,11 +42,13 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     run.add_argument("--engine", default="spark", help="label stored with the run")
     run.add_argument("--queries", default="all")
     run.add_argument("--load", type=int, default=0)
+    run.add_argument("--separately", type=numbers, default=[], help="batches to load and time one by one")
 
     report = jobs.add_parser("report", help="write all reports about a run")
     report.add_argument("root")
     report.add_argument("run_id", type=int)
     report.add_argument("out")
+    report.add_argument("--engines", help="engines listed with or without a run")
 
     history = jobs.add_parser("history", help="write the finished runs as JSON lines")
     history.add_argument("root")
@@ -56,9 +64,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.job == "run":
         dataset = args.folder.rstrip("/").rsplit("/", 1)[-1]
         lines = read_batches(spark, args.folder)
-        run_batches(lines, args.root, dataset, args.engine, args.run_id, args.load, args.queries)
+        run_batches(
+            lines, args.root, dataset, args.engine, args.run_id, args.load, args.queries, args.separately
+        )
     elif args.job == "report":
-        found = all_reports(**read_run_tables(spark, args.root), run_id=args.run_id)
+        engines = args.engines.split(",") if args.engines else ENGINES
+        tables = read_run_tables(spark, args.root)
+        found = all_reports(**tables, run_id=args.run_id, engines=engines)
         for name, table in found.items():
             export_query(table, f"{args.out}/{name}")
     else:

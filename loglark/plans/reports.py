@@ -74,7 +74,8 @@ def run_history_json(runs: DataFrame) -> DataFrame:
 def _engine_rows(runs: DataFrame, run_id: int, engines: Sequence[str]) -> DataFrame:
     """One row per engine: the target for its own engine, else the latest successful run.
 
-    No rows when there is no such run.
+    The listed engines come first, with or without a run, then by name all others that
+    have one; so the target always has its row. No rows when there is no such run.
     """
     target = _target(runs, run_id)
     listed = target.select(F.posexplode(F.array(*map(F.lit, engines))).alias("pos", "engine"))
@@ -85,8 +86,11 @@ def _engine_rows(runs: DataFrame, run_id: int, engines: Sequence[str]) -> DataFr
             {"engine": F.col("pipeline_name"), "is_baseline": F.lit(False)}
         )
     )
-    return listed.join(chosen, "engine", "left").withColumn(
-        "is_baseline", F.coalesce("is_baseline", F.lit(False))
+    others = chosen.where(~F.col("engine").isin(*engines)).withColumn("pos", F.lit(len(engines)))
+    return (
+        listed.join(chosen, "engine", "left")
+        .unionByName(others)
+        .withColumn("is_baseline", F.coalesce("is_baseline", F.lit(False)))
     )
 
 
@@ -94,7 +98,7 @@ def data_quality(runs: DataFrame, run_id: int, engines: Sequence[str] = ENGINES)
     """Valid and malformed lines of the target and of each other engine's latest successful run."""
     return (
         _engine_rows(runs, run_id, engines)
-        .orderBy("pos")
+        .orderBy("pos", "engine")
         .select(
             "engine",
             "run_id",
@@ -153,7 +157,7 @@ def cross_engine_timing(runs: DataFrame, timings: DataFrame, run_id: int) -> Dat
         .unionByName(_competitors(runs, run_id).select("run_id", "pipeline_name"))
     )
     return (
-        timings.join(chosen, "run_id")
+        timings.join(F.broadcast(chosen), "run_id")  # one row per engine
         .groupBy(F.col("pipeline_name").alias("pipeline"), "query_number")
         .agg(F.avg("query_runtime").alias("avg_time"))
         .orderBy("pipeline", "query_number")
@@ -162,7 +166,7 @@ def cross_engine_timing(runs: DataFrame, timings: DataFrame, run_id: int) -> Dat
 
 def _summaries(chosen: DataFrame, batches: DataFrame) -> DataFrame:
     counts = (
-        batches.join(chosen.select("run_id"), "run_id", "left_semi")
+        batches.join(F.broadcast(chosen.select("run_id")), "run_id", "left_semi")
         .groupBy("run_id")
         .agg(F.count(F.lit(1)).alias("total_batches"))
     )
@@ -246,15 +250,15 @@ def batch_size_runtime(
 def batch_size_avg_time(
     runs: DataFrame, batches: DataFrame, run_id: int, min_records: int = COMPARISON_MIN_RECORDS
 ) -> DataFrame:
-    """Mean batch runtime by batch size; 0 for a run without batches."""
+    """Mean batch runtime by batch size; null for a run whose batches were not timed."""
     family = _family(runs, run_id, min_records)
     means = (
-        batches.join(family.select("run_id"), "run_id", "left_semi")
+        batches.where("batch_runtime IS NOT NULL")
+        .join(F.broadcast(family.select("run_id")), "run_id", "left_semi")  # one run per dataset
         .groupBy("run_id")
         .agg(F.avg("batch_runtime").alias("_mean"))
     )
-    mean = F.coalesce("_mean", F.lit(0.0))
-    return _by_batch_size(family.join(means, "run_id", "left"), mean, "avg_batch_time")
+    return _by_batch_size(family.join(means, "run_id", "left"), F.col("_mean"), "avg_batch_time")
 
 
 def batch_size_throughput(
@@ -281,7 +285,11 @@ def batch_view(batches: DataFrame, run_id: int) -> DataFrame:
 
 
 def batch_comparison(runs: DataFrame, batches: DataFrame, run_id: int) -> DataFrame:
-    """Batch runtimes of the target and of the fastest run of every other engine on its dataset."""
+    """Batch runtimes of the target and of the fastest run of every other engine on its dataset.
+
+    Batches that were not timed are left out, and a run with none that was is not compared.
+    """
+    batches = batches.where("batch_runtime IS NOT NULL")
     target = _target(runs, run_id)
     others = _on_dataset(runs, target).select("run_id", "pipeline_name")
     totals = batches.join(others, "run_id").groupBy("pipeline_name", "run_id").agg(
@@ -299,7 +307,7 @@ def batch_comparison(runs: DataFrame, batches: DataFrame, run_id: int) -> DataFr
 
     chosen = series(target, TARGET_SERIES).unionByName(series(fastest, FASTEST_SERIES))
     return (
-        batches.join(chosen, "run_id")
+        batches.join(F.broadcast(chosen), "run_id")  # one run per engine
         .select("series", "batch_no", "batch_runtime")
         .orderBy("series", "batch_no")
     )
@@ -383,7 +391,7 @@ def integrity_scorecard(
         rows.select("pos", "engine", "run_id", "is_baseline", F.lit(run_id).alias("target_id"))
         .join(counts, "run_id", "left")
         .join(of_target, "target_id", "left")
-        .orderBy("pos")
+        .orderBy("pos", "engine")
         .select("engine", "run_id", status.alias("status"))
     )
 
@@ -401,15 +409,22 @@ def all_reports(
     top: DataFrame,
     hours: DataFrame,
     run_id: int,
+    engines: Sequence[str] = ENGINES,
 ) -> dict[str, DataFrame]:
-    """Every report of the standard set about one run."""
+    """Every report about one run; ``engines`` are listed whether they have a run or not."""
     return {
-        "data_quality": data_quality(runs, run_id),
+        "run_history": run_history(runs),
+        "run_summary": run_summary(runs, batches, run_id),
+        "run_comparison": run_comparison(runs, batches, run_id),
+        "batch_size_throughput": batch_size_throughput(runs, run_id),
+        "batch_view": batch_view(batches, run_id),
+        "batch_comparison": batch_comparison(runs, batches, run_id),
+        "data_quality": data_quality(runs, run_id, engines),
         "engine_comparison": engine_comparison(runs, run_id),
         "query_totals": query_totals(timings, run_id),
         "batch_query_times": batch_query_times(timings, run_id),
         "cross_engine_timing": cross_engine_timing(runs, timings, run_id),
         "batch_size_runtime": batch_size_runtime(runs, run_id),
         "batch_size_avg_time": batch_size_avg_time(runs, batches, run_id),
-        "integrity_scorecard": integrity_scorecard(runs, daily, top, hours, run_id),
+        "integrity_scorecard": integrity_scorecard(runs, daily, top, hours, run_id, engines),
     }

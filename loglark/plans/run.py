@@ -13,10 +13,13 @@ from loglark.operators.batching import assign_batches, dataset_stats, number_lin
 from loglark.operators.runs import run_totals
 from loglark.operators.traffic import count_groups, daily_traffic, hourly_errors, top_resources
 from loglark.sources.tables import (
+    clear_load,
     read_metadata,
     read_parsed,
     read_quality,
     read_results,
+    refuse_other_batches,
+    table_exists,
     write_parsed,
     write_results,
 )
@@ -29,6 +32,23 @@ QUERIES: dict[int, tuple[str, Callable[..., DataFrame]]] = {
 }
 
 
+RUN_COLUMNS = (
+    "run_id",
+    "pipeline_name",
+    "dataset_name",
+    "avg_batch_size",
+    "total_runtime",
+    "total_malformed_record_count",
+    "total_record_count",
+    "execution_timestamp",
+)
+EMPTY_TOTALS = {
+    "avg_batch_size": "double",
+    "total_malformed_record_count": "bigint",
+    "total_record_count": "bigint",
+}
+
+
 def select_queries(choice: str) -> list[int]:
     """``all`` or the number of one query."""
     if choice.lower() == "all":
@@ -65,9 +85,31 @@ def run_batches(
     runtime of their own. The batches listed in ``separately`` are instead queried one
     after the other, each as a load of its own from ``load_id`` on; that takes longer
     but times every query on every batch. A failing query raises and stores no time.
+
+    Repeating a load replaces it wholly, whatever queries it had; a load id that holds other
+    batches is refused. The run's row is written first, with runtime 0 until the load ends,
+    so a run that fails is seen as unfinished.
     """
     chosen = select_queries(queries)
     start = time.monotonic()
+    began = {
+        "pipeline_name": F.lit(engine.lower()),
+        "dataset_name": F.lit(dataset),
+        "avg_batch_size": F.lit(None),
+        "total_runtime": F.lit(0.0),
+        "total_malformed_record_count": F.lit(None),
+        "total_record_count": F.lit(None),
+        "execution_timestamp": F.current_timestamp(),
+    }
+    for i, batch in enumerate(separately):
+        mine = lines.sparkSession.createDataFrame([(batch,)], "batch_no int")
+        refuse_other_batches(lines.sparkSession, root, run_id, load_id + i, mine)
+    if not separately:
+        refuse_other_batches(lines.sparkSession, root, run_id, load_id, lines)
+    for i in range(max(1, len(separately))):
+        clear_load(lines.sparkSession, root, run_id, load_id + i)
+    opened = lines.sparkSession.range(1).withColumns(began)
+    write_results(opened, root, "run_metadata", run_id, load_id)
     parsed_path = f"{root}/parsed/run={run_id}/load={load_id}"
     write_parsed(parse_logs(lines.select("value", "batch_no")), parsed_path)
 
@@ -81,21 +123,10 @@ def run_batches(
     else:
         _load(parsed, seen, root, run_id, load_id, chosen)
 
-    run = (
-        dataset_stats(seen)
-        .select("avg_batch_size")
-        .withColumns(
-            {
-                "pipeline_name": F.lit(engine.lower()),
-                "dataset_name": F.lit(dataset),
-                "total_runtime": F.lit(time.monotonic() - start),
-                "total_malformed_record_count": F.lit(None),
-                "total_record_count": F.lit(None),
-                "execution_timestamp": F.current_timestamp(),
-            }
-        )
-    )
-    write_results(run, root, "run_metadata", run_id, load_id)
+    spent = {**began, "total_runtime": F.lit(time.monotonic() - start)}
+    del spent["avg_batch_size"]
+    ended = dataset_stats(seen).select("avg_batch_size").withColumns(spent)
+    write_results(ended, root, "run_metadata", run_id, load_id)
 
 
 def _load(
@@ -107,6 +138,9 @@ def _load(
     chosen: Sequence[int],
     batch: int | None = None,
 ) -> None:
+    if batch is None:  # a load of one batch times that batch
+        first = seen.select("batch_no").distinct().limit(2).collect()
+        batch = first[0].batch_no if len(first) == 1 else None
     timings = []
     for q in chosen:
         name, query = QUERIES[q]
@@ -131,7 +165,7 @@ def _load(
 
 
 def read_runs(spark: SparkSession, root: str) -> DataFrame:
-    """One row per run over all its loads.
+    """One row per run over all its loads, also of a run that has stored no batch yet.
 
     Runtimes add up; record counts come from the batches, each counted by its newest load.
     """
@@ -145,19 +179,13 @@ def read_runs(spark: SparkSession, root: str) -> DataFrame:
             F.max("execution_timestamp").alias("execution_timestamp"),
         )
     )
+    if not table_exists(spark, root, "batch_metadata"):
+        none = {c: F.lit(None).cast(t) for c, t in EMPTY_TOTALS.items()}
+        return loads.withColumns(none).select(*RUN_COLUMNS)
     batches = read_results(spark, root, "batch_metadata")
     sizes = batches.groupBy("run_id").agg(F.avg("record_count").alias("avg_batch_size"))
     totals = run_totals(batches).drop("total_runtime").join(sizes, "run_id")
-    return loads.join(totals, "run_id").select(
-        "run_id",
-        "pipeline_name",
-        "dataset_name",
-        "avg_batch_size",
-        "total_runtime",
-        "total_malformed_record_count",
-        "total_record_count",
-        "execution_timestamp",
-    )
+    return loads.join(totals, "run_id", "left").select(*RUN_COLUMNS)
 
 
 def read_run_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:

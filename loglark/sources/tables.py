@@ -69,6 +69,30 @@ def write_results(df: DataFrame, root: str, name: str, run_id: int, load_id: int
     )
 
 
+def clear_load(spark: SparkSession, root: str, run_id: int, load_id: int) -> None:
+    """Delete all rows of one load of a run, in every table: what is written next replaces it wholly."""
+    files = spark._jvm.org.apache.hadoop.fs
+    for name in TABLES:
+        path = files.Path(f"{root}/{name}/run_id={run_id}/load_id={load_id}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def table_exists(spark: SparkSession, root: str, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def refuse_other_batches(
+    spark: SparkSession, root: str, run_id: int, load_id: int, batches: DataFrame
+) -> None:
+    """Raise if the load holds batches that are not among ``batches``: they would be lost."""
+    if not table_exists(spark, root, "batch_metadata"):
+        return
+    held = read_metadata(spark, root, "batch_metadata", run_id).where(F.col("load_id") == load_id)
+    if not held.join(batches.select("batch_no").distinct(), "batch_no", "left_anti").isEmpty():
+        raise ValueError(f"load {load_id} of run {run_id} holds other batches; take a new load id")
+
+
 def read_metadata(
     spark: SparkSession, root: str, name: str, run_id: int | None = None
 ) -> DataFrame:

@@ -87,8 +87,13 @@ def read_parsed_tsv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def export_query(df: DataFrame, folder: str) -> None:
-    """A result as tab-separated text, host lists comma-joined, the folder's content replaced."""
-    texts_of_lists(df).write.mode("overwrite").option("sep", "\t").csv(folder)
+    """A result as tab-separated text, host lists comma-joined, the folder's content replaced.
+
+    Values stand as they are, without quotes or escapes; a null or an empty list is empty.
+    """
+    rows = texts_of_lists(df)
+    fields = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in rows.columns]
+    rows.select(F.concat_ws("\t", *fields).alias("value")).write.mode("overwrite").text(folder)
 
 
 def texts_of_lists(df: DataFrame) -> DataFrame:

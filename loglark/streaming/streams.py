@@ -13,6 +13,10 @@ from loglark.session import new_folder
 from loglark.sources.text import batch_columns
 
 
+# The file source passes over files this much older than the newest it has seen.
+ANY_AGE = "36500d"
+
+
 def stream_batches(
     spark: SparkSession,
     folder: str,
@@ -36,6 +40,7 @@ def stream_batches(
         spark.readStream.option("pathGlobFilter", "*.txt")
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_trigger)
+        .option("maxFileAge", ANY_AGE)
     )
 
     def load(lines: DataFrame, epoch: int) -> None:

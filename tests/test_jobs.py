@@ -47,3 +47,24 @@ def test_jobs_from_file_to_reports(spark, tmp_path):
     assert [(r["id"], r["pipeline"], r["dataset"]) for r in found] == [
         (3, "mr", "web.log_91"), (2, "pig", "web.log_40"), (1, "mr", "web.log_40")
     ]
+
+
+def test_reports_of_the_default_engine(spark, tmp_path):
+    """The target's engine has its row whether it is listed or not, and batches have times."""
+    log = tmp_path / "web.txt"
+    log.write_text("".join(line(host=f"h{i % 5}", status=[200, 500][i % 2]) + "\n" for i in range(60)))
+    data, root, out = tmp_path / "data", str(tmp_path / "root"), tmp_path / "out"
+    main(["split", str(log), str(data), "30"])
+    main(["run", str(data / "web_30"), root, "1", "--separately", "1,2"])
+    main(["run", str(data / "web_30"), root, "2", "--engine", "pig"])
+    main(["report", root, "1", str(out)])
+    assert [(r[0], r[2]) for r in rows(out / "integrity_scorecard")] == [
+        ("mr", "NO_HISTORY"), ("pig", "MATCH"), ("hive", "NO_HISTORY"), ("mongodb", "NO_HISTORY"), ("spark", "BASELINE")
+    ]
+    assert ("spark", "1", "60", "0", "true", "true") in rows(out / "data_quality")
+    assert [float(r[2]) > 0 for r in rows(out / "batch_view")] == [True, True]
+    assert [(r[0], r[1]) for r in rows(out / "batch_query_times")] == [(b, q) for b in "12" for q in "123"]
+    assert {r[0] for r in rows(out / "batch_comparison")} == {"SPARK (Target Exec: 1)"}
+    assert all(float(r[1]) > 0 for r in rows(out / "batch_size_avg_time"))
+    main(["report", root, "1", str(tmp_path / "few"), "--engines", "pig"])
+    assert [r[0] for r in rows(tmp_path / "few" / "data_quality")] == ["pig", "spark"]

@@ -91,7 +91,9 @@ def test_data_quality(t):
         ("pig", 15, 4995, 5, False, True),
         ("hive", 6, 800, 0, False, True),
         ("mongodb", None, None, None, False, False),
+        ("spark", 13, 4995, 5, False, True),  # not listed, but it has a run
     ]
+    assert [r[0] for r in rows(reports.data_quality(t[0], 1, ["pig"]))] == ["pig", "hive", "mr", "spark"]
     assert rows(reports.data_quality(t[0], 99)) == []
 
 
@@ -119,7 +121,7 @@ def test_batch_sizes(t):
     runs, batches, _ = t
     # web_old_1000 comes after web_1000 by name and so speaks for 1000.
     assert rows(reports.batch_size_runtime(runs, 1)) == [(500, 10.0), (1000, 11.0)]
-    assert rows(reports.batch_size_avg_time(runs, batches, 1)) == [(500, 1.5), (1000, 0.0)]
+    assert rows(reports.batch_size_avg_time(runs, batches, 1)) == [(500, 1.5), (1000, None)]
     assert rows(reports.batch_size_throughput(runs, 1)) == [(500, 500.0), (1000, 5000 / 11)]
     # The target is shown even unfinished, with no throughput.
     assert rows(reports.batch_size_runtime(runs, 4))[0] == (500, 0.0)
@@ -180,13 +182,16 @@ def test_scorecard(spark, t):
         (15, 2, "/a", None, None, 2, ["x"]),
         (6, 1, "/a", 3, 30, 1, ["x", "z", "y"]),
     ]
-    hours = [(r, 1, None, 5, 0, 3, 1, []) for r in (1, 15, 6)]
+    hours = [(r, 1, None, 5, 0, 3, 1, []) for r in (1, 15, 6, 13)]
+    daily.append((13, 1, DAY, 200, 3, 30))
+    top.append((13, 1, "/a", 3, 30, 1, ["x", "y"]))
+    daily.sort()
     assert scorecard(spark, runs, daily, top, hours) == (
-        {"mr": "BASELINE", "pig": "MATCH", "hive": "MISMATCH", "mongodb": "NO_HISTORY"}, False)
+        {"mr": "BASELINE", "pig": "MATCH", "hive": "MISMATCH", "mongodb": "NO_HISTORY", "spark": "MATCH"}, False)
     same = [row for row in top if row[0] != 6] + [(6, 1, "/a", 3, 30, 1, ["x", "y"])]
     assert scorecard(spark, runs, daily, same, hours)[1] is True
     # A row too few or too many on either side is a mismatch.
-    for changed in (daily[:-1], [*daily, (6, 1, DAY, 404, 1, 1)], [*daily, (1, 1, DAY, 404, 1, 1)]):
+    for changed in ([d for d in daily if d[0] != 6], [*daily, (6, 1, DAY, 404, 1, 1)], [*daily, (1, 1, DAY, 404, 1, 1)]):
         assert scorecard(spark, runs, changed, same, hours)[0]["hive"] == "MISMATCH"
     # No results anywhere are equal results.
     assert scorecard(spark, runs, [], [], [])[0]["pig"] == "MATCH"
@@ -196,7 +201,7 @@ def test_all_reports(spark, t):
     runs, batches, times = t
     empty = [spark.createDataFrame([], s) for s in (DAILY, TOP, HOURS)]
     found = reports.all_reports(runs, batches, times, *empty, run_id=1)
-    assert len(found) == 8
+    assert len(found) == 14
     assert all(df.columns for df in found.values())
     assert not any("CartesianProduct" in df._jdf.queryExecution().toString() for df in found.values())
 

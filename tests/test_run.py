@@ -114,7 +114,7 @@ def test_failed_query_leaves_no_time(spark, tmp_path, monkeypatch):
     with pytest.raises(Exception):
         runs.run_batches(make_lines(spark), str(tmp_path), "logs_150", "mr", run_id=1)
     assert not (tmp_path / "query_metadata").exists()
-    assert not (tmp_path / "run_metadata").exists()
+    assert runs.read_runs(spark, str(tmp_path)).first().total_runtime == 0  # opened, not ended
 
 
 def test_parsed_text_and_exports(spark, tmp_path):
@@ -163,3 +163,24 @@ def test_database_writer(spark, monkeypatch):
     assert sent.first().hosts_list == "x,y"
     assert args == ("jdbc:postgresql://host/db", "top_resources")
     assert options == {"mode": "append", "properties": {"batchsize": "10000", "user": "u"}}
+
+
+def test_a_load_of_other_batches_is_refused(spark, tmp_path):
+    root = str(tmp_path)
+    lines = spark.createDataFrame([("x", 1), ("y", 2), ("z", 3)], "value string, batch_no int")
+    third = lines.where("batch_no = 3")
+    runs.run_batches(lines, root, "d", "spark", run_id=1, separately=[1, 2])
+    with pytest.raises(ValueError, match="other batches"):
+        runs.run_batches(third, root, "d", "spark", run_id=1, load_id=1)
+    runs.run_batches(third, root, "d", "spark", run_id=1, load_id=2)
+    assert runs.read_runs(spark, root).first().total_record_count == 3
+
+
+def test_a_failed_run_is_seen_as_unfinished(spark, tmp_path):
+    root = str(tmp_path)
+    lines = spark.createDataFrame([(line(), 1)], "value string, batch_no int")
+    broken = lines.withColumn("value", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        runs.run_batches(broken, root, "d", "spark", run_id=4)
+    run = runs.read_runs(spark, root).first()
+    assert (run.run_id, run.total_runtime, run.total_record_count) == (4, 0.0, None)

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,3 +95,22 @@ def test_stream_of_batches_equals_the_run(spark, tmp_path, files):
     assert (run.total_record_count, run.total_malformed_record_count) == (304, 4)
     loads = tables.read_metadata(spark, root, "batch_metadata").select("load_id").distinct().count()
     assert loads == {1: 5, 3: 3}[files]
+
+
+def test_files_older_than_seen_ones_are_read(spark, tmp_path):
+    """A file that comes late with an old time is not passed over."""
+    folder, root = tmp_path / "in", str(tmp_path / "root")
+    folder.mkdir()
+
+    def step():
+        streams.stream_batches(
+            spark, str(folder), root, "d", "spark", run_id=1, queries="1", checkpoint=str(tmp_path / "check")
+        ).awaitTermination()
+
+    (folder / "b1_1.txt").write_text(line() + "\n")
+    step()
+    late = folder / "b2_1.txt"
+    late.write_text(line() + "\n")
+    os.utime(late, (1_000_000_000, 1_000_000_000))
+    step()
+    assert read_runs(spark, root).first().total_record_count == 2
