@@ -94,9 +94,15 @@ def main() -> None:
         "hourly_errors": lambda: traffic.hourly_errors(parsed()),
         "hourly_errors_join": lambda: traffic.hourly_errors_join(parsed()),
         "daily_traffic_by_batch": lambda: traffic.daily_traffic(parsed(), BATCH),
-        "top_resources_by_batch": lambda: fx.top_of_batches(parsed()),
+        "top_resources_by_batch": lambda: traffic.top_resources(parsed(), by=BATCH),
         "hourly_errors_by_batch": lambda: traffic.hourly_errors(parsed(), BATCH),
-        "merged_hourly_errors": lambda: merge.merge_hours(traffic.hourly_errors(parsed(), BATCH)),
+        "top_resource_hosts": lambda: traffic.top_resource_hosts(parsed()),
+        "top_resource_hosts_by_batch": lambda: traffic.top_resource_hosts(parsed(), by=BATCH),
+        "error_hosts": lambda: traffic.error_hosts(parsed()),
+        "error_hosts_by_batch": lambda: traffic.error_hosts(parsed(), BATCH),
+        "merged_hourly_errors": lambda: merge.merge_hours(
+            traffic.hourly_errors(parsed(), BATCH), traffic.error_hosts(parsed(), BATCH)
+        ),
         "daily_traffic_from_raw": lambda: traffic.daily_traffic(valid_logs(lines())),
         "top_resources_from_raw": lambda: traffic.top_resources(valid_logs(lines())),
         "hourly_errors_from_raw": lambda: traffic.hourly_errors(valid_logs(lines())),

@@ -10,22 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglark.functions.parsing import count_quality, parse_logs
-from loglark.operators.traffic import count_groups, daily_traffic, hourly_errors, top_resources
+from loglark.plans.run import QUERIES as RUN_QUERIES
 from loglark.session import new_folder
 from loglark.sources.tables import read_metadata, read_parsed, write_parsed, write_results
 
 BATCH_LINES = 2500
 
 
-def top_of_batches(rows: DataFrame) -> DataFrame:
-    return top_resources(rows, by=("batch_no",), groups=count_groups(rows))
-
-
-RESULTS = {
-    "daily_traffic": lambda rows: daily_traffic(rows, ("batch_no",)),
-    "top_resources": top_of_batches,
-    "hourly_errors": lambda rows: hourly_errors(rows, ("batch_no",)),
-}
+RESULTS = {name: query for tables in RUN_QUERIES.values() for name, query in tables.items()}
 
 LINE = """
 case
@@ -159,7 +151,7 @@ def stored_results(spark: SparkSession, sf_dir: str) -> str:
         for run_id, size in ((1, BATCH_LINES), (2, 2 * BATCH_LINES), (3, BATCH_LINES)):
             rows = parsed(spark, sf_dir, size)
             for name, query in RESULTS.items():
-                write_results(query(rows), root, name, run_id, load_id=0)
+                write_results(query(rows, by=("batch_no",)), root, name, run_id, load_id=0)
         _STORED[key] = root
     return _STORED[key]
 

@@ -72,22 +72,31 @@ def _top(by: str = "", source: str = "parsed") -> str:
       select *, row_number() over ({over} order by request_count desc, resource_path desc) as rank_no
       from (
         select {by} resource as resource_path, count(*) as request_count,
-          cast(sum(bytes) as bigint) as total_bytes, count(distinct host) as distinct_host_count,
-          cast(1 as integer) as hosts_part,
-          string_agg(distinct host, ',' order by host) as hosts_list
+          cast(sum(bytes) as bigint) as total_bytes, count(distinct host) as distinct_host_count
         from {source} group by {by} resource))
     where rank_no <= 20"""
 
 
+def _top_hosts(by: str = "") -> str:
+    return f"""select {by} resource_path, host, count(*) as request_count,
+      cast(sum(bytes) as bigint) as total_bytes
+    from (select *, resource as resource_path from parsed)
+    join (select {by} resource_path from ({_top(by)})) using ({by} resource_path)
+    group by all"""
+
+
+def _error_hosts(by: str = "") -> str:
+    return f"""select {by} log_date, log_hour, host, count(*) as error_request_count
+    from parsed where status_code between 400 and 599 group by all"""
+
+
 def _hours(by: str = "", source: str = "parsed") -> str:
     error = "status_code between 400 and 599"
     return f"""select {by} log_date, log_hour,
       count(*) filter (where {error}) as error_request_count,
       count(*) as total_request_count,
       cast(count(*) filter (where {error}) as double) / count(*) as error_rate,
-      count(distinct host) filter (where {error}) as distinct_error_hosts,
-      cast(1 as integer) as hosts_part,
-      coalesce(string_agg(distinct host, ',' order by host) filter (where {error}), '') as hosts_list
+      count(distinct host) filter (where {error}) as distinct_error_hosts
     from {source} group by {by} log_date, log_hour"""
 
 
@@ -241,6 +250,10 @@ oracle(
 oracle("daily_traffic", _daily(), PARSED)
 oracle("top_resources", _top(), PARSED)
 oracle("hourly_errors", _hours(), PARSED)
+oracle("top_resource_hosts", _top_hosts(), PARSED)
+oracle("error_hosts", _error_hosts(), PARSED)
+oracle("top_resource_hosts_by_batch", _top_hosts("batch_no, "), PARSED)
+oracle("error_hosts_by_batch", _error_hosts("batch_no, "), PARSED)
 oracle("hourly_errors_join", _hours(), PARSED)
 oracle("daily_traffic_by_batch", _daily("batch_no, "), PARSED)
 oracle("top_resources_by_batch", _top("batch_no, "), PARSED)
@@ -276,7 +289,7 @@ oracle(
 oracle(
     "global_top_resources",
     """select resource as resource_path, count(*) as request_count,
-        cast(sum(bytes) as bigint) as total_bytes
+        cast(sum(bytes) as bigint) as total_bytes, count(distinct host) as distinct_host_count
       from parsed group by resource order by request_count desc, resource desc limit 50""",
     PARSED,
 )
@@ -489,16 +502,22 @@ oracle(
     ALL_PARSED,
 )
 
-DATED = "* replace (cast(strptime(log_date, '%d/%b/%Y') as date) as log_date"
-oracle(
-    "run_results",
-    f"select {DATED}, cast(log_hour as smallint) as log_hour) from ({_hours('batch_no, ')})",
-    PARSED,
-)
+DAY = "strftime(strptime(log_date, '%d/%b/%Y'), '%Y-%m-%d')"
+STORED = f"""
+  select 'daily_traffic' as result, batch_no, {DAY} as key, cast(status_code as bigint) as second,
+    request_count as first_number, total_bytes as second_number from ({_daily('batch_no, ')})
+  union all select 'top_resources', batch_no, resource_path, distinct_host_count, request_count,
+    total_bytes from ({_top('batch_no, ')})
+  union all select 'top_resource_hosts', batch_no, concat(resource_path, ' ', host), null,
+    request_count, total_bytes from ({_top_hosts('batch_no, ')})
+  union all select 'hourly_errors', batch_no, concat({DAY}, ' ', log_hour), distinct_error_hosts,
+    error_request_count, total_request_count from ({_hours('batch_no, ')})
+  union all select 'error_hosts', batch_no, concat({DAY}, ' ', host), log_hour,
+    error_request_count, null from ({_error_hosts('batch_no, ')})"""
+oracle("run_results", STORED, PARSED)
 oracle(
     "stream_batches",
-    f"""select {DATED}), (select count(*) from raw_log) as total_record_count
-      from ({_daily('batch_no, ')})""",
+    f"select *, (select count(*) from raw_log) as total_record_count from ({STORED})",
     PARSED,
 )
 
@@ -506,8 +525,7 @@ oracle(
 CLOSED = "where date_trunc('{unit}', ts) + interval 1 {unit} <= (select max(date_trunc('second', ts)) - interval 1 hour from parsed)"
 oracle(
     "stream_hourly_errors",
-    f"""select * exclude (hosts_part, hosts_list)
-      from ({_hours('', '(select * from parsed ' + CLOSED.format(unit='hour') + ')')})""",
+    _hours("", f"(select * from parsed {CLOSED.format(unit='hour')})"),
     PARSED,
 )
 oracle(
@@ -545,3 +563,16 @@ oracle(
 # The names the plan gives them.
 ORACLES["pipeline_comparison"] = ORACLES["engine_comparison"]
 ORACLES["cross_pipeline_timing"] = ORACLES["cross_engine_timing"]
+# With its open windows a finite stream gives what the batch queries give.
+ORACLES["stream_hours_finished"] = ORACLES["hourly_errors"]
+ORACLES["stream_days_finished"] = ORACLES["daily_traffic"]
+oracle(
+    "late_rows",
+    """select log_date, log_hour, count(*) filter (where event_id % 7 = 3) as late_lines
+      from parsed
+      where date_trunc('hour', ts) + interval 1 hour <= (
+        select max(date_trunc('second', ts)) - interval 1 hour from parsed where event_id % 7 <> 3)
+      group by all
+      having late_lines > 0 and count(*) filter (where event_id % 7 <> 3) > 0""",
+    PARSED,
+)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from loglark.session import new_folder
 from loglark.sources import tables
 from loglark.sources.text import (
     export_query,
-    lists_of_texts,
+    hosts_of_texts,
     read_batches,
     read_parsed_tsv,
     read_raw,
@@ -157,17 +158,17 @@ def daily_traffic(spark, sf):
 
 @query
 def top_resources(spark, sf):
-    return texts_of_lists(traffic.top_resources(fx.parsed(spark, sf)))
+    return traffic.top_resources(fx.parsed(spark, sf))
 
 
 @query
 def hourly_errors(spark, sf):
-    return texts_of_lists(traffic.hourly_errors(fx.parsed(spark, sf)))
+    return traffic.hourly_errors(fx.parsed(spark, sf))
 
 
 @query
 def hourly_errors_join(spark, sf):
-    return texts_of_lists(traffic.hourly_errors_join(fx.parsed(spark, sf)))
+    return traffic.hourly_errors_join(fx.parsed(spark, sf))
 
 
 @query
@@ -177,12 +178,32 @@ def daily_traffic_by_batch(spark, sf):
 
 @query
 def top_resources_by_batch(spark, sf):
-    return texts_of_lists(fx.top_of_batches(fx.parsed(spark, sf)))
+    return traffic.top_resources(fx.parsed(spark, sf), by=BATCH)
 
 
 @query
 def hourly_errors_by_batch(spark, sf):
-    return texts_of_lists(traffic.hourly_errors(fx.parsed(spark, sf), BATCH))
+    return traffic.hourly_errors(fx.parsed(spark, sf), BATCH)
+
+
+@query
+def top_resource_hosts(spark, sf):
+    return traffic.top_resource_hosts(fx.parsed(spark, sf))
+
+
+@query
+def error_hosts(spark, sf):
+    return traffic.error_hosts(fx.parsed(spark, sf))
+
+
+@query
+def top_resource_hosts_by_batch(spark, sf):
+    return traffic.top_resource_hosts(fx.parsed(spark, sf), by=BATCH)
+
+
+@query
+def error_hosts_by_batch(spark, sf):
+    return traffic.error_hosts(fx.parsed(spark, sf), BATCH)
 
 
 # --- merging -----------------------------------------------------------------
@@ -195,12 +216,16 @@ def merged_daily_traffic(spark, sf):
 
 @query
 def merged_top_resources(spark, sf):
-    return merge.merge_resources(fx.top_of_batches(fx.parsed(spark, sf)))
+    rows = fx.parsed(spark, sf)
+    return merge.merge_resources(
+        traffic.top_resources(rows, by=BATCH), traffic.top_resource_hosts(rows, by=BATCH)
+    )
 
 
 @query
 def merged_hourly_errors(spark, sf):
-    return merge.merge_hours(traffic.hourly_errors(fx.parsed(spark, sf), BATCH))
+    rows = fx.parsed(spark, sf)
+    return merge.merge_hours(traffic.hourly_errors(rows, BATCH), traffic.error_hosts(rows, BATCH))
 
 
 @query
@@ -220,7 +245,7 @@ def split_hosts(spark, sf):
 @query
 def global_top_resources(spark, sf):
     """The true top list, beside the merged per-batch lists."""
-    return traffic.top_keys(fx.parsed(spark, sf), k=50)
+    return traffic.top_resources(fx.parsed(spark, sf), k=50)
 
 
 # --- runs and reports ----------------------------------------------------------
@@ -332,7 +357,9 @@ def integrity_scorecard(spark, sf):
         found["runs"],
         found["daily_traffic"],
         found["top_resources"],
+        found["top_resource_hosts"],
         found["hourly_errors"],
+        found["error_hosts"],
         run_id=1,
     )
 
@@ -419,8 +446,7 @@ def reloaded_results(spark, sf):
     run_batches(lines, root, "web_2500", "spark", run_id=1)
     broken = lines.withColumn("value", F.concat(F.lit("junk "), "value"))
     run_batches(broken, root, "web_2500", "spark", run_id=1, queries="1")
-    names = ("daily_traffic", "top_resources", "hourly_errors")
-    rows = sum(tables.read_results(spark, root, name, 1).count() for name in names)
+    rows = sum(tables.read_results(spark, root, name, 1).count() for name in fx.RESULTS)
     return tables.read_results(spark, root, "batch_metadata", 1).agg(
         F.lit(rows).cast("long").alias("stored_rows"),
         F.sum("malformed_record_count").alias("malformed"),
@@ -437,8 +463,10 @@ def stored_malformed(spark, sf):
 @query
 def hosts_from_text(spark, sf):
     """Hourly errors with host lists stored as text, merged over batches."""
-    hours = texts_of_lists(traffic.hourly_errors(fx.parsed(spark, sf), BATCH))
-    return merge.merge_hours(lists_of_texts(hours))
+    rows, keys = fx.parsed(spark, sf), ("batch_no", "log_date", "log_hour")
+    lists = traffic.error_hosts(rows, BATCH).groupBy(*keys).agg(F.collect_list("host").alias("hosts_list"))
+    hosts = hosts_of_texts(texts_of_lists(lists), *keys)
+    return merge.merge_hours(traffic.hourly_errors(rows, BATCH), hosts)
 
 
 @query
@@ -450,25 +478,55 @@ def run_metadata(spark, sf):
     return read_runs(spark, root).drop("total_runtime", "execution_timestamp")
 
 
+# Key, second key and numbers of each result table, under common names.
+STORED = {
+    "daily_traffic": ("log_date", "status_code", "request_count", "total_bytes"),
+    "top_resources": ("resource_path", "distinct_host_count", "request_count", "total_bytes"),
+    "top_resource_hosts": ("concat_ws(' ', resource_path, host)", "null", "request_count", "total_bytes"),
+    "hourly_errors": (
+        "concat_ws(' ', log_date, log_hour)",
+        "distinct_error_hosts",
+        "error_request_count",
+        "total_request_count",
+    ),
+    "error_hosts": ("concat_ws(' ', log_date, host)", "log_hour", "error_request_count", "null"),
+}
+
+
+def _stored_rows(spark, root):
+    """The rows of run 1 in every result table."""
+    tables_of_run = [
+        tables.read_results(spark, root, name, 1).selectExpr(
+            f"'{name}' as result",
+            "batch_no",
+            f"cast({key} as string) as key",
+            f"cast({second} as bigint) as second",
+            f"cast({first_number} as bigint) as first_number",
+            f"cast({second_number} as bigint) as second_number",
+        )
+        for name, (key, second, first_number, second_number) in STORED.items()
+    ]
+    return reduce(DataFrame.unionByName, tables_of_run)
+
+
 @query
 def run_results(spark, sf):
-    """Write the log as batch files, read them back, run all queries, read the stored hours."""
+    """Write the log as batch files, read them back, run all queries, read all stored rows."""
     files, root = _batch_files(spark, sf), new_folder(spark, "results")
     run_batches(read_batches(spark, files), root, "web_2500", "spark", run_id=1)
-    stored = tables.read_results(spark, root, "hourly_errors", 1)
-    return texts_of_lists(stored).drop("run_id", "load_id")
+    return _stored_rows(spark, root)
 
 
 @query
 def stream_batches(spark, sf):
-    """The same batch files as a stream; the run's totals and stored daily traffic."""
+    """The same batch files as a stream; the run's totals and all stored rows."""
     files, root = _batch_files(spark, sf), new_folder(spark, "results")
     streams.stream_batches(
         spark, files, root, "web_2500", "spark", run_id=1, files_per_trigger=50
     ).awaitTermination()
     totals = read_runs(spark, root).select("run_id", "total_record_count")
-    stored = tables.read_results(spark, root, "daily_traffic", 1)
-    return stored.join(F.broadcast(totals), "run_id").drop("run_id", "load_id")
+    stored = _stored_rows(spark, root).withColumn("run_id", F.lit(1).cast("long"))
+    return stored.join(totals, "run_id").drop("run_id")
 
 
 def _event_stream(spark, sf):
@@ -496,3 +554,30 @@ def stream_error_hosts(spark, sf):
 @query
 def stream_daily_traffic(spark, sf):
     return _closed(spark, streams.stream_daily_traffic(_event_stream(spark, sf), "1 hour"))
+
+
+@query
+def stream_hours_finished(spark, sf):
+    """The hours a finite stream has closed, and those it left open."""
+    closed = _closed(spark, streams.stream_hourly_errors(_event_stream(spark, sf), "1 hour"))
+    return closed.unionByName(streams.open_hours(fx.raw_log(spark, sf), closed))
+
+
+@query
+def stream_days_finished(spark, sf):
+    """The days a finite stream has closed, and those it left open."""
+    closed = _closed(spark, streams.stream_daily_traffic(_event_stream(spark, sf), "1 hour"))
+    return closed.unionByName(streams.open_days(fx.raw_log(spark, sf), closed))
+
+
+@query
+def late_rows(spark, sf):
+    """Every seventh line comes after all others; those of hours closed by then are late."""
+    log = fx.raw_log(spark, sf)
+    folder, out, checkpoint = (new_folder(spark, name) for name in ("lines", "closed", "stream"))
+    lines = lambda: streams.stream_hourly_errors(spark.readStream.schema("value string").text(folder))
+    for part in ("event_id % 7 <> 3", "event_id % 7 = 3"):
+        log.where(part).select("value").write.mode("append").text(folder)
+        streams.write_closed(lines(), out, checkpoint).awaitTermination()
+    written = spark.read.schema(lines().schema).parquet(out)
+    return streams.late_rows(spark.read.text(folder), written)

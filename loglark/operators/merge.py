@@ -15,34 +15,39 @@ def merge_daily(daily: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _merge_lists(rows: DataFrame, keys: Sequence[str], sums: Sequence[str], hosts: str) -> DataFrame:
-    # Host lists are unrolled to rows, so the union of a hot key's hosts is spread
-    # by (key, host). A row's counts go with the first host of its list only; further
-    # parts of a list have no counts.
-    first = F.coalesce("pos", F.lit(0)) == 0
-    unrolled = rows.select(*keys, *sums, F.posexplode_outer("hosts_list").alias("pos", "host"))
-    return unrolled.groupBy(*keys).agg(
-        *[F.sum(F.when(first, F.col(c))).alias(c) for c in sums],
-        F.count_distinct("host").alias(hosts),
+def _merge(
+    rows: DataFrame, hosts: DataFrame, keys: Sequence[str], sums: Sequence[str], name: str
+) -> DataFrame:
+    # Hosts are made distinct by (key, host), which spreads a hot key, and counted before
+    # they meet the sums. One grouping instead of a join keeps null keys.
+    counted = hosts.select(*keys, "host").distinct().groupBy(*keys).agg(F.count("host").alias(name))
+    both = rows.select(*keys, *sums, F.lit(0).cast("bigint").alias(name)).unionByName(
+        counted, allowMissingColumns=True
     )
+    return both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in (*sums, name)])
 
 
-def merge_resources(top: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Sum per-batch top rows by resource; hosts are counted over the union of the lists.
+def merge_resources(top: DataFrame, hosts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Sum per-batch top rows by resource; distinct hosts over all batches, from their host rows.
 
     The input holds each batch's own top list, so a resource that misses the cut in
     some batch counts only where it made it. The true top list of a whole dataset is
     ``top_resources`` without ``by``.
     """
-    return _merge_lists(
-        top, [*by, "resource_path"], ["request_count", "total_bytes"], "distinct_host_count"
+    return _merge(
+        top,
+        hosts,
+        [*by, "resource_path"],
+        ["request_count", "total_bytes"],
+        "distinct_host_count",
     )
 
 
-def merge_hours(hours: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Sum errors and requests by date and hour; error hosts over the union of the lists."""
-    return _merge_lists(
+def merge_hours(hours: DataFrame, hosts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Sum errors and requests by date and hour; distinct error hosts from the host rows."""
+    return _merge(
         hours,
+        hosts,
         [*by, "log_date", "log_hour"],
         ["error_request_count", "total_request_count"],
         "distinct_error_hosts",

@@ -2,6 +2,10 @@
 
 Each takes ``by``: extra leading group columns such as ``("batch_no",)``, which
 gives the result of every batch in one job.
+
+A summary has one row per key. Hosts are rows of their own, (key, host), in a second
+result: a busy resource or hour can hold a third of all rows, so its hosts fit neither
+one row nor one task.
 """
 
 from __future__ import annotations
@@ -12,22 +16,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loglark.operators.hosts import (
-    BUCKETS,
-    HOSTS_PER_PART,
-    attach_hosts,
-    count_hosts,
-    host_bucket,
-)
-
 TOP_K = 20
-# Top lists of this many rows at most (some megabytes) are broadcast; longer ones are joined.
-BROADCAST_ROWS = 50_000
-# Shares into which the hosts of one key are split for a join.
-SALTS = 32
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Join condition in which null keys meet, as they do in a grouping."""
     return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[k]) for k in keys))
 
@@ -48,145 +40,114 @@ def daily_traffic(parsed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def top_keys(parsed: DataFrame, k: int = TOP_K, by: Sequence[str] = ()) -> DataFrame:
-    """The k most requested resources (of each ``by`` group), ties by resource descending."""
-    counts = (
+def resource_hosts(parsed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Requests and bytes of each host on each resource."""
+    return (
         parsed.withColumnRenamed("resource", "resource_path")
-        .groupBy(*by, "resource_path")
+        .groupBy(*by, "resource_path", "host")
         .agg(F.count(F.lit(1)).alias("request_count"), F.sum("bytes").alias("total_bytes"))
     )
-    order = [F.desc("request_count"), F.desc("resource_path")]
-    if not by:
-        return counts.orderBy(*order).limit(k)
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    return counts.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
-
 
-def count_groups(rows: DataFrame, by: Sequence[str] = ("batch_no",)) -> int:
-    """How many groups there are; a job that reads the ``by`` columns only."""
-    return rows.select(*by).distinct().count()
 
+def resource_totals(hosts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``resource_hosts`` summed per resource; a null host counts as no host."""
+    return hosts.groupBy(*by, "resource_path").agg(
+        F.sum("request_count").alias("request_count"),
+        F.sum("total_bytes").alias("total_bytes"),
+        F.count("host").alias("distinct_host_count"),
+    )
 
-def _hosts_of_few(requests: DataFrame, winners: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Winner rows with each of their hosts, for winners few enough to broadcast.
 
-    Only the winners' requests are shuffled.
-    """
-    few = F.broadcast(winners.select(F.struct(*winners.columns).alias("w")))
-    same = _same_as_struct(requests, few, keys)
-    return requests.join(few, same).select("w.*", "host").distinct()
+def _first(totals: DataFrame, k: int, by: Sequence[str]) -> DataFrame:
+    # The last key decides nothing. With it the ranking reads the columns that
+    # `top_resource_hosts` returns, and both take the same shuffle.
+    order = [F.desc("request_count"), F.desc("resource_path"), F.desc("total_bytes")]
+    if not by:
+        return totals.orderBy(*order).limit(k)
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return totals.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
 
 
-def _hosts_of_many(
-    requests: DataFrame, winners: DataFrame, keys: Sequence[str], buckets: int = BUCKETS
-) -> DataFrame:
-    """The same for any number of winners.
+def top_resources(parsed: DataFrame, k: int = TOP_K, by: Sequence[str] = ()) -> DataFrame:
+    """The k most requested resources (of each ``by`` group), ties by resource descending.
 
-    Repeated requests are folded before the join. It is salted by host, with a copy of
-    each winner per salt, so that one resource's hosts are shared by several tasks.
-    An inner join is used because a semi join would be moved below the folding.
+    One row per resource with requests, bytes and distinct hosts, in no order; sort by
+    request_count and resource_path descending to show them. One scan: rows are folded by
+    host before the shuffle, so requests of a hot resource are spread over its hosts.
     """
-    salt = F.pmod(host_bucket(buckets), F.lit(SALTS))
-    pairs = requests.distinct().withColumn("salt", salt)
-    many = winners.select(
-        F.struct(*winners.columns).alias("w"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("winner_salt"),
-    )
-    same = _same_as_struct(pairs, many, keys) & (pairs["salt"] == many["winner_salt"])
-    return pairs.join(many, same).select("w.*", "host")
+    return _first(resource_totals(resource_hosts(parsed, by), by), k, by)
 
 
-def _same_as_struct(rows: DataFrame, winners: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, (rows[k].eqNullSafe(winners["w"][k]) for k in keys))
+def top_resource_hosts(parsed: DataFrame, k: int = TOP_K, by: Sequence[str] = ()) -> DataFrame:
+    """The hosts of the resources in ``top_resources``, each with its requests and bytes.
 
-
-def top_resources(
-    parsed: DataFrame,
-    k: int = TOP_K,
-    by: Sequence[str] = (),
-    groups: int | None = None,
-    hosts_per_part: int = HOSTS_PER_PART,
-    buckets: int = BUCKETS,
-) -> DataFrame:
-    """Top resources with bytes, distinct hosts and their list.
-
-    Counting needs only the resource and bytes columns; hosts are read in a second pass.
-    With ``by``, tell the number of its groups if it is known (``count_groups``): it bounds
-    the number of winners, and few winners are broadcast, so that only their requests are
-    shuffled.
-    Rows come in no order; sort by request_count and resource_path descending to show them.
+    The folded rows are shuffled once and read twice, to rank the resources and to keep the
+    winners' rows. An inner join on unique keys is used because a semi join would be moved
+    below the folding and end that reuse. A hot resource's share of the join is left to
+    the skew handling of adaptive execution.
     """
     keys = [*by, "resource_path"]
-    winners = top_keys(parsed, k, by)
-    requests = parsed.withColumnRenamed("resource", "resource_path").select(*keys, "host")
-    groups = groups if by else 1
-    if groups is not None and k * groups <= BROADCAST_ROWS:
-        pairs = _hosts_of_few(requests, winners, keys)
-    else:
-        pairs = _hosts_of_many(requests, winners, keys, buckets)
-    counted = count_hosts(pairs, winners.columns, "distinct_host_count")
-    listed = attach_hosts([counted], pairs, keys, hosts_per_part, buckets)
-    return listed.select(
-        *keys, "request_count", "total_bytes", "distinct_host_count", "hosts_part", "hosts_list"
-    )
+    hosts = resource_hosts(parsed, by)
+    winners = _first(resource_totals(hosts, by), k, by).select(F.struct(*keys).alias("w"))
+    same = reduce(lambda a, b: a & b, (hosts[c].eqNullSafe(winners["w"][c]) for c in keys))
+    return hosts.join(winners, same).select(*keys, "host", "request_count", "total_bytes")
+
+
+def _hours(by: Sequence[str]) -> list[str]:
+    return [*by, "log_date", "log_hour"]
 
 
-def _hourly_rows(listed: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _hourly_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     failed, total = F.col("error_request_count"), F.col("total_request_count")
-    none = F.when(F.col("hosts_part") == 1, F.lit(0).cast("bigint"))
-    return listed.select(
+    rate = F.when(total == 0, F.lit(0.0)).otherwise(failed.cast("double") / total)
+    return rows.select(
         *keys,
         "error_request_count",
         "total_request_count",
-        F.when(total == 0, F.lit(0.0)).otherwise(failed.cast("double") / total).alias("error_rate"),
-        F.coalesce("distinct_error_hosts", none).alias("distinct_error_hosts"),
-        "hosts_part",
-        "hosts_list",
+        rate.alias("error_rate"),
+        "distinct_error_hosts",
     )
 
 
-def hourly_errors(
-    parsed: DataFrame,
-    by: Sequence[str] = (),
-    hosts_per_part: int = HOSTS_PER_PART,
-    buckets: int = BUCKETS,
-) -> DataFrame:
+def hourly_errors(parsed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Errors, requests, rate and error hosts of every (date, hour), also error-free ones.
 
-    Totals read three narrow columns; hosts are read from error rows only, and their
-    distinct (hour, host) rows serve both the count and the list.
+    One scan: error rows fold by host, all other requests of an hour into one row without
+    a host, so that an hour is spread over its error hosts.
     """
-    keys = [*by, "log_date", "log_hour"]
-    error = is_error(F.col("status_code"))
-    totals = parsed.groupBy(*keys).agg(
-        F.count_if(error).alias("error_request_count"),
-        F.count(F.lit(1)).alias("total_request_count"),
+    keys, error = _hours(by), is_error(F.col("status_code"))
+    folded = parsed.groupBy(*keys, F.when(error, F.col("host")).alias("host")).agg(
+        F.count_if(error).alias("errors"), F.count(F.lit(1)).alias("n")
+    )
+    hours = folded.groupBy(*keys).agg(
+        F.sum("errors").alias("error_request_count"),
+        F.sum("n").alias("total_request_count"),
+        F.count("host").alias("distinct_error_hosts"),
     )
-    pairs = parsed.where(error).select(*keys, "host").distinct()
-    hosts = count_hosts(pairs, keys, "distinct_error_hosts")
-    return _hourly_rows(attach_hosts([totals, hosts], pairs, keys, hosts_per_part, buckets), keys)
+    return _hourly_rows(hours, keys)
+
+
+def error_hosts(parsed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The hosts with errors in each (date, hour) and their errors."""
+    errors = parsed.where(is_error(F.col("status_code")))
+    return errors.groupBy(*_hours(by), "host").agg(F.count(F.lit(1)).alias("error_request_count"))
 
 
-def hourly_errors_join(
-    parsed: DataFrame,
-    by: Sequence[str] = (),
-    hosts_per_part: int = HOSTS_PER_PART,
-    buckets: int = BUCKETS,
-) -> DataFrame:
-    """The same rows by the classic route: tag, total, then left-join the error hosts.
+def hourly_errors_join(parsed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The rows of ``hourly_errors`` by the classic route: tag, total, then left-join the error hosts.
 
-    The joined sides hold one row per hour each; host lists are not part of the join.
+    Both sides of the join hold one row per hour.
     """
-    keys = [*by, "log_date", "log_hour"]
+    keys = _hours(by)
     tagged = tag_errors(parsed)
     totals = tagged.groupBy(*keys).agg(
         F.sum(F.col("is_error").cast("int")).alias("error_request_count"),
         F.count(F.lit(1)).alias("total_request_count"),
     )
-    pairs = tagged.where("is_error").select(*keys, "host").distinct()
-    hosts = count_hosts(pairs, keys, "_hosts")
-    joined = totals.join(hosts, _same(totals, hosts, keys), "left").select(
+    failing = tagged.where("is_error").select(*keys, "host").distinct()
+    hosts = failing.groupBy(*keys).agg(F.count("host").alias("_hosts"))
+    joined = totals.join(hosts, same_keys(totals, hosts, keys), "left").select(
         *[totals[c] for c in totals.columns],
         F.coalesce("_hosts", F.lit(0).cast("bigint")).alias("distinct_error_hosts"),
     )
-    return _hourly_rows(attach_hosts([joined], pairs, keys, hosts_per_part, buckets), keys)
+    return _hourly_rows(joined, keys)

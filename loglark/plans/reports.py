@@ -317,7 +317,9 @@ def integrity_scorecard(
     runs: DataFrame,
     daily: DataFrame,
     top: DataFrame,
+    top_hosts: DataFrame,
     hours: DataFrame,
+    hour_hosts: DataFrame,
     run_id: int,
     engines: Sequence[str] = ENGINES,
 ) -> DataFrame:
@@ -351,12 +353,12 @@ def integrity_scorecard(
             ),
             contents(
                 2,
-                merge_resources(of(top), by),
+                merge_resources(of(top), of(top_hosts), by),
                 ["resource_path", "request_count", "total_bytes", "distinct_host_count"],
             ),
             contents(
                 3,
-                merge_hours(of(hours), by),
+                merge_hours(of(hours), of(hour_hosts), by),
                 [
                     "log_date",
                     "log_hour",
@@ -407,7 +409,9 @@ def all_reports(
     timings: DataFrame,
     daily: DataFrame,
     top: DataFrame,
+    top_hosts: DataFrame,
     hours: DataFrame,
+    hour_hosts: DataFrame,
     run_id: int,
     engines: Sequence[str] = ENGINES,
 ) -> dict[str, DataFrame]:
@@ -426,5 +430,7 @@ def all_reports(
         "cross_engine_timing": cross_engine_timing(runs, timings, run_id),
         "batch_size_runtime": batch_size_runtime(runs, run_id),
         "batch_size_avg_time": batch_size_avg_time(runs, batches, run_id),
-        "integrity_scorecard": integrity_scorecard(runs, daily, top, hours, run_id, engines),
+        "integrity_scorecard": integrity_scorecard(
+            runs, daily, top, top_hosts, hours, hour_hosts, run_id, engines
+        ),
     }

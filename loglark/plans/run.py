@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 from loglark.functions.parsing import count_quality, parse_logs
 from loglark.operators.batching import assign_batches, dataset_stats, number_lines
 from loglark.operators.runs import run_totals
-from loglark.operators.traffic import count_groups, daily_traffic, hourly_errors, top_resources
+from loglark.operators.traffic import (
+    daily_traffic,
+    error_hosts,
+    hourly_errors,
+    resource_totals,
+    top_resource_hosts,
+    top_resources,
+)
 from loglark.sources.tables import (
     clear_load,
     read_metadata,
@@ -25,11 +32,13 @@ from loglark.sources.tables import (
 )
 from loglark.sources.text import read_raw, write_batches
 
-QUERIES: dict[int, tuple[str, Callable[..., DataFrame]]] = {
-    1: ("daily_traffic", daily_traffic),
-    2: ("top_resources", top_resources),
-    3: ("hourly_errors", hourly_errors),
+# The result tables of each query, in the order they are written.
+QUERIES: dict[int, dict[str, Callable[..., DataFrame]]] = {
+    1: {"daily_traffic": daily_traffic},
+    2: {"top_resource_hosts": top_resource_hosts, "top_resources": top_resources},
+    3: {"error_hosts": error_hosts, "hourly_errors": hourly_errors},
 }
+BY = ("batch_no",)
 
 
 RUN_COLUMNS = (
@@ -143,11 +152,14 @@ def _load(
         batch = first[0].batch_no if len(first) == 1 else None
     timings = []
     for q in chosen:
-        name, query = QUERIES[q]
         start = time.monotonic()
-        known = {"groups": count_groups(seen)} if query is top_resources else {}
-        results = query(parsed, by=("batch_no",), **known)
-        write_results(results, root, name, run_id, load_id)
+        for name, query in QUERIES[q].items():
+            if query is top_resources:  # its rows sum the host rows just written
+                hosts = read_metadata(parsed.sparkSession, root, "top_resource_hosts", run_id)
+                results = resource_totals(hosts.where(F.col("load_id") == load_id), BY)
+            else:
+                results = query(parsed, by=BY)
+            write_results(results, root, name, run_id, load_id)
         timings.append((batch, q, (time.monotonic() - start) * 1000))
 
     spent = sum(ms for _, _, ms in timings) / 1000 if batch is not None else None
@@ -196,5 +208,7 @@ def read_run_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         "timings": read_metadata(spark, root, "query_metadata"),
         "daily": read_results(spark, root, "daily_traffic"),
         "top": read_results(spark, root, "top_resources"),
+        "top_hosts": read_results(spark, root, "top_resource_hosts"),
         "hours": read_results(spark, root, "hourly_errors"),
+        "hour_hosts": read_results(spark, root, "error_hosts"),
     }

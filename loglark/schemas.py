@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 TEXT, INT, LONG, SHORT = T.StringType(), T.IntegerType(), T.LongType(), T.ShortType()
-DOUBLE, DATE, TIME, TEXTS = T.DoubleType(), T.DateType(), T.TimestampType(), T.ArrayType(TEXT)
+DOUBLE, DATE, TIME = T.DoubleType(), T.DateType(), T.TimestampType()
 
 
 def _schema(**columns: T.DataType) -> T.StructType:
@@ -24,7 +24,7 @@ PARSED = _schema(
 )
 
 # Result tables. `load_id` tells repeated loads of a batch apart (see sources.tables);
-# host lists are arrays here and become comma-joined text on text and JDBC sinks.
+# the hosts of a summary's row are rows of a table of their own.
 DAILY_TRAFFIC = _schema(
     batch_no=INT,
     log_date=DATE,
@@ -40,8 +40,15 @@ TOP_RESOURCES = _schema(
     request_count=LONG,
     total_bytes=LONG,
     distinct_host_count=LONG,
-    hosts_part=INT,
-    hosts_list=TEXTS,
+    run_id=LONG,
+    load_id=LONG,
+)
+TOP_RESOURCE_HOSTS = _schema(
+    batch_no=INT,
+    resource_path=TEXT,
+    host=TEXT,
+    request_count=LONG,
+    total_bytes=LONG,
     run_id=LONG,
     load_id=LONG,
 )
@@ -53,8 +60,15 @@ HOURLY_ERRORS = _schema(
     total_request_count=LONG,
     error_rate=DOUBLE,
     distinct_error_hosts=LONG,
-    hosts_part=INT,
-    hosts_list=TEXTS,
+    run_id=LONG,
+    load_id=LONG,
+)
+ERROR_HOSTS = _schema(
+    batch_no=INT,
+    log_date=DATE,
+    log_hour=SHORT,
+    host=TEXT,
+    error_request_count=LONG,
     run_id=LONG,
     load_id=LONG,
 )
@@ -85,7 +99,9 @@ QUERY_METADATA = _schema(
 TABLES = {
     "daily_traffic": DAILY_TRAFFIC,
     "top_resources": TOP_RESOURCES,
+    "top_resource_hosts": TOP_RESOURCE_HOSTS,
     "hourly_errors": HOURLY_ERRORS,
+    "error_hosts": ERROR_HOSTS,
     "run_metadata": RUN_METADATA,
     "batch_metadata": BATCH_METADATA,
     "query_metadata": QUERY_METADATA,

@@ -96,7 +96,12 @@ def refuse_other_batches(
 def read_metadata(
     spark: SparkSession, root: str, name: str, run_id: int | None = None
 ) -> DataFrame:
-    """A table as written, of one run (partitions of other runs are not read) or of all."""
+    """A table as written, of one run (partitions of other runs are not read) or of all.
+
+    A table that no query has written yet is empty.
+    """
+    if not table_exists(spark, root, name):
+        return spark.createDataFrame([], TABLES[name])
     rows = spark.read.schema(TABLES[name]).parquet(f"{root}/{name}")
     return rows if run_id is None else rows.where(F.col("run_id") == run_id)
 

@@ -106,3 +106,8 @@ def texts_of_lists(df: DataFrame) -> DataFrame:
 def lists_of_texts(df: DataFrame) -> DataFrame:
     """The inverse, for tables that store ``hosts_list`` as text."""
     return df.withColumn("hosts_list", split_hosts(F.col("hosts_list")))
+
+
+def hosts_of_texts(rows: DataFrame, *keys: str) -> DataFrame:
+    """Stored host texts as rows (keys, host), as the merges take them."""
+    return rows.select(*keys, F.explode(split_hosts(F.col("hosts_list"))).alias("host"))

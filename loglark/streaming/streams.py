@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loglark.functions.parsing import clock_date, clock_hour, event_time, valid_logs
-from loglark.operators.traffic import is_error
+from loglark.operators.traffic import daily_traffic, hourly_errors, is_error
 from loglark.plans.run import run_batches
 from loglark.session import new_folder
 from loglark.sources.text import batch_columns
@@ -144,14 +144,41 @@ def write_closed(stream: DataFrame, folder: str, checkpoint: str | None = None)
     )
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that came after the watermark and were left out, over the recent triggers.
+def _dated(lines: DataFrame, col: str) -> DataFrame:
+    timed = lines.withColumn("event_time", event_time(F.col(col)))
+    return valid_logs(timed, col, keep=("event_time",)).where("event_time IS NOT NULL")
+
+
+def _missing(rows: DataFrame, written: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.join(written.select(*keys).distinct(), keys, "left_anti")
+
+
+def open_hours(lines: DataFrame, written: DataFrame, col: str = "value") -> DataFrame:
+    """Rows of ``stream_hourly_errors`` for the hours that the stream has not written.
+
+    A finite input ends before its last windows close. ``lines`` are all its lines, as a
+    batch; appended to what is ``written``, the rows found complete it.
+    """
+    return _missing(hourly_errors(_dated(lines, col)), written, ["log_date", "log_hour"])
+
+
+def open_days(lines: DataFrame, written: DataFrame, col: str = "value") -> DataFrame:
+    """The same for ``stream_daily_traffic``."""
+    return _missing(daily_traffic(_dated(lines, col)), written, ["log_date"])
 
-    Spark counts them behind the partial aggregation, so several late lines of one
-    group may count once.
+
+def late_rows(lines: DataFrame, written: DataFrame, col: str = "value") -> DataFrame:
+    """How many lines of each written hour came too late for it; hours without any are left out.
+
+    ``lines`` are all lines the stream has read, as a batch, and ``written`` is what
+    ``stream_hourly_errors`` made of them. The difference is exact over all triggers and
+    restarts, which the counters of the query's progress are not.
     """
-    return sum(
-        state["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for state in progress["stateOperators"]
+    keys = ["log_date", "log_hour"]
+    come = _dated(lines, col).groupBy(*keys).agg(F.count(F.lit(1)).alias("come"))
+    late = F.col("come") - F.col("total_request_count")
+    return (
+        come.join(written.select(*keys, "total_request_count"), keys)
+        .select(*keys, late.alias("late_lines"))
+        .where("late_lines > 0")
     )

@@ -36,8 +36,9 @@ def wanted(df, name):
 
 def check_results(spark, root, lines):
     parsed = valid_logs(lines, keep=("batch_no",))
-    for name, query in runs.QUERIES.values():
-        assert stored(spark, root, name) == wanted(query(parsed, by=("batch_no",)), name)
+    for tables_of_query in runs.QUERIES.values():
+        for name, query in tables_of_query.items():
+            assert stored(spark, root, name) == wanted(query(parsed, by=("batch_no",)), name)
 
 
 def test_run(spark, tmp_path):
@@ -110,7 +111,7 @@ def test_failed_query_leaves_no_time(spark, tmp_path, monkeypatch):
     def broken(parsed, by=()):
         return traffic.daily_traffic(parsed, by).withColumn("log_date", F.raise_error(F.lit("no")))
 
-    monkeypatch.setitem(runs.QUERIES, 1, ("daily_traffic", broken))
+    monkeypatch.setitem(runs.QUERIES, 1, {"daily_traffic": broken})
     with pytest.raises(Exception):
         runs.run_batches(make_lines(spark), str(tmp_path), "logs_150", "mr", run_id=1)
     assert not (tmp_path / "query_metadata").exists()
@@ -126,13 +127,12 @@ def test_parsed_text_and_exports(spark, tmp_path):
     (tmp_path / "short.tsv").write_text("a\tb\tc\n" + "\t".join("hdx5678") + "\n")
     assert text.read_parsed_tsv(spark, str(tmp_path / "short.tsv")).count() == 0
 
-    out = str(tmp_path / "hours")
-    hours = traffic.hourly_errors(valid)
-    text.export_query(hours, out)
-    got = spark.read.option("sep", "\t").csv(out)
-    lists = {tuple(r)[:2]: r[-1] for r in got.collect()}
-    for r in hours.collect():
-        assert (lists[(r.log_date, str(r.log_hour))] or "") == ",".join(r.hosts_list)
+    out, keys = str(tmp_path / "hosts"), ("log_date", "log_hour")
+    lists = traffic.error_hosts(valid).groupBy(*keys).agg(F.collect_list("host").alias("hosts_list"))
+    text.export_query(lists, out)
+    got = spark.read.option("sep", "\t").csv(out).toDF(*keys, "hosts_list")
+    hosts = text.hosts_of_texts(got.withColumn("log_hour", F.col("log_hour").cast("int")), *keys)
+    assert sorted(hosts.collect()) == sorted(traffic.error_hosts(valid).select(*keys, "host").collect())
 
     path = str(tmp_path / "parsed")
     tables.write_parsed(parsed, path)

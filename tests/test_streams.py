@@ -45,38 +45,44 @@ def test_hours_and_days_equal_the_batch_query(spark, conf, tmp_path, zone):
     run_stream(spark, streams.stream_hourly_errors, source, tmp_path / "h", tmp_path / "c1")
     got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "h")).collect()))
     want = traffic.hourly_errors(batch).where("log_date = '01/Jul/1995'")
-    assert got == sorted(map(tuple, want.drop("hosts_part", "hosts_list").collect()))
+    assert got == sorted(map(tuple, want.collect()))
     assert len(got) == 14
 
     run_stream(spark, streams.stream_error_hosts, source, tmp_path / "e", tmp_path / "c2")
     hosts = spark.read.parquet(str(tmp_path / "e"))
-    lists = hosts.groupBy("log_date", "log_hour").agg(F.array_sort(F.collect_list("host")))
-    assert sorted(map(tuple, lists.collect())) == sorted(
-        (r.log_date, r.log_hour, r.hosts_list) for r in want.collect() if r.hosts_list
-    )
+    lists = traffic.error_hosts(batch).where("log_date = '01/Jul/1995'")
+    assert sorted(map(tuple, hosts.collect())) == sorted(map(tuple, lists.collect()))
 
     run_stream(spark, streams.stream_daily_traffic, source, tmp_path / "d", tmp_path / "c3")
     days = spark.read.parquet(str(tmp_path / "d"))
     want = traffic.daily_traffic(batch).where("log_date = '01/Jul/1995'")
     assert sorted(map(tuple, days.collect())) == sorted(map(tuple, want.collect()))
 
-    assert streams.undated(spark.read.text(str(source))).count() == 1
+    lines = spark.read.text(str(source))
+    assert streams.undated(lines).count() == 1
+    closed = spark.read.parquet(str(tmp_path / "h"))
+    assert [tuple(r)[:4] for r in streams.open_hours(lines, closed).collect()] == [("03/Jul/1995", 0, 1, 1)]
+    rest = streams.open_days(lines, spark.read.parquet(str(tmp_path / "d"))).collect()
+    assert [tuple(r) for r in rest] == [("03/Jul/1995", 500, 1, 10)]
+    assert streams.late_rows(lines, closed).count() == 0
 
 
 def test_late_lines_are_left_out_and_counted(spark, tmp_path):
     source = tmp_path / "in"
     put(source, "1.txt", hours_lines(0, 10))
-    args = (streams.stream_daily_traffic, source, tmp_path / "d", tmp_path / "c")
+    args = (streams.stream_hourly_errors, source, tmp_path / "h", tmp_path / "c")
     put(source, "2.txt", [line(time="05/Jul/1995:12:00:00", size=1)])
     run_stream(spark, *args)
-    put(source, "3.txt", [line(time="01/Jul/1995:09:00:00", size=999), line(time="05/Jul/1995:11:00:00", size=2)])
+    put(source, "3.txt", [*[line(time="01/Jul/1995:09:00:00")] * 2, line(time="05/Jul/1995:11:00:00", size=2)])
     put(source, "4.txt", [line(time="09/Jul/1995:12:00:00", size=4)])
-    query = run_stream(spark, *args)
-    assert streams.late_rows(query) == 1
-    got = {(r.log_date, r.status_code): (r.request_count, r.total_bytes)
-           for r in spark.read.parquet(str(tmp_path / "d")).collect()}
-    assert got[("05/Jul/1995", 200)] == (2, 3)
-    assert sum(n for (d, _), (n, _) in got.items() if d == "01/Jul/1995") == 600
+    run_stream(spark, *args)
+    lines, written = spark.read.text(str(source)), spark.read.parquet(str(tmp_path / "h"))
+    assert [tuple(r) for r in streams.late_rows(lines, written).collect()] == [("01/Jul/1995", 9, 2)]
+    got = {(r.log_date, r.log_hour): r.total_request_count for r in written.collect()}
+    assert got[("05/Jul/1995", 11)] == 1
+    assert sum(n for (d, _), n in got.items() if d == "01/Jul/1995") == 600
+    whole = written.unionByName(streams.open_hours(lines, written))
+    assert whole.agg(F.sum("total_request_count")).first()[0] + 2 == lines.count()
 
 
 @pytest.mark.parametrize("files", [1, 3])

@@ -35,47 +35,65 @@ def expected_top(rows, k, by_batch):
     return found
 
 
-def collect_parts(df, keys, values):
-    """Rows by key with their host parts put together; only part 1 has counts."""
-    counts, parts = {}, defaultdict(list)
-    for r in df.collect():
-        key, found = tuple(r[k] for k in keys), tuple(r[v] for v in values)
-        if r.hosts_part == 1:
-            assert key not in counts and None not in found
-            counts[key] = found
-        else:
-            assert set(found) == {None} and r.hosts_list
-        assert r.hosts_list == sorted(r.hosts_list)
-        parts[key].extend(r.hosts_list)
-    assert all(len(hosts) == len(set(hosts)) for hosts in parts.values())
-    assert parts.keys() == counts.keys()
-    return {k: (*v, set(parts[k])) for k, v in counts.items()}
-
-
 HOUR_VALUES = ["error_request_count", "total_request_count", "error_rate", "distinct_error_hosts"]
 TOP_VALUES = ["request_count", "total_bytes", "distinct_host_count"]
 
 
+def rows_by_key(df, keys, values):
+    found = df.collect()
+    got = {tuple(r[k] for k in keys): tuple(r[v] for v in values) for r in found}
+    assert len(got) == len(found)
+    return got
+
+
+def hosts_by_key(df, keys):
+    got, found = defaultdict(set), df.collect()
+    for r in found:
+        got[tuple(r[k] for k in keys)].add(r.host)
+    assert sum(map(len, got.values())) == len(found)
+    return got
+
+
 @pytest.mark.parametrize("by", [(), KEYS])
-@pytest.mark.parametrize("parts", [{}, {"hosts_per_part": 24, "buckets": 8}, {"hosts_per_part": 1}])
 @pytest.mark.parametrize("query", [traffic.hourly_errors, traffic.hourly_errors_join])
-def test_hours(spark, by, parts, query):
-    rows = make_rows(3000, seed=1)
-    got = query(spark.createDataFrame(rows, FIELDS), by=by, **parts)
+def test_hours(spark, by, query):
+    rows, keys = make_rows(3000, seed=1), [*by, "log_date", "log_hour"]
+    got = query(spark.createDataFrame(rows, FIELDS), by=by)
     want = expected_hours(rows, bool(by))
-    assert collect_parts(got, [*by, "log_date", "log_hour"], HOUR_VALUES) == want
+    assert rows_by_key(got, keys, HOUR_VALUES) == {k: v[:-1] for k, v in want.items()}
+
+
+@pytest.mark.parametrize("by", [(), KEYS])
+def test_error_hosts(spark, by):
+    rows, keys = make_rows(3000, seed=1), [*by, "log_date", "log_hour"]
+    got = traffic.error_hosts(spark.createDataFrame(rows, FIELDS), by)
+    want = expected_hours(rows, bool(by))
+    assert hosts_by_key(got, keys) == {k: v[-1] for k, v in want.items() if v[-1]}
+    errors = got.groupBy(*keys).agg(F.sum("error_request_count").alias("n"))
+    assert rows_by_key(errors, keys, ["n"]) == {k: v[:1] for k, v in want.items() if v[0]}
 
 
 @pytest.mark.parametrize("by", [(), KEYS])
-@pytest.mark.parametrize("parts", [{}, {"hosts_per_part": 24, "buckets": 8}, {"hosts_per_part": 1}])
 @pytest.mark.parametrize("k", [1, 20, 60_000])
-def test_top(spark, by, parts, k):
-    rows = make_rows(3000, seed=2)
+def test_top(spark, by, k):
+    rows, keys = make_rows(3000, seed=2), [*by, "resource_path"]
     df = spark.createDataFrame(rows, FIELDS)
-    groups = traffic.count_groups(df, by) if by and k == 20 else None
-    got = traffic.top_resources(df, k, by, groups, **parts)
     want = expected_top(rows, k, bool(by))
-    assert collect_parts(got, [*by, "resource_path"], TOP_VALUES) == want
+    summaries = {key: v[:-1] for key, v in want.items()}
+    assert rows_by_key(traffic.top_resources(df, k, by), keys, TOP_VALUES) == summaries
+    hosts = traffic.top_resource_hosts(df, k, by)
+    assert hosts_by_key(hosts, keys) == {key: v[-1] for key, v in want.items()}
+    assert rows_by_key(traffic.resource_totals(hosts, by), keys, TOP_VALUES) == summaries
+
+
+def test_one_row_per_key_with_a_million_hosts(spark):
+    df = spark.range(1_000_000).selectExpr(
+        "concat('h', id) AS host", "'01/Jul/1995' AS log_date", "0 AS log_hour",
+        "'/a' AS resource", "404 AS status_code", "1L AS bytes",
+    )
+    assert [tuple(r) for r in traffic.top_resources(df, k=1).collect()] == [("/a", *[1_000_000] * 3)]
+    assert traffic.hourly_errors(df).first().distinct_error_hosts == 1_000_000
+    assert traffic.top_resource_hosts(df, k=1).count() == traffic.error_hosts(df).count() == 1_000_000
 
 
 def test_daily(spark):
@@ -90,23 +108,33 @@ def test_daily(spark):
 
 def test_ties_go_to_the_later_name(spark):
     rows = [(1, "h", "01/Jul/1995", 0, f"/{c}", 200, 1) for c in "bdaceB"]
-    got = traffic.top_keys(spark.createDataFrame(rows, FIELDS), k=3).collect()
+    got = traffic.top_resources(spark.createDataFrame(rows, FIELDS), k=3).collect()
     assert [r.resource_path for r in got] == ["/e", "/d", "/c"]
 
 
 def test_null_group_column_is_kept(spark):
     rows = [(None, "h", "01/Jul/1995", 0, "/a", 404, 1), (1, "h", "01/Jul/1995", 0, "/a", 200, 1)]
     df = spark.createDataFrame(rows, FIELDS)
-    hours = {r.batch_no: r for r in traffic.hourly_errors(df, KEYS).collect()}
-    assert hours[None].hosts_list == ["h"] and hours[1].hosts_list == []
-    for groups in (None, 2):
-        top = {r.batch_no: r for r in traffic.top_resources(df, by=KEYS, groups=groups).collect()}
-        assert top[None].hosts_list == top[1].hosts_list == ["h"]
+    hours = {r.batch_no: r.distinct_error_hosts for r in traffic.hourly_errors(df, KEYS).collect()}
+    assert hours == {None: 1, 1: 0}
+    assert [r.batch_no for r in traffic.error_hosts(df, KEYS).collect()] == [None]
+    for query in (traffic.top_resources, traffic.top_resource_hosts):
+        assert {r.batch_no for r in query(df, by=KEYS).collect()} == {None, 1}
+    merged = merge.merge_hours(traffic.hourly_errors(df, KEYS), traffic.error_hosts(df, KEYS), KEYS)
+    assert {r.batch_no: r.distinct_error_hosts for r in merged.collect()} == hours
+
+
+def test_a_null_host_is_no_host(spark):
+    rows = [(1, h, "01/Jul/1995", 0, "/a", 404, 1) for h in (None, None, "h")]
+    df = spark.createDataFrame(rows, FIELDS)
+    assert tuple(traffic.top_resources(df).first())[1:] == (3, 3, 1)
+    assert tuple(traffic.hourly_errors(df).first())[2:] == (3, 3, 1.0, 1)
 
 
 def test_empty_input(spark):
     df = spark.createDataFrame([], FIELDS)
-    for query in (traffic.daily_traffic, traffic.top_resources, traffic.hourly_errors):
+    queries = [traffic.daily_traffic, traffic.top_resources, traffic.top_resource_hosts]
+    for query in (*queries, traffic.hourly_errors, traffic.error_hosts):
         assert query(df).count() == 0
 
 
@@ -115,9 +143,10 @@ def plan_of(df):
     return df._jdf.queryExecution().toString()
 
 
-def tasks_of_hot_key(spark, df, key):
+def tasks_of(df, key, value):
     """How many tasks the rows of a key come from."""
-    return df.where(key).select(F.spark_partition_id()).distinct().count()
+    rows = df.withColumn("task", F.spark_partition_id()).collect()  # all columns: sizes decide
+    return len({r.task for r in rows if r[key] == value})
 
 
 def test_hot_keys_are_split_over_tasks(spark, conf):
@@ -125,6 +154,8 @@ def test_hot_keys_are_split_over_tasks(spark, conf):
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
         spark__sql__shuffle__partitions="16",
     )
     df = spark.range(60_000).selectExpr(
@@ -136,37 +167,31 @@ def test_hot_keys_are_split_over_tasks(spark, conf):
         "404 AS status_code",
         "1L AS bytes",
     )
-    small = {"hosts_per_part": 1000, "buckets": 64}
-    hours = traffic.hourly_errors(df, **small)
-    top = traffic.top_resources(df, by=KEYS, **small)
-    for got, key in ((hours, "log_hour = 5"), (top, "resource_path = '/hot'")):
-        assert got.where(key).agg(F.sum(F.size("hosts_list"))).first()[0] >= 20_000
-        assert got.agg(F.max(F.size("hosts_list"))).first()[0] <= 1000
-        assert tasks_of_hot_key(spark, got, key) >= 12
+    hours = traffic.error_hosts(df)
+    top = traffic.top_resource_hosts(df, by=KEYS)
+    for got, key, value in ((hours, "log_hour", 5), (top, "resource_path", "/hot")):
+        assert got.where(F.col(key) == value).count() >= 20_000
+        assert tasks_of(got, key, value) >= 8
         shuffles = [x for x in plan_of(got).splitlines() if "Exchange hashpartitioning" in x]
         assert shuffles
 
 
-def test_salted_join_spreads_a_hot_key(spark, conf):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
-    conf(spark__sql__shuffle__partitions="16")
-    requests = spark.range(20_000).selectExpr("1 AS batch_no", "'/hot' AS resource_path", "concat('h', id) AS host")
-    winners = spark.createDataFrame([(1, "/hot")], "batch_no int, resource_path string")
-    pairs = traffic._hosts_of_many(requests, winners, ["batch_no", "resource_path"])
-    sizes = pairs.groupBy(F.spark_partition_id()).count().collect()
-    assert sum(r["count"] for r in sizes) == 20_000
-    assert max(r["count"] for r in sizes) < 20_000 / 4
-
-
-def test_plans_scan_twice_and_read_few_columns(spark, tmp_path):
+def test_plans_scan_once(spark, tmp_path):
     path = str(tmp_path / "parsed")
     spark.createDataFrame(make_rows(500, seed=4), FIELDS).write.parquet(path)
     df = spark.read.schema(FIELDS).parquet(path)
-    by_batch = lambda parsed: traffic.top_resources(parsed, by=KEYS)
-    for query in (traffic.hourly_errors, traffic.top_resources, by_batch):
+    for query in (
+        traffic.hourly_errors,
+        traffic.error_hosts,
+        traffic.top_resources,
+        traffic.top_resource_hosts,
+        lambda parsed: traffic.top_resources(parsed, by=KEYS),
+        lambda parsed: traffic.top_resource_hosts(parsed, by=KEYS),
+    ):
         final = plan_of(query(df)).split("== Initial Plan ==")[0].split("== Physical Plan ==")[-1]
         scans = [s for s in final.splitlines() if "FileScan parquet" in s]
-        assert len(scans) == 2, final
+        reused = [s for s in final.splitlines() if "ReusedExchange" in s]
+        assert len(scans) - len(reused) <= 1, final
         assert "CartesianProduct" not in final and "NestedLoop" not in final
 
 
@@ -176,8 +201,7 @@ def test_merged_batches_equal_the_whole(spark, size):
     df = spark.createDataFrame(rows, FIELDS)
     daily = merge.merge_daily(traffic.daily_traffic(df, KEYS))
     assert sorted(daily.collect()) == sorted(traffic.daily_traffic(df).collect())
-    hours = traffic.hourly_errors(df, KEYS, hosts_per_part=5, buckets=4)
-    hours = merge.merge_hours(hours).collect()
+    hours = merge.merge_hours(traffic.hourly_errors(df, KEYS), traffic.error_hosts(df, KEYS)).collect()
     got = {(r.log_date, r.log_hour): tuple(r)[2:] for r in hours}
     assert got == {k: (e, t, n) for k, (e, t, _, n, _) in expected_hours(rows, False).items()}
 
@@ -185,7 +209,8 @@ def test_merged_batches_equal_the_whole(spark, size):
 def test_merged_top_lists(spark):
     rows = make_rows(2500, seed=9)
     df = spark.createDataFrame(rows, FIELDS)
-    got = merge.merge_resources(traffic.top_resources(df, 5, KEYS, groups=4, hosts_per_part=4, buckets=4)).collect()
+    top, hosts = traffic.top_resources(df, 5, KEYS), traffic.top_resource_hosts(df, 5, KEYS)
+    got = merge.merge_resources(top, hosts).collect()
     want = defaultdict(lambda: [0, 0, set()])
     for (_, resource), (n, size, _, hosts) in expected_top(rows, 5, True).items():
         want[resource][0] += n
