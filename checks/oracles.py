@@ -483,6 +483,14 @@ oracle(
         cast(count(*) over (partition by batch_no) as integer) as declared_count from all_parsed""",
     ALL_PARSED,
 )
+oracle(
+    "declared_counts",
+    """select batch_no, cast(count(*) as integer) as declared_count,
+        count(*) filter (where batch_no % 3 = 0 or not ends_with(value, '7')) as lines
+      from all_parsed group by batch_no
+      having declared_count <> lines and lines > 0""",
+    ALL_PARSED,
+)
 oracle(
     "line_batches",
     """select cast(row_no // 700 + 1 as integer) as batch_no, count(*) as lines,

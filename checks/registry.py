@@ -17,6 +17,7 @@ from loglark.plans.run import read_runs, run_batches
 from loglark.session import new_folder
 from loglark.sources import tables
 from loglark.sources.text import (
+    count_check,
     export_query,
     hosts_of_texts,
     read_batches,
@@ -399,6 +400,14 @@ def batch_files(spark, sf):
     return read_batches(spark, _batch_files(spark, sf))
 
 
+@query
+def declared_counts(spark, sf):
+    """Batch files of which two in three have lost the lines that end in 7."""
+    lines = read_batches(spark, _batch_files(spark, sf))
+    lost = (F.col("batch_no") % 3 != 0) & F.col("value").endswith("7")
+    return count_check(lines.where(~lost))
+
+
 @query
 def line_batches(spark, sf):
     """The log written as text files, numbered in file order and cut into batches."""

@@ -1,6 +1,7 @@
 """Jobs for spark-submit.
 
-    split   <file> <parent folder> <lines per batch>
+    split   <file> <parent folder> <lines per batch> [--many-files]
+    check   <batch folder> <output folder>
     run     <batch folder> <root> <run id> [--engine NAME] [--queries all|1|2|3] [--load N]
             [--separately 1,2,...]
     report  <root> <run id> <output folder> [--engines a,b,...]
@@ -19,7 +20,7 @@ from loglark.plans.reports import all_reports, run_history_json
 from loglark.plans.run import read_run_tables, read_runs, run_batches, split_dataset
 from loglark.session import configure
 from loglark.sources.tables import write_run_history
-from loglark.sources.text import export_query, read_batches
+from loglark.sources.text import count_check, export_query, read_batches
 
 
 def numbers(text: str) -> list[int]:
@@ -34,6 +35,11 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     split.add_argument("path")
     split.add_argument("parent")
     split.add_argument("lines", type=int)
+    split.add_argument("--many-files", action="store_true", help="batches too large for one task")
+
+    check = jobs.add_parser("check", help="batches whose lines are not as many as their name declares")
+    check.add_argument("folder")
+    check.add_argument("out")
 
     run = jobs.add_parser("run", help="parse and query a folder of batch files")
     run.add_argument("folder")
@@ -60,7 +66,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = arguments(argv)
     spark = configure(SparkSession.builder.appName(f"loglark {args.job}")).getOrCreate()
     if args.job == "split":
-        split_dataset(spark, args.path, args.parent, args.lines)
+        split_dataset(spark, args.path, args.parent, args.lines, one_file=not args.many_files)
+    elif args.job == "check":
+        export_query(count_check(read_batches(spark, args.folder)), args.out)
     elif args.job == "run":
         dataset = args.folder.rstrip("/").rsplit("/", 1)[-1]
         lines = read_batches(spark, args.folder)

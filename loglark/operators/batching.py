@@ -2,42 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from loglark.session import staged
 
+#: Sorted rows are counted up over groups of 2 ** TASK_BITS tasks, then over the tasks of a group.
+TASK_BITS = 10
+
 
 def _task():
     """The task that gave a row its ``_row`` id, which counts up within the task."""
     return F.shiftright("_row", 33)
 
 
-def _offset_rows(rows: DataFrame, order: list[Column]) -> DataFrame:
+def _offset_rows(rows: DataFrame, group: Column, inside: Column) -> DataFrame:
     """Add ``row_no`` (from 0) to stored rows with a ``_row`` id.
 
-    ``order`` tells runs of consecutive rows apart and sorts them. The runs are the scan
-    splits or the tasks of the write before: a few numbers for each, as many as the driver
-    itself holds to plan that write. So they fit one window and a broadcast.
+    ``group`` and ``inside`` tell runs of consecutive rows apart and sort them. Lengths are
+    added up over the groups, then over the runs of each group, so no task sees all runs.
     """
-    names = [f"_o{i}" for i in range(len(order))]
-    keys = [c.alias(n) for c, n in zip(order, names, strict=True)]
-    runs = rows.groupBy(_task().alias("_t"), *keys).agg(
+    length = F.col("_last") - F.col("_first") + 1
+    runs = rows.groupBy(group.alias("_g"), inside.alias("_o"), _task().alias("_t")).agg(
         F.min("_row").alias("_first"), F.max("_row").alias("_last")
     )
-    before = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-    length = F.col("_last") - F.col("_first") + 1
-    offsets = runs.select(
-        "_t", "_first", "_last", F.coalesce(F.sum(length).over(before), F.lit(0)).alias("_offset")
+    runs = staged(runs.withColumn("_n", length), "runs")
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    groups = runs.groupBy("_g").agg(F.sum("_n").alias("_all"))
+    starts = groups.select("_g", _sum_of("_all", before.orderBy("_g")).alias("_start"))
+    earlier = _sum_of("_n", before.partitionBy("_g").orderBy("_o"))
+    offsets = runs.join(starts, "_g").select(
+        "_t", "_first", "_last", (F.col("_start") + earlier).alias("_offset")
     )
-    inside = (_task() == F.col("_t")) & F.col("_row").between(F.col("_first"), F.col("_last"))
+    at = (_task() == F.col("_t")) & F.col("_row").between(F.col("_first"), F.col("_last"))
     return (
-        rows.join(F.broadcast(offsets), inside)
+        rows.join(staged(offsets, "offsets"), at)
         .withColumn("row_no", F.col("_offset") + F.col("_row") - F.col("_first"))
         .drop("_row", "_t", "_first", "_last", "_offset")
     )
 
 
+def _sum_of(name: str, window: WindowSpec) -> Column:
+    return F.coalesce(F.sum(name).over(window), F.lit(0))
+
+
 def number_rows(df: DataFrame, *order: str | Column) -> DataFrame:
     """Add ``row_no`` from 0 in the given order, which should be unique for each row.
 
@@ -45,7 +53,8 @@ def number_rows(df: DataFrame, *order: str | Column) -> DataFrame:
     both passes over them then see the same ids.
     """
     placed = df.sort(*order).withColumn("_row", F.monotonically_increasing_id())
-    return _offset_rows(staged(placed, "numbered"), [_task()])
+    tasks = F.shiftright(_task(), TASK_BITS)
+    return _offset_rows(staged(placed, "numbered"), tasks, _task())
 
 
 def number_lines(lines: DataFrame) -> DataFrame:
@@ -55,7 +64,7 @@ def number_lines(lines: DataFrame) -> DataFrame:
     by file and start.
     """
     placed = lines.withColumn("_row", F.monotonically_increasing_id())
-    numbered = _offset_rows(staged(placed, "lines"), [F.col("file_path"), F.col("block_start")])
+    numbered = _offset_rows(staged(placed, "lines"), F.col("file_path"), F.col("block_start"))
     return numbered.drop("file_path", "block_start")
 
 

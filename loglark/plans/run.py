@@ -19,6 +19,7 @@ from loglark.operators.traffic import (
     top_resource_hosts,
     top_resources,
 )
+from loglark.session import staging
 from loglark.sources.tables import (
     clear_load,
     read_metadata,
@@ -67,13 +68,19 @@ def select_queries(choice: str) -> list[int]:
     raise ValueError(f"queries must be 'all' or one of {list(QUERIES)}, not {choice!r}")
 
 
-def split_dataset(spark: SparkSession, path: str, parent: str, n: int) -> str:
-    """Cut a log file into batch files of n lines in ``<parent>/<file name>_<n>``; gives that folder."""
+def split_dataset(
+    spark: SparkSession, path: str, parent: str, n: int, one_file: bool = True
+) -> str:
+    """Cut a log file into batches of n lines in ``<parent>/<file name>_<n>``; gives that folder.
+
+    ``one_file=False`` writes a batch as several files, for batches too large for one task.
+    """
     name = path.rstrip("/").rsplit("/", 1)[-1]
     stem = name.rsplit(".", 1)[0] if "." in name else name
     folder = f"{parent.rstrip('/')}/{stem}_{n}"
-    lines = number_lines(read_raw(spark, path, places=True))
-    write_batches(assign_batches(lines, n), folder)
+    with staging(spark):
+        lines = number_lines(read_raw(spark, path, places=True))
+        write_batches(assign_batches(lines, n), folder, one_file=one_file)
     return folder
 
 

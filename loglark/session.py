@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +25,10 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+# The folder of each local application without the setting, which no running session can change.
+_local: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
@@ -34,9 +41,10 @@ def shared_folder(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="loglark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local:
+        _local[application] = tempfile.mkdtemp(prefix="loglark-")
+    return _local[application]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -44,12 +52,37 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Deletes at the end of the block what ``staged`` writes inside; frames that read it end with it."""
+    paths: list[str] = []
+    outer = _staged.set(paths)
+    try:
+        yield
+    finally:
+        _staged.reset(outer)
+        for path in paths:
+            delete_folder(spark, path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Later passes see the same rows whatever happens to executors, and still
-    prune columns, which a checkpointed RDD would not.
+    prune columns, which a checkpointed RDD would not. The table's size is known, so
+    a join broadcasts it only below ``spark.sql.autoBroadcastJoinThreshold``. Outside a
+    ``staging`` block it stays until the job clears the shared folder.
     """
     path = new_folder(df.sparkSession, name)
+    if (paths := _staged.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from loglark.functions.parsing import to_log_date
 from loglark.schemas import PARSED, TABLES
+from loglark.session import delete_folder
 from loglark.sources.text import texts_of_lists
 
 
@@ -71,10 +72,8 @@ def write_results(df: DataFrame, root: str, name: str, run_id: int, load_id: int
 
 def clear_load(spark: SparkSession, root: str, run_id: int, load_id: int) -> None:
     """Delete all rows of one load of a run, in every table: what is written next replaces it wholly."""
-    files = spark._jvm.org.apache.hadoop.fs
     for name in TABLES:
-        path = files.Path(f"{root}/{name}/run_id={run_id}/load_id={load_id}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, f"{root}/{name}/run_id={run_id}/load_id={load_id}")
 
 
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
@@ -129,16 +128,33 @@ def write_run_history(history: DataFrame, folder: str) -> None:
 def write_jdbc(
     df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None
 ) -> None:
-    """Append a result to a database table in bulk, host lists as text."""
+    """Append a result to a database table in bulk, host lists as text.
+
+    Each task commits once, at its end. A task that is run again after its commit would
+    add its rows twice: give the table a unique key over run, load and the result's keys.
+    """
     options = {"batchsize": "10000", **(properties or {})}
     texts_of_lists(df).write.jdbc(url, table, mode="append", properties=options)
 
 
 def read_jdbc(
-    spark: SparkSession, url: str, table: str, run_id: int, properties: dict[str, str] | None = None
+    spark: SparkSession,
+    url: str,
+    table: str,
+    run_id: int,
+    properties: dict[str, str] | None = None,
+    column: str | None = None,
+    bounds: tuple[int, int] = (1, 1),
+    parts: int = 1,
 ) -> DataFrame:
     """The rows of one run from a database table; the filter runs in the database.
 
+    With a whole-numbered ``column`` (such as ``batch_no``) ``parts`` tasks read at once,
+    each a range of it; ``bounds`` only place the ranges, rows beyond them or with a null
+    are read as well. Without one a single connection reads all.
     Host lists are text there; ``sources.text.lists_of_texts`` turns them into arrays.
     """
-    return spark.read.jdbc(url, table, properties=properties or {}).where(F.col("run_id") == run_id)
+    split = {}
+    if column is not None:
+        split = dict(column=column, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=parts)
+    return spark.read.jdbc(url, table, properties=properties or {}, **split).where(F.col("run_id") == run_id)

@@ -48,6 +48,15 @@ def read_batches(spark: SparkSession, folder: str) -> DataFrame:
     return batch_columns(reader.text(folder))
 
 
+def count_check(lines: DataFrame) -> DataFrame:
+    """Batches of ``read_batches`` whose lines are not as many as their name declares.
+
+    A file without lines gives no row here, as it gives none there.
+    """
+    counted = lines.groupBy("batch_no", "declared_count").agg(F.count(F.lit(1)).alias("lines"))
+    return counted.where(F.col("lines") != F.col("declared_count"))
+
+
 def write_batches(
     batched: DataFrame, folder: str, col: str = "value", one_file: bool = True
 ) -> None:

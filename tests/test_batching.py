@@ -1,9 +1,13 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from loglark.functions.names import batch_identity, dataset_base, split_hosts, target_batch_size
 from loglark.operators import batching
-from loglark.sources.text import read_batches, read_raw, write_batches
+from loglark.plans.run import split_dataset
+from loglark.session import shared_folder
+from loglark.sources.text import count_check, read_batches, read_raw, write_batches
 
 
 def test_lines_are_numbered_in_file_order(spark, conf, tmp_path):
@@ -33,6 +37,32 @@ def test_rows_are_numbered_in_key_order(spark):
     assert sorted(r.row_no for r in rows) == list(range(5000))
 
 
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+def test_rows_of_many_tasks_are_numbered_without_a_broadcast(spark, conf, monkeypatch, limit):
+    conf(spark__sql__autoBroadcastJoinThreshold=limit)
+    monkeypatch.setattr(batching, "TASK_BITS", 1)
+    rows = batching.number_rows(spark.range(3000), F.desc("id"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == (limit != "-1")
+    assert {(r.id, r.row_no) for r in rows.collect()} == {(i, 2999 - i) for i in range(3000)}
+
+
+@pytest.mark.parametrize("one_file", [True, False])
+def test_split_leaves_only_the_batches(spark, tmp_path, one_file):
+    shared = Path(shared_folder(spark))
+    before = set(shared.iterdir())
+    (tmp_path / "web.log").write_text("".join(f"line {i}\n" for i in range(250)))
+    folder = split_dataset(spark, str(tmp_path / "web.log"), str(tmp_path), 100, one_file=one_file)
+    assert set(shared.iterdir()) == before
+    lines = read_batches(spark, folder)
+    assert sorted((r.batch_no, r["count"]) for r in lines.groupBy("batch_no").count().collect()) == [
+        (1, 100), (2, 100), (3, 50)
+    ]
+    assert count_check(lines).isEmpty()
+    short = count_check(lines.where("value <> 'line 7'"))
+    assert [tuple(r) for r in short.collect()] == [(1, 100, 99)]
+
+
 def test_batch_size_must_be_positive(spark):
     with pytest.raises(ValueError):
         batching.assign_batches(spark.range(1), 0)

@@ -165,6 +165,24 @@ def test_database_writer(spark, monkeypatch):
     assert options == {"mode": "append", "properties": {"batchsize": "10000", "user": "u"}}
 
 
+@pytest.mark.parametrize("column", [None, "batch_no"])
+def test_database_reader(spark, monkeypatch, column):
+    from pyspark.sql import DataFrameReader
+
+    calls = []
+
+    def jdbc(self, *args, **options):
+        calls.append((args, options))
+        return spark.createDataFrame([(1, 5), (2, 6)], "run_id int, batch_no int")
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", jdbc)
+    url = "jdbc:postgresql://host/db"
+    rows = tables.read_jdbc(spark, url, "batch_metadata", 2, column=column, bounds=(1, 90), parts=9)
+    assert [r.batch_no for r in rows.collect()] == [6]
+    split = dict(column="batch_no", lowerBound=1, upperBound=90, numPartitions=9) if column else {}
+    assert calls == [((url, "batch_metadata"), {"properties": {}, **split})]
+
+
 def test_a_load_of_other_batches_is_refused(spark, tmp_path):
     root = str(tmp_path)
     lines = spark.createDataFrame([("x", 1), ("y", 2), ("z", 3)], "value string, batch_no int")
