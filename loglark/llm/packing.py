@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import base64
+import struct
 import zlib
 from collections import deque
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
+from tempfile import SpooledTemporaryFile
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,7 @@ WINDOW = 2048
 END = 1
 #: Shortest piece a source sends in its turn, unless its document or the window ends.
 LEAST_PIECE = 512
-#: Tokens that one task holds at most before it fills windows, besides one document.
+#: Tokens of a part that a task holds in memory at most; a larger part waits in an unnamed temporary file.
 HELD_TOKENS = 4_000_000
 SPECIAL = {"<|endoftext|>": 50256}
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -52,35 +54,67 @@ def encode(text: str | None, vocabulary: str | None = None) -> np.ndarray:
     return np.array(ids, dtype="<u4")
 
 
+#: What stands before the ids of a waiting document: its id, whether that is null, and its tokens.
+_HEAD = struct.Struct("<q?q")
+_ID_BYTES = 4
+
+
 class _Queues:
-    """Documents of one part by source, and the deficit of each source in tokens."""
+    """Documents of one part by source, and the deficit of each source in tokens.
+
+    All documents wait in one file, in memory up to ``held`` tokens and else on the task's
+    disk, so that every source's queue is whole when the first window is filled. Documents
+    come source by source, a queue is a range of the file.
+    """
 
-    def __init__(self, window: int, least: int) -> None:
+    def __init__(self, window: int, least: int, held: int) -> None:
         self.window, self.least = window, least
-        self.queues: dict[str, deque] = {}
+        self.file = SpooledTemporaryFile(max_size=_ID_BYTES * max(held, 1))
+        self.size = 0
+        #: Where each source's next document begins and its last one ends.
+        self.queues: dict[str, list[int]] = {}
+        #: The document each source is sending: id, where its ids begin, its tokens, those sent.
+        self.heads: dict[str, list] = {}
         self.share: dict[str, float] = {}
         self.deficit: dict[str, float] = {}
         self.ring: deque[str] = deque()
         self.held = self.seq = self.fill = 0
 
     def source(self, name: str, share: float, carried: float) -> None:
-        self.queues[name], self.share[name], self.deficit[name] = deque(), share, carried
+        self.queues[name], self.share[name], self.deficit[name] = [0, 0], share, carried
         self.ring.append(name)
 
-    def add(self, name: str, doc_id: int, ids: np.ndarray) -> None:
+    def add(self, name: str, doc_id: int | None, ids: np.ndarray) -> None:
         if name not in self.queues:
             self.source(name, 0.0, 0.0)
-        self.queues[name].append([doc_id, ids, 0])
+        queue = self.queues[name]
+        if queue[0] == queue[1]:
+            queue[0] = self.size
+        self.file.write(_HEAD.pack(doc_id or 0, doc_id is None, len(ids)))
+        self.file.write(ids.tobytes())
+        self.size += _HEAD.size + _ID_BYTES * len(ids)
+        queue[1] = self.size
         self.held += len(ids)
 
+    def _read(self, at: int, n: int) -> bytes:
+        self.file.seek(at)
+        return self.file.read(n)
+
+    def _head(self, name: str) -> list:
+        if name not in self.heads:
+            at = self.queues[name][0]
+            doc_id, null, total = _HEAD.unpack(self._read(at, _HEAD.size))
+            self.heads[name] = [None if null else doc_id, at + _HEAD.size, total, 0]
+        return self.heads[name]
+
     def _turn(self) -> str:
         """The next source in the ring that is owed tokens, else the one owed most."""
         for _ in range(len(self.ring)):
             name = self.ring[0]
             self.ring.rotate(-1)
-            if self.deficit[name] > 0 and self.queues[name]:
+            if self.deficit[name] > 0 and self.queues[name][0] < self.queues[name][1]:
                 return name
-        return max((n for n, q in self.queues.items() if q), key=self.deficit.__getitem__)
+        return max((n for n, q in self.queues.items() if q[0] < q[1]), key=self.deficit.__getitem__)
 
     def fill_windows(self, keep: int) -> Iterator[tuple]:
         """Pieces of whole windows, until at most ``keep`` tokens are held."""
@@ -89,17 +123,19 @@ class _Queues:
                 for name, share in self.share.items():
                     self.deficit[name] += share * self.window
             name = self._turn()
-            head = self.queues[name][0]
-            doc_id, ids, start = head
+            head = self._head(name)
+            doc_id, at, total, start = head
             most = max(self.least, int(self.deficit[name]))
-            n = min(len(ids) - start, self.window - self.fill, most)
-            yield doc_id, start, n, zlib.crc32(ids[start : start + n].tobytes()), len(ids), name, self.seq, self.fill
+            n = min(total - start, self.window - self.fill, most)
+            crc = zlib.crc32(self._read(at + _ID_BYTES * start, _ID_BYTES * n))
+            yield doc_id, start, n, crc, total, name, self.seq, self.fill
             self.deficit[name] -= n
             self.held -= n
             self.fill += n
-            head[2] = start + n
-            if head[2] == len(ids):
-                self.queues[name].popleft()
+            head[3] = start + n
+            if head[3] == total:
+                self.queues[name][0] = at + _ID_BYTES * total
+                del self.heads[name]
             if self.fill == self.window:
                 self.seq, self.fill = self.seq + 1, 0
 
@@ -109,6 +145,7 @@ class _Queues:
         while self.held:
             self.window = 1 << (self.held.bit_length() - 1)
             yield from self.fill_windows(keep=self.held - self.window)
+        self.file.close()
 
 
 def _pack_parts(batches: Iterator[pa.RecordBatch], vocabulary, window, least, held) -> Iterator[pa.RecordBatch]:
@@ -140,13 +177,11 @@ def _pack_parts(batches: Iterator[pa.RecordBatch], vocabulary, window, least, he
             if at != part:
                 if queues:
                     yield from out(queues.last())
-                part, queues = at, _Queues(window, least)
+                part, queues = at, _Queues(window, least, held)
             if share is not None:
                 queues.source(name, share, carried)
                 continue
             queues.add(name, doc_id, encode(text, vocabulary))
-            if queues.held > held:
-                yield from out(queues.fill_windows(held // 2))
     if queues:
         yield from out(queues.last())
 
@@ -209,7 +244,8 @@ def pack(
     together); a source that has run dry leaves its turns to the others, so all is packed.
 
     Every window but a part's last is full; what is left there is cut into sequences of
-    powers of two. A task holds ``held_tokens`` and one document at most. Null texts are
+    powers of two. A task holds ``held_tokens`` of its part and one document at most; ids of
+    a larger part wait in its temporary folder, which changes no window. Null texts are
     empty (the ending id only), a null source is ``''``; each row is a document of its own,
     also with a repeated or null id. An empty table gives no piece; other columns are not read.
     """
