@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 import struct
 import zlib
 from collections import deque
@@ -26,14 +27,19 @@ LEAST_PIECE = 512
 HELD_TOKENS = 4_000_000
 SPECIAL = {"<|endoftext|>": 50256}
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Longest run of white space left to the pattern, whose look-ahead overflows its stack at about a million.
+LONG_SPACE = 100_000
+#: Longer runs. The pattern's white space is Python's without four separators.
+_SPACE = r"[^\S\x1C-\x1F]"
+_LONG = re.compile(rf"(?<!{_SPACE}){_SPACE}{{{LONG_SPACE},}}+")
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, source string, part int, seq long, offset long"
 )
 
 
-@lru_cache(maxsize=2)
-def _encoding(path: str | None):
+@lru_cache(maxsize=4)
+def _encoding(path: str | None, pattern: str | None = None):
     import public_tokenizers
     import tiktoken
 
@@ -41,15 +47,34 @@ def _encoding(path: str | None):
     with lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     return tiktoken.Encoding(
-        "packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL
+        "packing", pat_str=pattern or public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL
     )
 
 
+def _ids(text: str, vocabulary: str | None) -> list[int]:
+    encoding = _encoding(vocabulary)
+    marked = any(s in text for s in SPECIAL)
+    return encoding.encode(text, allowed_special="all") if marked else encoding.encode_ordinary(text)
+
+
+def _ids_around_runs(text: str, vocabulary: str | None) -> list[int]:
+    """The same ids. A long run of white space is one piece of the pattern, without its last
+    character where text follows, and is encoded by a pattern without a look-ahead."""
+    ids, at = [], 0
+    for run in _LONG.finditer(text):
+        end = run.end()
+        if end < len(text) and not text.startswith(tuple(SPECIAL), end):
+            end -= 1
+        ids += _ids(text[at : run.start()], vocabulary)
+        ids += _encoding(vocabulary, r"\s+").encode_ordinary(text[run.start() : end])
+        at = end
+    return ids + _ids(text[at:], vocabulary)
+
+
 def encode(text: str | None, vocabulary: str | None = None) -> np.ndarray:
     """Ids of a document, with the one that ends it."""
-    encoding, text = _encoding(vocabulary), text or ""
-    marked = any(s in text for s in SPECIAL)
-    ids = encoding.encode(text, allowed_special="all") if marked else encoding.encode_ordinary(text)
+    text = text or ""
+    ids = _ids(text, vocabulary) if len(text) < LONG_SPACE else _ids_around_runs(text, vocabulary)
     ids.append(END)
     return np.array(ids, dtype="<u4")
 
