@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loglark.llm.common import stage, with_package
 from loglark.llm.pii_rules import KINDS, Span, base_spans, joined, plausible, sha256
-from loglark.llm.pii_tagger import WINDOW, Tagger, anchored_windows, reconciled, tags_of, window_spans
+from loglark.llm.pii_tagger import WINDOW, Tagger, anchored_windows, padded, reconciled, tags_of, window_spans, window_starts
 
 #: Documents that the tagger learns from and windows of them, at most.
 TRAIN_DOCUMENTS, TRAIN_WINDOWS = 4000, 4096
@@ -47,7 +47,7 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
             text = text or ""
             for piece, spans in variants(text, base_spans(text)):
-                starts, codes = anchored_windows(piece)
+                starts, codes = anchored_windows(piece, spans)
                 tags = tags_of(spans, len(piece))
                 rows += [(key, c.tobytes(), tags[s : s + WINDOW].tobytes()) for s, c in zip(starts, codes, strict=True)]
         keys, codes, tags = zip(*rows, strict=True) if rows else ((), (), ())
@@ -60,8 +60,9 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, id_col: str, text_col: str) -> Tagger | None:
     """A tagger trained on windows around base spans and their variants, or None if there is no span.
 
-    It learns from the TRAIN_DOCUMENTS documents with a digit or an at sign whose ids hash
-    smallest, and of their windows from the TRAIN_WINDOWS with the smallest hashes.
+    It learns from the TRAIN_DOCUMENTS documents with a digit or an at sign, as every base
+    span has, whose ids hash smallest, and from the TRAIN_WINDOWS of their windows and of
+    those of their spans' variants that hash smallest.
     """
     docs = with_package(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     anchored = docs.where(F.col("text").rlike("[0-9@]"))
@@ -95,24 +96,32 @@ def added_spans(text: str, base: list[Span], found: list[tuple[int, int, int, bo
 
 
 def find_all(texts: list[str], tagger: Tagger | None) -> list[tuple[list[Span], list[Span]]]:
-    """Base and added spans of each text. Windows of all texts are decoded together."""
+    """Base and added spans of each text. Windows of all texts are decoded together.
+
+    First those with an anchor, then those that a span found so far reaches into, until none
+    is left: every plausible span comes out as if all windows were decoded.
+    """
     bases = [base_spans(t) for t in texts]
     found: list[list] = [[] for _ in texts]
-    waiting: list[tuple[int, int, np.ndarray]] = []
-
-    def decode() -> None:
-        if waiting:
-            for (i, start, _), tags in zip(waiting, tagger.decode(np.stack([w[2] for w in waiting])), strict=True):
-                found[i] += window_spans(start, tags)
-            waiting.clear()
-
+    codes: dict[int, np.ndarray] = {}
+    waiting: list[tuple[int, int]] = []
     if tagger is not None:
         for i, text in enumerate(texts):
-            for start, codes in zip(*anchored_windows(text), strict=True):
-                waiting.append((i, int(start), codes))
-                if len(waiting) == DECODED:
-                    decode()
-        decode()
+            starts = anchored_windows(text)[0].tolist()
+            if starts:
+                codes[i] = padded(text)
+                waiting += [(i, start) for start in starts]
+    known = set(waiting)
+    while waiting:
+        now, waiting = waiting[:DECODED], waiting[DECODED:]
+        decoded = tagger.decode(np.stack([codes[i][start : start + WINDOW] for i, start in now]))
+        for (i, start), tags in zip(now, decoded, strict=True):
+            spans = window_spans(start, tags)
+            found[i] += spans
+            for first, last, *_ in spans:
+                reached = [w for s in window_starts(first, last, len(texts[i])) if (w := (i, s)) not in known]
+                known.update(reached)
+                waiting += reached
     return [(b, added_spans(t, b, f)) for t, b, f in zip(texts, bases, found, strict=True)]
 
 
@@ -140,8 +149,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base_sha256, spans, n_added.
 
     Base spans come from the patterns; the tagger adds spans that touch none of them and
-    hold what their kind must hold. It reads every window with a digit or an at sign, which
-    are all that can hold a span. Offsets are code points, ends exclusive. A null text is
+    hold what their kind must hold. It reads every window with a digit, an at sign or a
+    spelled-out one, and all that the spans there reach into, which is wherever a span can
+    be. Offsets are code points, ends exclusive. A null text is
     empty; an empty list has the hash of the empty string; null ids and repeated rows are
     rows like others; where no base span exists nothing is learned and nothing added. Only
     the id and the text are read.

@@ -8,8 +8,9 @@ from collections.abc import Iterator
 
 KINDS = ("email", "ip", "card", "phone")
 
-#: A span of any kind holds a digit or an at sign.
-ANCHOR = re.compile(r"[0-9@]")
+#: A plausible span of any kind holds a digit, an at sign or a spelled-out one.
+ANCHOR = re.compile(r"[0-9@]| (?=at )")
+_DIGIT = re.compile(r"[0-9]")
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -65,7 +66,7 @@ def base_spans(text: str) -> list[Span]:
     found: list[Span] = []
     if "@" in text:
         found += [(s, e, 0) for s, e in _emails(text)]
-    if not ANCHOR.search(text):
+    if not _DIGIT.search(text):
         return found
     if "." in text:
         found += [(m.start(), m.end(), 1) for m in _IP.finditer(text) if is_ip(m[0])]

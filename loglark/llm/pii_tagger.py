@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 
 from loglark.llm.pii_rules import ANCHOR, KINDS, Span
@@ -33,14 +35,24 @@ def coded(text: str) -> np.ndarray:
     return _CODE[np.minimum(points, 128)]
 
 
-def anchored_windows(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and codes of the windows that hold a digit or an at sign; in others no span can be."""
+def padded(text: str) -> np.ndarray:
+    return np.concatenate([coded(text), np.zeros(WINDOW, dtype=np.uint8)])
+
+
+def window_starts(start: int, end: int, size: int) -> range:
+    """Starts of all windows of a text of ``size`` that share a character with a span."""
+    return range(max((start - WINDOW) // STEP + 1, 0) * STEP, min(end, size), STEP)
+
+
+def anchored_windows(text: str, spans: Iterable[Span] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and codes of the windows that hold an anchor, without which no span is plausible, or a part of ``spans``."""
     points = np.fromiter((m.start() for m in ANCHOR.finditer(text)), dtype=np.int64)
-    if not len(points):
+    more = [s for start, end, _ in spans for s in window_starts(start, end, len(text))]
+    if not len(points) and not more:
         return points, np.zeros((0, WINDOW), dtype=np.uint8)
-    at = np.unique(np.concatenate([points // STEP, np.maximum(points // STEP - 1, 0)])) * STEP
-    codes = np.concatenate([coded(text), np.zeros(WINDOW, dtype=np.uint8)])
-    return at, codes[at[:, None] + np.arange(WINDOW)]
+    at = np.concatenate([points // STEP, np.maximum(points // STEP - 1, 0)]) * STEP
+    at = np.unique(np.concatenate([at, np.array(more, dtype=np.int64)]))
+    return at, padded(text)[at[:, None] + np.arange(WINDOW)]
 
 
 def tags_of(spans: list[Span], size: int) -> np.ndarray:

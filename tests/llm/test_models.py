@@ -198,6 +198,38 @@ def test_tagger_learns_spans_without_a_pattern(docs):
     assert len(tagger.decode(pii_tagger.anchored_windows(text)[1])) > 0
 
 
+def test_spelled_out_addresses_without_a_digit(spark):
+    """Learned from plain addresses, found in prose that holds neither a digit nor an at sign."""
+    rng = random.Random(5)
+    words = "the of and there looked to in is he for on with they at be from had by word but".split()
+    names = "john mary peter.miller anna lucas.gray nora olive.stone frank".split()
+    hosts = "example mailhost post.example web north.example inbox".split()
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    texts = [f"{prose(rng.randint(3, 40))} {rng.choice(names)}@{rng.choice(hosts)}.{rng.choice(('com', 'org'))} {prose(30)}" for _ in range(1200)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCS)
+    tagger = pii.train(docs, "doc_id", "text")
+    spelled, found = [], 0
+    for _ in range(60):
+        lead, address = prose(rng.randint(3, 40)), f"{rng.choice(names)} at {rng.choice(hosts)} dot com"
+        spelled.append((f"{lead} {address} {prose(30)}", (len(lead) + 1, len(lead) + 1 + len(address), 0)))
+    for (text, span), (base, added) in zip(spelled, pii.find_all([t for t, _ in spelled], tagger), strict=True):
+        assert base == [] and not re.search("[0-9@]", text)
+        found += span in added
+    assert found >= 10
+
+
+def test_spans_are_those_of_all_windows(docs, monkeypatch):
+    """Also where spans are longer than a window; an untrained tagger finds odd ones all over."""
+    texts = [r.text for r in docs.limit(40).collect()] + ["x" * 200 + " at " + "y" * 200 + " dot com", "a at at b dot c " * 30]
+    for seed in range(4):
+        tagger = pii_tagger.Tagger(seed)
+        tagger.bias[0] = 0.5
+        got = pii.find_all(texts, tagger)
+        with monkeypatch.context() as m:
+            m.setattr(pii, "anchored_windows", lambda t: (np.arange(0, len(t), pii_tagger.STEP), None))
+            assert got == pii.find_all(texts, tagger)
+
+
 # --- pages
 
 
