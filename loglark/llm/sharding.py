@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglark.llm.common import Stage, stage
+from loglark.llm.common import Stage, fresh, stage
 
 SHARD_BYTES = 16 << 20
 #: Bits of the hash: first those of the id, then those of the row, which only rows of one id need.
@@ -56,6 +56,11 @@ def shard(
     Rows are counted once into cells of ``step`` bits; all splits inside a cell are decided
     on these sums. Only rows of cells that are still too large are counted again.
     """
+    return _shard(docs, limit, id_col, text_col, step, [])
+
+
+def _shard(docs: DataFrame, limit: int, id_col: str, text_col: str, step: int, also: list[str]) -> DataFrame:
+    """As ``shard``, with the columns ``also`` of each row."""
     rest = Stage(
         docs.select(
             F.col(id_col).alias("doc_id"),
@@ -64,9 +69,11 @@ def shard(
             .cast("long")
             .alias("id_bits"),
             F.monotonically_increasing_id().alias("row"),
+            *also,
         ).select(
             "doc_id",
             "n_bytes",
+            *also,
             (
                 F.shiftleft("id_bits", ROW_BITS)
                 + F.shiftrightunsigned(F.xxhash64("row"), 64 - ROW_BITS)
@@ -89,6 +96,7 @@ def shard(
                 F.col("prefix").alias("shard"),
                 F.col("bytes").alias("shard_bytes"),
                 F.col("rows").alias("shard_rows"),
+                *also,
             )
         )
         if high == BITS or directory.where("depth is null").isEmpty():
@@ -102,14 +110,16 @@ def shard(
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc_id") -> None:
     """Write the documents as Parquet, one folder per shard below ``path``.
 
-    Ids are expected to be unique here: they join the rows to their shards.
+    Rows are numbered and written to the shared folder first; their numbers join them to
+    their shards, so ids can repeat or be null.
     """
-    places = shard(docs, limit, id_col).select(
-        F.col("doc_id").alias("_id"),
-        F.concat_ws("-", F.col("shard_depth"), F.col("shard")).alias("shard"),
-    )
-    rows = docs.join(places, F.col(id_col).eqNullSafe(F.col("_id"))).drop("_id")
+    (row,) = fresh(docs, "_row")
+    numbered = Stage(docs.withColumn(row, F.monotonically_increasing_id()), "shard-documents")
+    places = _shard(numbered.df, limit, id_col, "text", STEP, [row])
+    places = places.select(row, F.concat_ws("-", F.col("shard_depth"), F.col("shard")).alias("shard"))
+    rows = numbered.df.join(places, row).drop(row)
     rows.repartition("shard").write.partitionBy("shard").parquet(path)
+    numbered.drop()
 
 
 SQL = f"""

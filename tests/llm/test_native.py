@@ -111,3 +111,15 @@ def test_mixing_of_odd_rows(odd, empty):
     got = mixing.mix(odd)
     assert "x" not in {str(r.mix_epoch) for r in got.collect()}
     assert mixing.mix(empty).count() == 0
+
+
+def test_written_shards_with_repeated_and_null_ids(spark, tmp_path):
+    rows = [(1, f"{i % 3}" * 500, "en", "s", 1) for i in range(12)] + [(None, "n" * 400, "en", "s", 1)] * 8 + [(i, "t" * 300, "en", "s", 1) for i in range(20)]
+    path = str(tmp_path / "shards")
+    sharding.write_shards(spark.createDataFrame(rows, DOCS).repartition(3), path, limit=1000)
+    got = spark.read.parquet(path).collect()
+    assert Counter(tuple(r)[:5] for r in got) == Counter(rows)
+    sizes = defaultdict(list)
+    for r in got:
+        sizes[r.shard].append(len(r.text))
+    assert all(sum(n) <= 1000 or len(n) == 1 for n in sizes.values())
