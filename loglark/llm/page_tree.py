@@ -10,11 +10,15 @@ import numpy as np
 
 # Names of HTML elements and words that sites use for parts of a page.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math noembed noframes xmp select object canvas".split())
+RAW = frozenset("script style noscript template iframe textarea title svg annotation annotation-xml noembed noframes xmp select object canvas".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp"
-    " small span strike strong sub sup time tt u var wbr".split()
+    " small span strike strong sub sup time tt u var wbr"
+    " math semantics maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow"
+    " ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split()
 )
+#: Elements of RAW whose start tag can end them, by a slash.
+FOREIGN = frozenset("svg annotation annotation-xml".split())
 #: Elements whose start ends an open element of the listed names.
 ENDS = {
     "li": ("li",),
@@ -150,6 +154,8 @@ def parse(html: str | None) -> Tree:
             end(name)
             continue
         if name in RAW:
+            if name in FOREIGN and m[0].endswith("/>"):
+                continue
             stop = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
             at = done = stop.end() if stop else len(html)
             continue

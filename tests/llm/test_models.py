@@ -255,6 +255,17 @@ def test_main_text_of_composed_pages():
     assert sum(g == t for g, (_, t) in zip(got, pages)) >= 57
 
 
+def test_text_after_a_self_closed_svg_or_math():
+    for tag in ('<svg class="icon"/>', "<math/>", "<SVG a='b' />"):
+        for page in (f"<article><p>One two {tag}three.</p></article>", f"<body>{tag}<p>Four.</p><svg><text>x</text></svg><p>Five.</p></body>"):
+            plain = page_tree.parse(page.replace(tag, ""))
+            assert page_tree.parse(page).text == plain.text and any(plain.text)
+    assert page_tree.parse("<p>a<svg><path/><text>x</text></svg>b</p>").text[-1] == "ab"
+    assert page_tree.parse("<p>a<script/>x</script>b</p>").text[-1] == "ab"
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding='t'>x=2</annotation></semantics></math>"
+    assert page_tree.parse(f"<p>So {formula} holds.</p>").text[-1] == "So x=2 holds."
+
+
 def test_broken_pages(spark, empty):
     pages = [None, "", "text", "<p>a<p>b", "<div><script>x</script>", "<" * 500, "<article><p>One &amp; two<b> three</b>four.<br>Five six<table><tr><td>c", '<article><p title="a>b">Seven eight nine.</article>']
     df = spark.createDataFrame([(i, None, p, "x") for i, p in enumerate(pages)] * 2, "page_id long, url string, html string, text string")
