@@ -237,7 +237,7 @@ def features(tree: Tree) -> np.ndarray:
             share,
             text[-1] in ".!?:;\"'”»…",
             n < 4,
-            bool(_RIGHTS.search(text[:400])),
+            bool(_RIGHTS.search(text)),
             n < 40 and bool(_COOKIE.search(text)),
         )
         row[-2] = tree.name[i] == "p"

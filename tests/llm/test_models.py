@@ -266,6 +266,11 @@ def test_text_after_a_self_closed_svg_or_math():
     assert page_tree.parse(f"<p>So {formula} holds.</p>").text[-1] == "So x=2 holds."
 
 
+def test_a_rights_notice_late_in_a_run_of_text_is_a_feature():
+    late, none = (page_tree.parse(f"<p>{'word ' * 200}{end}.</p>") for end in ("All rights reserved", "All is well"))
+    assert page_tree.features(late)[-1][6] == 1 and page_tree.features(none)[-1][6] == 0
+
+
 def test_broken_pages(spark, empty):
     pages = [None, "", "text", "<p>a<p>b", "<div><script>x</script>", "<" * 500, "<article><p>One &amp; two<b> three</b>four.<br>Five six<table><tr><td>c", '<article><p title="a>b">Seven eight nine.</article>']
     df = spark.createDataFrame([(i, None, p, "x") for i, p in enumerate(pages)] * 2, "page_id long, url string, html string, text string")
