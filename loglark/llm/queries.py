@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loglark.llm import exact_dedup, language, main_text, minhash, mixing, packing, pii, quality_trees, rule_ensemble, sharding
+from loglark.llm import exact_dedup, language, main_text, minhash, mixing, packing, pii, quality_trees, rule_ensemble, secret_scan, sharding
 from loglark.llm.common import LOWER, UPPER, WORD, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,11 @@ def op10_mixing(spark, sf):
     return mixing.mix(documents(spark, sf)).select(*columns)
 
 
+@query
+def op13_secrets(spark, sf):
+    return secret_scan.secrets(documents(spark, sf))
+
+
 ORACLES = {
     "op1_extendible_shards": sharding.SQL,
     "op5_minhash": f"""
@@ -103,4 +108,5 @@ ORACLES = {
                doc_id = max(doc_id) over w as kept, text_sha256
         from d window w as (partition by text_sha256)""",
     "op10_mixing": mixing.SQL,
+    "op13_secrets": secret_scan.SQL,
 }
