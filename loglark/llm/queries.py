@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loglark.llm import exact_dedup, language, main_text, minhash, mixing, packing, pii, quality_trees, rule_ensemble, secret_scan, sharding
+from loglark.llm import exact_dedup, hard_negatives, language, lexical_search, main_text, minhash, mixing, packing, pii, quality_trees, rule_ensemble, secret_scan, sharding
 from loglark.llm.common import LOWER, UPPER, WORD, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,16 @@ def op10_mixing(spark, sf):
     return mixing.mix(documents(spark, sf)).select(*columns)
 
 
+@query
+def op11_lexical_search(spark, sf):
+    return lexical_search.search(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+@query
+def op12_hard_negatives(spark, sf):
+    return hard_negatives.mine(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
 @query
 def op13_secrets(spark, sf):
     return secret_scan.secrets(documents(spark, sf))
@@ -108,5 +118,7 @@ ORACLES = {
                doc_id = max(doc_id) over w as kept, text_sha256
         from d window w as (partition by text_sha256)""",
     "op10_mixing": mixing.SQL,
+    "op11_lexical_search": lexical_search.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
     "op13_secrets": secret_scan.SQL,
 }
