@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import base64
+import heapq
 import re
-import struct
 import zlib
-from collections import deque
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
-from tempfile import SpooledTemporaryFile
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +21,13 @@ WINDOW = 2048
 END = 1
 #: Shortest piece a source sends in its turn, unless its document or the window ends.
 LEAST_PIECE = 512
-#: Tokens of a part that a task holds in memory at most; a larger part waits in an unnamed temporary file.
-HELD_TOKENS = 4_000_000
+#: Tokens of a part, on average; where that gives fewer parts than the session's shuffle
+#: partitions, smaller ones of at least LEAST_PART.
+PART_TOKENS, LEAST_PART = 1 << 26, 1 << 20
+#: A source's share in a part is its target share and what it is owed, but not less than this times the target.
+LEAST_SHARE = 0.25
+#: Parts are counted up in groups of so many.
+GROUP_BITS = 10
 SPECIAL = {"<|endoftext|>": 50256}
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Longest run of white space left to the pattern, whose look-ahead overflows its stack at about a million.
@@ -79,169 +82,153 @@ def encode(text: str | None, vocabulary: str | None = None) -> np.ndarray:
     return np.array(ids, dtype="<u4")
 
 
-#: What stands before the ids of a waiting document: its id, whether that is null, and its tokens.
-_HEAD = struct.Struct("<q?q")
-_ID_BYTES = 4
+TOKENS = "doc_id long, source string, tokens long, ids binary"
 
 
-class _Queues:
-    """Documents of one part by source, and the deficit of each source in tokens.
+def _encoded(vocabulary: str | None):
+    """Rows of (doc_id, source, text) as tokens, ids of two bytes where they fit."""
 
-    All documents wait in one file, in memory up to ``held`` tokens and else on the task's
-    disk, so that every source's queue is whole when the first window is filled. Documents
-    come source by source, a queue is a range of the file.
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                all_ids = [encode(t, vocabulary) for t in part.column("text").to_pylist()]
+                packed = [x.astype("<u2" if x.max() < 1 << 16 else "<u4").tobytes() for x in all_ids]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("source"), pa.array([len(x) for x in all_ids], pa.int64()), pa.array(packed, pa.binary())],
+                    names=["doc_id", "source", "tokens", "ids"],
+                )
+
+    return rows
+
+
+class _Part:
+    """Fills the windows of one part by deficit round-robin, from documents in the order they are due.
+
+    A source's clock is what it has sent divided by its share: the source whose clock is furthest
+    behind is owed most. It sends what it is owed until the window's end, at least ``least``
+    tokens, and the rest of its deficit, also a negative one, stands in its clock for the next
+    windows. Rows come in the order of these clocks, so only documents that are partly sent wait.
     """
 
-    def __init__(self, window: int, least: int, held: int) -> None:
+    def __init__(self, tokens: int, window: int, least: int) -> None:
         self.window, self.least = window, least
-        self.file = SpooledTemporaryFile(max_size=_ID_BYTES * max(held, 1))
-        self.size = 0
-        #: Where each source's next document begins and its last one ends.
-        self.queues: dict[str, list[int]] = {}
-        #: The document each source is sending: id, where its ids begin, its tokens, those sent.
-        self.heads: dict[str, list] = {}
-        self.share: dict[str, float] = {}
-        self.deficit: dict[str, float] = {}
-        self.ring: deque[str] = deque()
-        self.held = self.seq = self.fill = 0
-
-    def source(self, name: str, share: float, carried: float) -> None:
-        self.queues[name], self.share[name], self.deficit[name] = [0, 0], share, carried
-        self.ring.append(name)
-
-    def add(self, name: str, doc_id: int | None, ids: np.ndarray) -> None:
-        if name not in self.queues:
-            self.source(name, 0.0, 0.0)
-        queue = self.queues[name]
-        if queue[0] == queue[1]:
-            queue[0] = self.size
-        self.file.write(_HEAD.pack(doc_id or 0, doc_id is None, len(ids)))
-        self.file.write(ids.tobytes())
-        self.size += _HEAD.size + _ID_BYTES * len(ids)
-        queue[1] = self.size
-        self.held += len(ids)
-
-    def _read(self, at: int, n: int) -> bytes:
-        self.file.seek(at)
-        return self.file.read(n)
-
-    def _head(self, name: str) -> list:
-        if name not in self.heads:
-            at = self.queues[name][0]
-            doc_id, null, total = _HEAD.unpack(self._read(at, _HEAD.size))
-            self.heads[name] = [None if null else doc_id, at + _HEAD.size, total, 0]
-        return self.heads[name]
-
-    def _turn(self) -> str:
-        """The next source in the ring that is owed tokens, else the one owed most."""
-        for _ in range(len(self.ring)):
-            name = self.ring[0]
-            self.ring.rotate(-1)
-            if self.deficit[name] > 0 and self.queues[name][0] < self.queues[name][1]:
-                return name
-        return max((n for n, q in self.queues.items() if q[0] < q[1]), key=self.deficit.__getitem__)
-
-    def fill_windows(self, keep: int) -> Iterator[tuple]:
-        """Pieces of whole windows, until at most ``keep`` tokens are held."""
-        while self.held > keep:
-            if not self.fill:
-                for name, share in self.share.items():
-                    self.deficit[name] += share * self.window
-            name = self._turn()
-            head = self._head(name)
-            doc_id, at, total, start = head
-            most = max(self.least, int(self.deficit[name]))
-            n = min(total - start, self.window - self.fill, most)
-            crc = zlib.crc32(self._read(at + _ID_BYTES * start, _ID_BYTES * n))
-            yield doc_id, start, n, crc, total, name, self.seq, self.fill
-            self.deficit[name] -= n
-            self.held -= n
-            self.fill += n
-            head[3] = start + n
-            if head[3] == total:
-                self.queues[name][0] = at + _ID_BYTES * total
-                del self.heads[name]
-            if self.fill == self.window:
-                self.seq, self.fill = self.seq + 1, 0
+        self.left, self.size = tokens, window
+        self.sent: dict[str, int] = {}
+        #: (clock, turn, source, share, doc_id, ids, sent of them) of each source's document at hand.
+        self.due: list[tuple] = []
+        self.turn = self.seq = self.fill = 0
+        self.end = 0.0
+
+    def add(self, clock: float, source: str, share: float, doc_id: int | None, ids: np.ndarray) -> Iterator[tuple]:
+        """Pieces that come before this document, which then waits."""
+        while self.due and self.due[0][0] < clock:
+            yield self._send()
+        self._push(clock, source, share, doc_id, ids, 0)
 
     def last(self) -> Iterator[tuple]:
-        """All that is left. Tokens short of a window make sequences of powers of two, which need no padding."""
-        yield from self.fill_windows(keep=self.held % self.window if not self.fill else (self.held + self.fill) % self.window)
-        while self.held:
-            self.window = 1 << (self.held.bit_length() - 1)
-            yield from self.fill_windows(keep=self.held - self.window)
-        self.file.close()
-
-
-def _pack_parts(batches: Iterator[pa.RecordBatch], vocabulary, window, least, held) -> Iterator[pa.RecordBatch]:
-    """Rows come by part: first its sources, then its documents."""
-    part = queues = None
-
-    def out(pieces) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for p in pieces:
-            rows.append(p)
-            if len(rows) == 10_000:
-                yield batch(rows)
-                rows = []
-        if rows:
-            yield batch(rows)
-
-    def batch(rows) -> pa.RecordBatch:
-        doc_id, start, n, crc, total, name, seq, offset = zip(*rows, strict=True)
+        while self.due:
+            yield self._send()
+
+    def _push(self, clock: float, *document) -> None:
+        heapq.heappush(self.due, (clock, self.turn, *document))
+        self.turn += 1
+
+    def _send(self) -> tuple:
+        clock, _, source, share, doc_id, ids, start = heapq.heappop(self.due)
+        if not self.fill:
+            # Tokens short of a window make sequences of powers of two, which need no padding.
+            self.size = self.window if self.left >= self.window else 1 << (self.left.bit_length() - 1)
+            self.end = clock + self.size
+        sent = self.sent.get(source, 0)
+        owed = int(share * self.end) - sent if share else 0
+        n = min(len(ids) - start, self.size - self.fill, max(self.least, owed))
+        crc = zlib.crc32(ids[start : start + n].astype("<u4").tobytes())
+        piece = doc_id, start, n, crc, len(ids), source, self.seq, self.fill
+        self.sent[source] = sent + n
+        if start + n < len(ids):
+            self._push((sent + n) / share if share else clock, source, share, doc_id, ids, start + n)
+        self.fill += n
+        self.left -= n
+        if self.fill == self.size:
+            self.seq, self.fill = self.seq + 1, 0
+        return piece
+
+
+def _pack_parts(batches: Iterator[pa.RecordBatch], window, least) -> Iterator[pa.RecordBatch]:
+    """Rows come by part, in it in the order they are due."""
+    number = part = None
+    rows: list[tuple] = []
+
+    def out() -> pa.RecordBatch:
+        doc_id, start, n, crc, total, name, parts, seq, offset = zip(*rows, strict=True)
         long, arrays = pa.int64(), (doc_id, start, n, crc, total)
-        return pa.RecordBatch.from_arrays(
-            [*[pa.array(a, long) for a in arrays], pa.array(name, pa.string()), pa.array([part] * len(rows), pa.int32()), pa.array(seq, long), pa.array(offset, long)],
+        batch = pa.RecordBatch.from_arrays(
+            [*[pa.array(a, long) for a in arrays], pa.array(name, pa.string()), pa.array(parts, pa.int32()), pa.array(seq, long), pa.array(offset, long)],
             names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "source", "part", "seq", "offset"],
         )
+        rows.clear()
+        return batch
 
-    for rows in batches:
-        columns = [rows.column(c) for c in ("part", "source", "share", "carried", "doc_id", "text")]
-        for i in range(rows.num_rows):
-            at, name, share, carried, doc_id, text = (c[i].as_py() for c in columns)
-            if at != part:
-                if queues:
-                    yield from out(queues.last())
-                part, queues = at, _Queues(window, least, held)
-            if share is not None:
-                queues.source(name, share, carried)
-                continue
-            queues.add(name, doc_id, encode(text, vocabulary))
-    if queues:
-        yield from out(queues.last())
-
-
-def _carried(docs: DataFrame, weights: Mapping[str, float] | None, tokens_per_byte: float) -> DataFrame:
-    """Share of each source, and the tokens it is owed when a part begins.
-
-    Owed is the share of all that the parts before hold, less what they hold of the source.
-    The sizes are taken in bytes, by (part, source), and turned into tokens.
+    def put(pieces: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        for *front, seq, offset in pieces:
+            rows.append((*front, number, seq, offset))
+            if len(rows) == 10_000:
+                yield out()
+
+    for batch in batches:
+        columns = [batch.column(c) for c in ("part", "part_tokens", "clock", "source", "share", "doc_id", "tokens", "ids")]
+        for i in range(batch.num_rows):
+            at, held, clock, source, share, doc_id, tokens, ids = (c[i].as_py() for c in columns)
+            if at != number:
+                if part:
+                    yield from put(part.last())
+                number, part = at, _Part(held, window, least)
+            ids = np.frombuffer(ids, dtype="<u2" if len(ids) == 2 * tokens else "<u4")
+            # Sources without a share come last, one after the other.
+            yield from put(part.add(float("inf") if clock is None else clock, source, share, doc_id, ids))
+    if part:
+        yield from put(part.last())
+    if rows:
+        yield out()
+
+
+def _before(parts: DataFrame, value: str, name: str) -> DataFrame:
+    """``parts``, one row each, with the sum of ``value`` over the parts before, by groups of parts."""
+    group = parts.withColumn("_group", F.shiftright("part", GROUP_BITS))
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    groups = group.groupBy("_group").agg(F.sum(value).alias("_all"))
+    groups = groups.select("_group", F.coalesce(F.sum("_all").over(earlier.orderBy("_group")), F.lit(0)).alias("_start"))
+    inside = F.coalesce(F.sum(value).over(earlier.partitionBy("_group").orderBy("part")), F.lit(0))
+    return group.withColumn("_in", inside).join(groups, "_group").withColumn(name, F.col("_start") + F.col("_in")).drop("_group", "_in", "_start")
+
+
+def _shares(tokens: DataFrame, weights: Mapping[str, float] | None) -> DataFrame:
+    """By part and source the share of the part's windows, from exact counts of tokens.
+
+    A source is owed what the parts before hold less of it than its part of the corpus. That is
+    repaid evenly over the part, as a larger or smaller share.
     """
-    sizes = docs.groupBy("part", "source").agg((F.sum("bytes") + F.count("*")).alias("bytes"))
-    sizes = stage(sizes, "pack-sizes")
-    sources = sizes.groupBy("source").agg(F.sum("bytes").alias("all_bytes"))
-    if weights is None:
-        share = F.col("all_bytes") / F.sum("all_bytes").over(Window.partitionBy(F.lit(0)))
-    else:
-        weight = F.lit(0.0)
+    sizes = stage(tokens.groupBy("part", "source").agg(F.sum("tokens").alias("held")), "pack-sizes")
+    sources = sizes.groupBy("source").agg(F.sum("held").alias("all_held"))
+    given = F.col("all_held").cast("double")
+    if weights is not None:
+        given = F.lit(0.0)
         for name, value in weights.items():
-            weight = F.when(F.col("source") == name, float(value)).otherwise(weight)
-        share = weight / F.sum(weight).over(Window.partitionBy(F.lit(0)))
-    sources = sources.select("source", share.alias("share"))
-    parts = sizes.groupBy("part").agg(F.sum("bytes").alias("part_bytes"))
-    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("before", F.coalesce(F.sum("part_bytes").over(totals), F.lit(0)))
+            given = F.when(F.col("source") == name, float(value)).otherwise(given)
+    sources = sources.withColumn("given", given)
+    total, weight = sources.agg(F.sum("all_held"), F.sum("given")).first()
+    sources = sources.select(
+        "source", (F.col("all_held") / (total or 1)).alias("part_of_all"), (F.col("given") / (weight or 1)).alias("target")
+    )
+    parts = _before(sizes.groupBy("part").agg(F.sum("held").alias("part_tokens")), "part_tokens", "before")
+    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    owed = F.col("part_of_all") * F.col("before") - F.coalesce(F.sum("held").over(earlier), F.lit(0))
+    share = F.greatest(F.col("target") + owed / F.col("part_tokens"), F.col("target") * LEAST_SHARE)
     return (
         sizes.join(sources, "source")
         .join(parts, "part")
-        .withColumn("sent", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
-        .select(
-            "part",
-            "source",
-            "share",
-            ((F.col("share") * F.col("before") - F.col("sent")) * F.lit(tokens_per_byte)).alias("carried"),
-        )
+        .select("part", "source", "part_tokens", F.when(F.col("target") > 0, share).otherwise(0.0).alias("share"))
     )
 
 
@@ -251,8 +238,6 @@ def pack(
     parts: int | None = None,
     window: int = WINDOW,
     least_piece: int = LEAST_PIECE,
-    held_tokens: int = HELD_TOKENS,
-    tokens_per_byte: float = 0.4,
     vocabulary: str | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -260,46 +245,60 @@ def pack(
 ) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source.
 
-    Documents are dealt out over ``parts`` by their hash (default: the session's shuffle
-    partitions). In a part each source has a queue and a deficit. At each new window every
-    source is owed its share of the window's tokens; sources owed tokens send in turn, at
-    least ``least_piece``, and the deficit, also a negative one, is carried to the next
-    windows and, from the sizes of the parts before, to the next parts. ``weights`` are
-    target proportions by source (default: those of the corpus, so that queues empty
-    together); a source that has run dry leaves its turns to the others, so all is packed.
+    Texts are encoded once; tokens and their counts are written to the shared folder, and all
+    shares come from exact counts of tokens. Documents are dealt out by hash over ``parts``
+    (default: by their tokens). In a part each source has a queue and a deficit. At each new
+    window every source is owed its share of the window's tokens; the source owed most sends,
+    at least ``least_piece``, and the deficit, also a negative one, is carried to the next windows. What
+    the parts before held too little of is owed in the next part, evenly over its windows.
+    ``weights`` are target proportions by source (default: those of the corpus); a source that
+    has run dry leaves its turns to the others, so all is packed; sources without a weight come
+    after all others.
 
     Every window but a part's last is full; what is left there is cut into sequences of
-    powers of two. A task holds ``held_tokens`` of its part and one document at most; ids of
-    a larger part wait in its temporary folder, which changes no window. Null texts are
-    empty (the ending id only), a null source is ``''``; each row is a document of its own,
-    also with a repeated or null id. An empty table gives no piece; other columns are not read.
+    powers of two. A task holds the documents that are partly sent, at most one of a source; Spark
+    sorts a part, on disk where it must. Null texts are empty (the ending id only), a null
+    source is ``''``; each row is a document of its own, also with a repeated or null id. An
+    empty table gives no piece; other columns are not read.
     """
     spark = docs.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = with_package(docs).select(
-        F.pmod(F.xxhash64(id_col), F.lit(parts)).cast("int").alias("part"),
-        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
+    slim = with_package(docs).select(
         F.col(id_col).cast("long").alias("doc_id"),
+        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
         F.col(text_col).alias("text"),
-        F.coalesce(F.octet_length(text_col), F.lit(0)).alias("bytes"),
     )
-    owed = stage(_carried(docs, weights, tokens_per_byte), "pack-owed")
-    none = {"doc_id": F.lit(None).cast("long"), "text": F.lit(None).cast("string")}
+    encoded = Stage(slim.mapInArrow(_encoded(vocabulary), TOKENS).withColumn("row", F.monotonically_increasing_id()), "pack-tokens")
+    if parts is None:
+        total = encoded.df.agg(F.sum("tokens")).first()[0] or 0
+        usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        parts = max(-(-total // PART_TOKENS), min(usual, -(-total // LEAST_PART)), 1)
+    tokens = encoded.df.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int"))
+    shares = stage(_shares(tokens, weights), "pack-shares")
+    none = {"share": F.lit(None).cast("double"), "part_tokens": F.lit(None).cast("long")}
+    heads = {"doc_id": F.lit(None).cast("long"), "row": F.lit(-1).cast("long"), "tokens": F.lit(0).cast("long"), "ids": F.lit(None).cast("binary")}
+    # A source's share comes before its documents and is handed on to them.
+    queue = Window.partitionBy("part", "source").orderBy(F.col("share").isNull(), "doc_id", "row")
+    so_far = queue.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = (
-        docs.withColumns({"share": F.lit(None).cast("double"), "carried": F.lit(0.0)})
-        .drop("bytes")
-        .unionByName(owed.withColumns(none))
+        tokens.withColumns(none)
+        .unionByName(shares.withColumns(heads))
         .repartition(parts, "part")
-        .sortWithinPartitions("part", F.col("share").isNull(), "source", "doc_id")
+        .withColumns(
+            {
+                "before": F.coalesce(F.sum("tokens").over(queue.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+                "share": F.first("share").over(so_far),
+                "part_tokens": F.first("part_tokens").over(so_far),
+            }
+        )
+        .where(F.col("ids").isNotNull())
+        .withColumn("clock", F.when(F.col("share") > 0, F.col("before") / F.col("share")))
+        .sortWithinPartitions("part", F.col("clock").asc_nulls_last(), "source", "doc_id", "row")
+        .select("part", "part_tokens", "clock", "source", "share", "doc_id", "tokens", "ids")
     )
-    pieces = Stage(
-        rows.mapInArrow(lambda b: _pack_parts(b, vocabulary, window, least_piece, held_tokens), PIECES), "pack-pieces"
-    ).df
+    pieces = stage(rows.mapInArrow(lambda b: _pack_parts(b, window, least_piece), PIECES), "pack-pieces")
+    encoded.drop()
     counts = pieces.groupBy("part").agg((F.max("seq") + 1).alias("n"))
-    order = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = stage(
-        counts.select("part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base")), "pack-bases"
-    )
+    bases = stage(_before(counts, "n", "base").select("part", "base"), "pack-bases")
     return pieces.join(bases, "part").select(
         "doc_id",
         "start",
