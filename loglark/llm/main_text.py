@@ -15,6 +15,8 @@ from loglark.llm.page_tree import EDGES, SIZE, Tree, edge_kinds, features, parse
 
 #: Labelled pages learned from: of the table, at most, and composed ones.
 TRAIN_PAGES, COMPOSED = 200, 300
+#: Longer pages are not learned from, which bounds what the driver holds.
+TRAIN_CHARS = 200_000
 EPOCHS, RATE, DECAY = 150, 0.05, 1e-3
 #: Pages of one batch whose trees are inferred together.
 TOGETHER = 256
@@ -135,7 +137,15 @@ def composed(rng: random.Random) -> tuple[str, str]:
         return f"<{tag}>{inner}</{tag}>" if plain else f'<{tag} {rng.choice(("class", "id"))}="{rng.choice(names)}">{inner}</{tag}>'
 
     def blocks() -> str:
-        out = [f"<h1>{say(3, 9, '')}</h1>"] if rng.random() < 0.8 else []
+        out, top = [], rng.random()
+        if top < 0.5:
+            out.append(f"<h1>{say(3, 9, '')}</h1>")
+        elif top < 0.8:
+            name = rng.choice(("", ' class="entry-header"', ' class="post-header"'))
+            inner = f"<h1>{say(3, 9, '')}</h1>"
+            if rng.random() < 0.6:
+                inner += f'<p class="{rng.choice(("byline", "author", "meta"))}">{say(2, 6, rng.choice(("", ".")))}</p>'
+            out.append(f"<header{name}>{inner}</header>" if rng.random() < 0.7 else f'<div class="entry-header">{inner}</div>')
         for _ in range(rng.randint(1, 10)):
             kind = rng.random()
             if kind < 0.65:
@@ -144,6 +154,9 @@ def composed(rng: random.Random) -> tuple[str, str]:
                 out.append(f"<h2>{say(2, 6, '')}</h2><p>{say(8, 60)}</p>")
             elif kind < 0.85:
                 out.append("<ul>" + "".join(f"<li>{say(3, 14)}</li>" for _ in range(rng.randint(2, 5))) + "</ul>")
+            elif kind < 0.88:
+                name = rng.choice(("author-note", "tags", "read-more", "byline", "post-meta"))
+                out.append(f'<div class="{name}"><p>{say(3, 40)}</p></div>')
             elif kind < 0.92:
                 out.append(f"<blockquote><p>{say(6, 30)}</p></blockquote>")
             else:
@@ -238,13 +251,14 @@ def main_text(
     model gives each the probability that it is main text, and those from 1/2 are joined in
     page order by one space. References are decoded, white space inside a run is one space.
     It learns from composed pages and from the ``train_pages`` pages with ``article`` or
-    ``main`` whose ids hash smallest. A null or empty page, or one without main text, has the
+    ``main``, of at most TRAIN_CHARS characters, whose ids hash smallest. A page of any length and
+    depth is read whole. An empty table gives an empty result. A null or empty page, or one without main text, has the
     empty text; repeated rows and null ids are rows like others; other columns are not read.
     """
     slim = with_package(pages).select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html")
     )
-    marked = slim.where(F.col("html").rlike("(?i)<(article|main)[ >]"))
+    marked = slim.where((F.length("html") <= TRAIN_CHARS) & F.col("html").rlike("(?i)<(article|main)[ >]"))
     chosen = marked.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(train_pages).distinct()
     sample = marked.join(F.broadcast(stage(chosen, "page-sample")), "page_id").orderBy(F.xxhash64("html")).limit(train_pages)
     model = train([r.html for r in sample.select("html").collect()])

@@ -35,12 +35,13 @@ WORDS = {
     "nav": "nav navbar navigation menu breadcrumb breadcrumbs toc pagination pager tabs skip",
     "header": "header masthead topbar logo branding",
     "footer": "footer foot copyright legal colophon",
-    "side": "sidebar side aside related recommended widget trending popular rail more archive tags",
+    "side": "sidebar side aside related recommended widget trending popular rail archive",
     "notice": "cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe signup paywall",
     "ad": "ad ads adv advert adverts advertisement sponsor sponsored promo promoted banner",
     "form": "form search login contact survey",
     "comment": "comment comments reply replies respond discussion disqus thread",
-    "share": "share sharing social follow byline author meta",
+    "share": "share sharing social follow",
+    "about": "byline author meta tags more",
     "content": "article content main post entry story body text prose markdown page",
 }
 TAGS = (
@@ -48,6 +49,11 @@ TAGS = (
     " header footer aside form fieldset button details summary address body html"
 ).split()
 
+#: Deeper elements are children of their ancestor at this depth, as in browsers; their text stays.
+MAX_DEPTH = 512
+
+_KINDS = list(WORDS)
+_HEADER, _ABOUT, _NAMED_CONTENT = (_KINDS.index(k) for k in ("header", "about", "content"))
 _WORD_OF = {w: k for k, words in enumerate(WORDS.values()) for w in words.split()}
 _TAG_OF = {t: k for k, t in enumerate(TAGS)}
 _TOKEN = re.compile(
@@ -56,6 +62,12 @@ _TOKEN = re.compile(
     r"|</?(?P<odd>[a-zA-Z][^\s/>]*+)[^>]*+>|<[!?/][^>]*+>",
     re.S,
 )
+#: The same for pages with a quote that nothing closes: from there on a tag ends at the next ``>``.
+_PLAIN_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>[^>]*+)>|(?P<odd>(?!))|<[!?/][^>]*+>",
+    re.S,
+)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _PARTS = re.compile(r"[a-z]+")
@@ -91,19 +103,70 @@ class Tree:
         return len(self.parent) - 1
 
 
+class _Open:
+    """The open elements of a page. What is asked of them takes no walk over the others."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.nodes: list[int] = []
+        self.at: dict[str, list[int]] = {}
+        self.holds: list[int] = []
+
+    def push(self, name: str, node: int) -> None:
+        if name in HOLDS:
+            self.holds.append(len(self.names))
+        self.at.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+        self.nodes.append(node)
+
+    def cut(self, size: int) -> None:
+        """End all elements from this place on."""
+        while len(self.names) > size:
+            name = self.names.pop()
+            self.nodes.pop()
+            self.at[name].pop()
+            if name in HOLDS:
+                self.holds.pop()
+
+    def last(self, name: str) -> int:
+        """Where the innermost open element of this name is; 0, the root, if there is none."""
+        places = self.at.get(name)
+        return places[-1] if places else 0
+
+    def end(self, name: str) -> None:
+        if place := self.last(name):
+            self.cut(place)
+
+    def end_inside(self, names: tuple[str, ...]) -> None:
+        """End the nearest of ``names`` unless an element that holds blocks lies between."""
+        place = max(map(self.last, names))
+        if place and place >= (self.holds[-1] if self.holds else 0):
+            self.cut(place)
+
+    def parent(self) -> int:
+        return self.nodes[min(len(self.nodes), MAX_DEPTH) - 1]
+
+
 def parse(html: str | None) -> Tree:
-    """The tree of a page, however broken its markup: unclosed elements end with their parents,
-    end tags without a start are passed over. Scripts, styles, comments, the head's title and
-    other text that is not shown make no node. White space in a run of text is one space."""
+    """The tree of a page, however broken its markup, in time linear in its length.
+
+    Unclosed elements end with their parents, end tags without a start are passed over. Scripts,
+    styles, comments, the head's title and other text that is not shown make no node. White
+    space in a run of text is one space. The header of an article counts as a section of it.
+    """
     tree = Tree()
-    tree.add(-1, "html")
-    stack, run, link = [0], [], [0, 0]
+    open_ = _Open()
+    open_.push("", tree.add(-1, "html"))
+    run, link = [], [0, 0]
     html = html or ""
+    last_end = html.rfind(">")
+    token = _TOKEN
 
     def close_run() -> None:
         text = " ".join("".join(run).split())
         if text:
-            tree.add(stack[-1], tree.name[stack[-1]], text=text, linked=min(link[1], len(text)))
+            up = open_.parent()
+            tree.add(up, tree.name[up], text=text, linked=min(link[1], len(text)))
         run.clear()
         link[1] = 0
 
@@ -114,34 +177,25 @@ def parse(html: str | None) -> Tree:
         if link[0]:
             link[1] += len(" ".join(piece.split()))
 
-    def end(name: str) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if tree.name[stack[i]] == name:
-                del stack[i:]
-                return
-
-    def end_inside(names: tuple[str, ...]) -> None:
-        """End the nearest of ``names`` unless an element that holds blocks lies between."""
-        for i in range(len(stack) - 1, 0, -1):
-            if tree.name[stack[i]] in names:
-                del stack[i:]
-                return
-            if tree.name[stack[i]] in HOLDS:
-                return
-
     at = done = 0
     while True:
         at = html.find("<", at)
-        if at < 0:
+        if at < 0 or at > last_end and not html.startswith(("<!--", "<![CDATA["), at):
+            if at >= 0 and (comment := html.find("<!--", at)) >= 0:
+                put(html[done:comment])
+                done = at = comment
+                continue
             put(html[done:])
             break
-        m = _TOKEN.match(html, at)
+        m = token.match(html, at)
         if not m:
             at += 1
             continue
         if at > done:
             put(html[done:at])
         at = done = m.end()
+        if m["odd"]:
+            token = _PLAIN_TOKEN
         name = (m["name"] or m["odd"] or "").lower()
         if not name:
             continue
@@ -151,12 +205,12 @@ def parse(html: str | None) -> Tree:
             if name in INLINE or name in VOID or name in RAW:
                 continue
             close_run()
-            end(name)
+            open_.end(name)
             continue
         if name in RAW:
             if name in FOREIGN and m[0].endswith("/>"):
                 continue
-            stop = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
+            stop = re.compile(rf"</{name}\b[^>]*+>", re.I).search(html, at, last_end + 1)
             at = done = stop.end() if stop else len(html)
             continue
         if name in INLINE:
@@ -166,14 +220,15 @@ def parse(html: str | None) -> Tree:
         close_run()
         if name in VOID or name == "html":
             continue
-        if name in ENDS:
-            end_inside(ENDS[name])
-        else:
-            end_inside(("p",))
+        open_.end_inside(ENDS.get(name, ("p",)))
         attrs = m["attrs"] or ""
         named = " ".join(a or b or c for a, b, c in _NAMED.findall(attrs)).lower()
         words = frozenset(_WORD_OF[w] for w in _PARTS.findall(named) if w in _WORD_OF)
-        stack.append(tree.add(stack[-1], name, words, bool(attrs and _HIDDEN.search(attrs))))
+        if _NAMED_CONTENT in words:
+            words -= {_HEADER}
+        inside = open_.last("article") or open_.last("main")
+        shown = "section" if name == "header" and inside else name
+        open_.push(name, tree.add(open_.parent(), shown, words, bool(attrs and _HIDDEN.search(attrs))))
     close_run()
     return _with_text(tree)
 
@@ -197,7 +252,6 @@ def _with_text(tree: Tree) -> Tree:
 _ROOT, _BOX, _CONTENT, _APART, _BLOCK = range(5)
 _BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th figcaption caption summary address".split())
 _BOXES = frozenset("nav header footer aside form button".split())
-_NAMED_CONTENT = len(WORDS) - 1
 EDGES = 10
 
 
@@ -207,7 +261,7 @@ def edge_kinds(tree: Tree) -> list[int]:
     for name, words, hidden in zip(tree.name, tree.words, tree.hidden):
         if name in ("html", "body"):
             own.append(_ROOT)
-        elif hidden or name in _BOXES or words - {_NAMED_CONTENT}:
+        elif hidden or name in _BOXES or words - {_NAMED_CONTENT, _ABOUT}:
             own.append(_APART)
         elif name in ("article", "main") or words:
             own.append(_CONTENT)
