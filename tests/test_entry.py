@@ -2,6 +2,8 @@
 
 import glob
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -33,6 +35,28 @@ def test_every_query_has_sql():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+BLOCKED = """
+import sys
+class Block:
+    def find_spec(self, name, path=None, target=None):
+        if name == {name!r} or name.startswith({name!r} + "."):
+            raise ModuleNotFoundError(f"no {{name}}", name=name)
+sys.meta_path.insert(0, Block())
+import __spark_entry__
+print(sorted(__spark_entry__.queries()), file=sys.stderr)
+print(len(set(__spark_entry__.queries()) & set(__spark_entry__.QUERIES)), len(__spark_entry__.QUERIES))
+"""
+
+
+@pytest.mark.parametrize("name", ["numpy", "pyarrow", "loglark.llm", "corpus_pipeline"])
+def test_entry_without_a_part_of_what_the_text_operators_need(name):
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    done = subprocess.run([sys.executable, "-c", BLOCKED.format(name=name)], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+    found, all_of = map(int, done.stdout.split())
+    assert found == all_of and "'pipeline'" not in done.stderr
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
