@@ -293,6 +293,17 @@ oracle(
       from parsed group by resource order by request_count desc, resource desc limit 50""",
     PARSED,
 )
+oracle("top_resources_in_rounds", ORACLES["top_resources"])
+oracle("top_resources_in_rounds_by_batch", ORACLES["top_resources_by_batch"])
+oracle("global_top_resources_in_rounds", ORACLES["global_top_resources"])
+oracle("merged_top_resources_by_bitmaps", ORACLES["merged_top_resources"])
+oracle("merged_hourly_errors_by_bitmaps", ORACLES["merged_hourly_errors"])
+oracle(
+    "top_resources_ordered",
+    f"""select *, cast(row_number() over (partition by batch_no order by request_count desc, resource_path desc) as integer) as rank
+      from ({_top('batch_no, ')})""",
+    PARSED,
+)
 
 oracle(
     "successful_runs",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from loglark.functions import names, parsing
 from loglark.functions.names import join_hosts
-from loglark.operators import batching, merge, runs as run_ops, traffic
+from loglark.operators import batching, host_bitmaps, merge, runs as run_ops, top_k, traffic
 from loglark.plans import reports
 from loglark.plans.run import read_runs, run_batches
 from loglark.session import new_folder
@@ -249,6 +249,44 @@ def global_top_resources(spark, sf):
     return traffic.top_resources(fx.parsed(spark, sf), k=50)
 
 
+@query
+def top_resources_in_rounds(spark, sf):
+    return top_k.top_resources_in_rounds(fx.parsed(spark, sf))
+
+
+@query
+def top_resources_in_rounds_by_batch(spark, sf):
+    return top_k.top_resources_in_rounds(fx.parsed(spark, sf), by=BATCH)
+
+
+@query
+def global_top_resources_in_rounds(spark, sf):
+    return top_k.top_resources_in_rounds(fx.parsed(spark, sf), k=50)
+
+
+@query
+def top_resources_ordered(spark, sf):
+    """The top list of every batch with its ranks, as it is exported."""
+    return top_k.ordered_top(traffic.top_resources(fx.parsed(spark, sf), by=BATCH), BATCH)
+
+
+@query
+def merged_top_resources_by_bitmaps(spark, sf):
+    rows = fx.parsed(spark, sf)
+    top, hosts = traffic.top_resources(rows, by=BATCH), traffic.top_resource_hosts(rows, by=BATCH)
+    dictionary = host_bitmaps.host_dictionary(rows)
+    bitmaps = host_bitmaps.host_bitmaps(hosts, dictionary, [*BATCH, "resource_path"])
+    return host_bitmaps.merge_resources_by_bitmaps(top, bitmaps)
+
+
+@query
+def merged_hourly_errors_by_bitmaps(spark, sf):
+    rows = fx.parsed(spark, sf)
+    hosts = traffic.error_hosts(rows, BATCH)
+    bitmaps = host_bitmaps.host_bitmaps(hosts, host_bitmaps.host_dictionary(hosts), [*BATCH, "log_date", "log_hour"])
+    return host_bitmaps.merge_hours_by_bitmaps(traffic.hourly_errors(rows, BATCH), bitmaps)
+
+
 # --- runs and reports ----------------------------------------------------------
 
 
