@@ -480,6 +480,20 @@ oracle(
     f"large as ({_merged(5000)})",
 )
 
+oracle(
+    "result_differences",
+    """select cast(2 as bigint) as run_id, 2 as query_number, key, field, s.value as target_value, l.value as other_value
+      from (unpivot (select split_part(row_text, '|', 1) as key, split_part(row_text, '|', 2)::bigint as request_count,
+          split_part(row_text, '|', 3)::bigint as total_bytes, split_part(row_text, '|', 4)::bigint as distinct_host_count from small)
+        on request_count, total_bytes, distinct_host_count into name field value value) s
+      full join (unpivot (select split_part(row_text, '|', 1) as key, split_part(row_text, '|', 2)::bigint as request_count,
+          split_part(row_text, '|', 3)::bigint as total_bytes, split_part(row_text, '|', 4)::bigint as distinct_host_count from large)
+        on request_count, total_bytes, distinct_host_count into name field value value) l using (key, field)
+      where s.value is distinct from l.value""",
+    PARSED,
+    f"small as ({_merged(2500)})",
+    f"large as ({_merged(5000)})",
+)
 oracle(
     "scorecard_all_clear",
     """select not exists (select row_text from small except select row_text from large)

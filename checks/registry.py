@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from loglark.functions import names, parsing
 from loglark.functions.names import join_hosts
-from loglark.operators import batching, host_bitmaps, merge, runs as run_ops, top_k, traffic
+from loglark.operators import batching, digests, host_bitmaps, merge, runs as run_ops, top_k, traffic
 from loglark.plans import reports
 from loglark.plans.run import read_runs, run_batches
 from loglark.session import new_folder
@@ -403,6 +403,13 @@ def integrity_scorecard(spark, sf):
     )
 
 
+@query
+def result_differences(spark, sf):
+    """Every number in which the compared runs differ from the baseline."""
+    found = fx.compared_runs(spark, sf)
+    return reports.result_differences(found["runs"], *[found[name] for name in digests.PARTS], run_id=1)
+
+
 @query
 def scorecard_all_clear(spark, sf):
     return reports.all_clear(QUERIES["integrity_scorecard"](spark, sf))

@@ -8,13 +8,12 @@ is broadcast; everything else is joined as its size allows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from loglark.functions.names import dataset_base, target_batch_size
-from loglark.operators.merge import merge_daily, merge_hours, merge_resources
+from loglark.operators import digests
 from loglark.operators.runs import ENGINES, finished_runs, latest_runs, successful_runs
 
 # How large a run must be to compare with, the scorecard's verdicts, and the
@@ -325,77 +324,47 @@ def integrity_scorecard(
 ) -> DataFrame:
     """Whether each engine's latest successful run gave the target's merged results.
 
-    Result rows of the compared runs (at most one per engine) are grouped by content
-    with the set of runs that have them. A run matches when it has as many rows as
-    the target and shares all of them. Nothing but those counts leaves the shuffle.
+    Results of the compared runs (at most one per engine) are compared by digests, which need no
+    merging; hosts are counted only where host rows differ. The engines are read first, so
+    this is not lazy. See ``digests.result_differences`` for what differs.
     """
-    rows = _engine_rows(runs, run_id, engines)
-    compared = F.broadcast(rows.where(F.col("run_id").isNotNull()).select("run_id"))
+    rows = _engine_rows(runs, run_id, engines).orderBy("pos", "engine").collect()  # one per engine
+    compared = [r.run_id for r in rows if r.run_id is not None]
+    tables = _compared(daily, top, top_hosts, hours, hour_hosts, compared)
+    unequal = digests.unequal_runs(tables, run_id, compared) if len(compared) > 1 else set()
 
-    def contents(query: int, merged: DataFrame, columns: Sequence[str]) -> DataFrame:
-        return merged.select(
-            "run_id",
-            F.lit(query).alias("query"),
-            F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("content"),
-        )
+    def status(row: Row) -> str:
+        if row.is_baseline:
+            return BASELINE
+        if row.run_id is None:
+            return NO_HISTORY
+        return MISMATCH if row.run_id in unequal else MATCH
 
-    def of(table: DataFrame) -> DataFrame:
-        return table.join(compared, "run_id", "left_semi")
-
-    by = ["run_id"]
-    everything = reduce(
-        DataFrame.unionByName,
-        [
-            contents(
-                1,
-                merge_daily(of(daily), by),
-                ["log_date", "status_code", "request_count", "total_bytes"],
-            ),
-            contents(
-                2,
-                merge_resources(of(top), of(top_hosts), by),
-                ["resource_path", "request_count", "total_bytes", "distinct_host_count"],
-            ),
-            contents(
-                3,
-                merge_hours(of(hours), of(hour_hosts), by),
-                [
-                    "log_date",
-                    "log_hour",
-                    "error_request_count",
-                    "total_request_count",
-                    "distinct_error_hosts",
-                ],
-            ),
-        ],
-    )
-    shared = everything.groupBy("query", "content").agg(
-        F.collect_set("run_id").alias("runs"),
-        F.max(F.col("run_id") == run_id).alias("in_target"),
-    )
-    counts = (
-        shared.select(F.explode("runs").alias("run_id"), "in_target")
-        .groupBy("run_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if("in_target").alias("common"))
-    )
-    of_target = counts.where(F.col("run_id") == run_id).select(
-        F.col("run_id").alias("target_id"), F.col("n").alias("target_n")
-    )
-    zero = F.lit(0).cast("bigint")
-    n, common, target_n = (F.coalesce(c, zero) for c in ("n", "common", "target_n"))
-    status = (
-        F.when(F.col("is_baseline"), BASELINE)
-        .when(F.col("run_id").isNull(), NO_HISTORY)
-        .when((n == target_n) & (common == target_n), MATCH)
-        .otherwise(MISMATCH)
-    )
-    return (
-        rows.select("pos", "engine", "run_id", "is_baseline", F.lit(run_id).alias("target_id"))
-        .join(counts, "run_id", "left")
-        .join(of_target, "target_id", "left")
-        .orderBy("pos", "engine")
-        .select("engine", "run_id", status.alias("status"))
-    )
+    found = [(r.engine, r.run_id, status(r)) for r in rows]
+    return runs.sparkSession.createDataFrame(found, "engine string, run_id bigint, status string").coalesce(1)
+
+
+def _compared(
+    daily: DataFrame, top: DataFrame, top_hosts: DataFrame, hours: DataFrame, hour_hosts: DataFrame, run_ids: Sequence[int]
+) -> dict[str, DataFrame]:
+    """The result tables with the rows of some runs."""
+    tables = dict(zip(digests.PARTS, (daily, top, top_hosts, hours, hour_hosts), strict=True))
+    return {name: rows.where(F.col("run_id").isin(*run_ids)) for name, rows in tables.items()}
+
+
+def result_differences(
+    runs: DataFrame,
+    daily: DataFrame,
+    top: DataFrame,
+    top_hosts: DataFrame,
+    hours: DataFrame,
+    hour_hosts: DataFrame,
+    run_id: int,
+    engines: Sequence[str] = ENGINES,
+) -> DataFrame:
+    """What makes a run of the scorecard a mismatch: every number that differs, with both values."""
+    compared = [r.run_id for r in _engine_rows(runs, run_id, engines).where(F.col("run_id").isNotNull()).collect()]
+    return digests.result_differences(_compared(daily, top, top_hosts, hours, hour_hosts, compared), run_id, compared)
 
 
 def all_clear(scorecard: DataFrame) -> DataFrame:
