@@ -50,7 +50,7 @@ def test_components_equal_all_pairs(spark, rng):
     assert got == brute(rows)
 
 
-def test_a_group_over_several_blocks(spark, rng, monkeypatch):
+def test_a_group_that_its_centres_leave_apart(spark, rng):
     base = sentence(rng, 150).split()
     rows = []
     for i in range(90):
@@ -58,12 +58,61 @@ def test_a_group_over_several_blocks(spark, rng, monkeypatch):
         for _ in range(rng.randint(1, 4)):
             words[rng.randrange(150)] = sentence(rng, 1)
         rows.append((i, " ".join(words)))
-    monkeypatch.setattr(minhash, "BLOCK_ROWS", 16)
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs).collect()}
     assert got == brute(rows)
 
 
+def template(rng, n, own, shared=120):
+    """Texts of one template, each with words of its own in its second half: nothing to link but what is planted."""
+    base = sentence(rng, shared)
+    return [f"{base} {sentence(rng, own)}" for _ in range(n)]
+
+
+def test_texts_of_one_template(spark, rng):
+    """Many members of one bucket that their centre does not show, among them pairs that are linked."""
+    texts = template(rng, 150, 22)
+    for i in range(0, 60, 3):
+        words = texts[i].split()
+        words[-1 - i % 9] = "changed"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs).collect()}
+    want = brute(list(enumerate(texts)))
+    assert got == want and sum(i != c for i, (_, c) in want.items()) >= 15
+
+
+def test_linked_sets_meet_at_their_rarest_shingles(rng):
+    rand = np.random.default_rng(3)
+    counts = rand.integers(0, 50, minhash.COUNTED)
+    for _ in range(3000):
+        both = rand.integers(0, 1 << 63, rng.randint(1, 200)).astype(np.uint64)
+        most = max(1, len(both) // 6)
+        a = np.unique(np.append(both, rand.integers(0, 1 << 63, rng.randint(0, most)).astype(np.uint64)))
+        b = np.unique(np.append(both, rand.integers(0, 1 << 63, rng.randint(0, most)).astype(np.uint64)))
+        if minhash.linked(a, b):
+            small, large = sorted((a, b), key=len)
+            first, near = minhash.rarest(small, counts)
+            assert set(first[:near].tolist()) & set(minhash.rarest(large, counts)[0].tolist())
+
+
+def test_a_template_does_not_bring_its_members_together(spark, rng):
+    """Sets that share two thirds meet in no pair: their rarest shingles are their own."""
+    texts = template(rng, 400, 40)
+    sets = [shingles(t) for t in texts]
+    counts = np.zeros(minhash.COUNTED, dtype=np.int64)
+    for x in sets:
+        counts += np.bincount(minhash._bucket(x), minlength=minhash.COUNTED)
+    near, met = {}, 0
+    for i, x in enumerate(sets):
+        first, k = minhash.rarest(x, counts)
+        for h in first[:k].tolist():
+            near.setdefault(h, []).append(i)
+    for x in sets:
+        met += sum(len(near.get(h, ())) for h in minhash.rarest(x, counts)[0].tolist())
+    assert met < 40 * len(sets)
+
+
 def test_odd_rows(odd, odd_rows, empty):
     got = minhash.near_duplicates(odd).collect()
     assert len(got) == len(odd_rows)
