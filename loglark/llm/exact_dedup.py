@@ -1,15 +1,21 @@
-"""Exact duplicates by a tree of merged digest runs, in DataFrame operations only."""
+"""Exact duplicates by a tree of merged digest runs, in DataFrame operations only.
+
+The rows of some partitions are a run: one record per digest, sorted. Runs meet in binomial
+rounds: in round r those whose numbers differ in bit r alone are merged, and where both have a
+digest, the two records, verified by a second hash, become one with the id that stays. After
+log2(runs) rounds one run is left. Runs are exchanged once, by digest, so that every task
+holds its range of all of them, sorted by digest and run; a round reads that order and keeps it.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loglark.llm.common import Stage, ascii_lower, attach, fresh, stage
 
-#: Runs at the leaves of the merge tree, and runs that one merge takes together.
-RUNS = 1024
-FAN_IN = 32
+#: Runs at the leaves of the merge tree, a power of two.
+RUNS = 256
 KEY = ["_digest", "_check"]
 
 
@@ -19,24 +25,52 @@ def _digests(text: Column) -> dict[str, Column]:
     return {"_digest": F.unhex(F.sha2(text, 256)), "_check": F.xxhash64(text, F.length(text))}
 
 
-def _merge(runs: DataFrame) -> DataFrame:
-    """One merge level: equal digests of a run become one record with the id that stays."""
-    return runs.groupBy("_run", *KEY).agg(F.max("_keep").alias("_keep"), F.sum("_n").alias("_n"))
+def _leaf_runs(members: DataFrame) -> DataFrame:
+    """One record per run and digest; each task combines its rows before it sends them."""
+    return members.groupBy("_run", *KEY).agg(
+        F.max(F.struct("_id", "_row")).alias("_keep"), F.count("*").alias("_n")
+    )
 
 
-def merge_runs(members: DataFrame, runs: int = RUNS, fan_in: int = FAN_IN) -> DataFrame:
-    """The final run: one record per digest, from ``members`` (_run, KEY, _id, _row).
+def _merge_round(runs: DataFrame, bit: int) -> DataFrame:
+    """Merge the runs whose numbers differ in ``bit`` alone; a digest then has one record in each such pair.
 
-    Level by level ``fan_in`` neighbouring runs are merged, log_fan_in(runs) times. A run's
-    records are dealt out by digest, so a merge is shared by all tasks, and each task
-    combines before it sends: a digest that a third of all rows have is one record per run.
+    A digest's records are neighbours, sorted by run, at most one in each of the runs that are
+    left. So partners stand next to each other: the later one takes over what the earlier one
+    holds, which goes.
     """
-    level = _merge(
-        members.select("_run", *KEY, F.struct("_id", "_row").alias("_keep"), F.lit(1).cast("long").alias("_n"))
+    of_digest = Window.partitionBy(*KEY).orderBy("_run")
+    pair = F.shiftright("_run", bit + 1)
+
+    def partner(step: Column) -> Column:
+        return F.coalesce(F.shiftright(step, bit + 1) == pair, F.lit(False))
+
+    met = runs.withColumns(
+        {
+            "_first": partner(F.lead("_run").over(of_digest)),
+            "_second": partner(F.lag("_run").over(of_digest)),
+            "_keep0": F.lag("_keep").over(of_digest),
+            "_n0": F.lag("_n").over(of_digest),
+        }
     )
-    while runs > 1:
-        level = _merge(level.withColumn("_run", F.expr(f"cast(_run div {fan_in} as int)")))
-        runs = -(-runs // fan_in)
+    return met.where(~F.col("_first")).select(
+        "_run",
+        *KEY,
+        F.when(F.col("_second"), F.greatest("_keep", "_keep0")).otherwise(F.col("_keep")).alias("_keep"),
+        F.when(F.col("_second"), F.col("_n") + F.col("_n0")).otherwise(F.col("_n")).alias("_n"),
+    )
+
+
+def merge_runs(members: DataFrame, runs: int = RUNS) -> DataFrame:
+    """The final run: one record per digest, from ``members`` (_run, KEY, _id, _row).
+
+    A digest that a third of all rows have is one record of each run before it is exchanged.
+    """
+    if runs < 1 or runs & (runs - 1):
+        raise ValueError("runs must be a power of two")
+    level = _leaf_runs(members)
+    for bit in range(runs.bit_length() - 1):
+        level = _merge_round(level, bit)
     return level.drop("_run")
 
 
@@ -46,11 +80,11 @@ def _members(docs: DataFrame, id_col: str, text_col: str, runs: int) -> DataFram
         F.monotonically_increasing_id().alias("_row"),
         (F.spark_partition_id() % runs).alias("_run"),
         *[c.alias(n) for n, c in _digests(F.col(text_col)).items()],
-    ).sortWithinPartitions("_digest")
+    )
 
 
 def exact_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int = RUNS, fan_in: int = FAN_IN
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int = RUNS
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -60,7 +94,7 @@ def exact_duplicates(
     columns are not read, whatever their names.
     """
     members = stage(_members(docs, id_col, text_col, runs), "digest-runs")
-    groups = stage(merge_runs(members, runs, fan_in), "digest-groups")
+    groups = stage(merge_runs(members, runs), "digest-groups")
     return attach(members, groups, KEY, "_n").select(
         F.col("_id").alias("doc_id"),
         F.col("_keep._id").alias("keep_id"),

@@ -33,7 +33,7 @@ def norm(text):
 
 
 def test_exact_duplicates_of_odd_rows(odd, odd_rows):
-    got = exact_dedup.exact_duplicates(odd, runs=8, fan_in=2).collect()
+    got = exact_dedup.exact_duplicates(odd, runs=8).collect()
     groups = defaultdict(list)
     for i, text, *_ in odd_rows:
         groups[hashlib.sha256(norm(text).encode()).hexdigest()].append(i)
@@ -61,6 +61,30 @@ def test_merge_keeps_the_hot_digest_whole(spark):
     assert len(got) == 2000 and {r.keep_id for r in got} == {5997} and sum(r.kept for r in got) == 1
 
 
+@pytest.mark.parametrize("runs", [1, 2, 16, 256])
+def test_rounds_keep_the_order_and_merge_pairs(spark, rng, runs):
+    rows = [(rng.randrange(runs), bytes([rng.randrange(9)]), rng.randrange(2), i, i) for i in range(700)]
+    members = spark.createDataFrame(rows, "_run int, _digest binary, _check long, _id long, _row long")
+    want = defaultdict(list)
+    for _, digest, check, i, _ in rows:
+        want[bytes(digest), check].append(i)
+    merged = exact_dedup.merge_runs(members, runs)
+    assert {(bytes(r._digest), r._check): (r._keep._id, r._n) for r in merged.collect()} == {
+        k: (max(v), len(v)) for k, v in want.items()
+    }
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    rounds = runs.bit_length() - 1
+    assert plan.count("Window ") >= rounds
+    # One exchange makes the runs, one brings a digest's records together; rounds sort nothing again.
+    assert plan.count("Exchange hashpartitioning") <= 2
+    assert sum("Sort [_digest" in line for line in plan.splitlines()) <= 1
+    level = exact_dedup._leaf_runs(members)
+    for bit in range(rounds):
+        level = exact_dedup._merge_round(level, bit)
+        held = [(bytes(r._digest), r._check, r._run >> (bit + 1)) for r in level.collect()]
+        assert len(held) == len(set(held))
+
+
 def test_shards_fit_and_split_only_where_needed(spark, rng):
     rows = [(i, "x" * rng.randint(0, 200)) for i in range(3000)] + [(9999, "y" * 5000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
