@@ -26,13 +26,18 @@ _FOLD = bytes.maketrans(_APART + UPPER.encode(), b" " * len(_APART) + LOWER.enco
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: Documents of one shard at most, and entries (document, term); a larger document is a shard of its own.
-SHARD_ROWS, SHARD_ENTRIES = 8192, 2_000_000
+SHARD_ROWS, SHARD_ENTRIES = 32_768, 4_000_000
 #: Documents of one block, expected; directions in which documents are compared for clustering.
 BLOCK, DIRECTIONS = 64, 32
+#: Terms that so large a share of a shard's documents have are common: nearly every block has their
+#: highest share, so one number for the whole shard bounds them and blocks store the others.
+COMMON = 1 / 2
 #: Summaries that a task holds at once, in numbers.
 SUMMARY_NUMBERS = 8_000_000
 #: Different terms of the queries that one pass answers; more queries take more passes.
 PASS_TERMS = 200_000
+#: Documents with a query's rarest terms that are scored for its first threshold, as a multiple of k.
+SEEDED = 64
 #: Tasks whose first k are merged before those of all.
 MERGED = 64
 
@@ -69,11 +74,18 @@ def _forward(vocabulary: dict[bytes, int]):
     return rows
 
 
+def _entries(starts: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many entries each document has, and the places of all of them."""
+    sizes = starts[docs + 1] - starts[docs]
+    ends = np.cumsum(sizes)
+    return sizes, np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[docs] - ends + sizes, sizes)
+
+
 class Shard:
     """Some documents as rows of (term, share of the score), and their posting lists."""
 
     def __init__(self, ids: np.ndarray, starts: np.ndarray, terms: np.ndarray, shares: np.ndarray, n_terms: int) -> None:
-        self.ids, self.starts, self.terms, self.shares = ids, starts, terms, shares
+        self.ids, self.starts, self.terms, self.shares = ids, starts, terms.astype(np.int32), shares
         self.rows = np.repeat(np.arange(len(ids)), np.diff(starts))
         by_term = np.argsort(terms, kind="stable")
         self.postings = self.rows[by_term]
@@ -82,6 +94,11 @@ class Shard:
         #: Each term's highest share, from 0.
         self.highest = np.zeros(n_terms, dtype=np.int64)
         np.maximum.at(self.highest, terms, shares)
+        self.common = np.diff(self.lists) > max(COMMON * len(ids), BLOCK)
+        #: Rows without the common terms, from which blocks are clustered and summed up.
+        rare = ~self.common[terms]
+        self.rare_terms, self.rare_shares, self.rare_rows = terms[rare], shares[rare], self.rows[rare]
+        self.rare_starts = np.append(0, np.cumsum(np.bincount(self.rare_rows, minlength=len(ids))))
         self.place = None
 
     def docs(self, term: int) -> np.ndarray:
@@ -96,15 +113,12 @@ class Shard:
 
     def scores_of(self, docs: np.ndarray, query: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Exact scores of some documents. ``weight`` is a zero array by term, for marking the query's."""
-        sizes = self.starts[docs + 1] - self.starts[docs]
-        ends = np.cumsum(sizes)
-        entries = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[docs] - ends + sizes, sizes)
+        sizes, entries = _entries(self.starts, docs)
         weight[query] = 1
         share = self.shares[entries] * weight[self.terms[entries]]
         weight[query] = 0
-        out = np.zeros(len(docs), dtype=np.int64)
-        np.add.at(out, np.repeat(np.arange(len(docs)), sizes), share)
-        return out
+        # Every document of a posting list has an entry, so no sum is empty.
+        return np.add.reduceat(share, np.cumsum(sizes) - sizes) if len(docs) else np.zeros(0, dtype=np.int64)
 
     def sketches(self, seed: int = 7) -> np.ndarray:
         """Documents in a few random directions: near in angle here if near by their shares."""
@@ -112,7 +126,7 @@ class Shard:
             turn = np.random.default_rng(seed).standard_normal((len(self.highest), DIRECTIONS)).astype(np.float32)
             out = np.zeros((len(self.ids), DIRECTIONS), dtype=np.float32)
             for d in range(DIRECTIONS):
-                out[:, d] = np.bincount(self.rows, weights=self.shares * turn[self.terms, d], minlength=len(self.ids))
+                out[:, d] = np.bincount(self.rare_rows, weights=self.rare_shares * turn[self.rare_terms, d], minlength=len(self.ids))
             self.place = out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
         return self.place
 
@@ -131,15 +145,15 @@ class Shard:
         return docs[order], np.flatnonzero(np.diff(near[order], prepend=-1))
 
     def summaries(self, docs: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """By block and term the highest share of any of the block's documents."""
+        """By block and term the highest share of any of the block's documents; of common terms the shard's."""
         n_terms = len(self.highest)
         out = np.zeros(len(begins) * n_terms, dtype=np.int64)
         block = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(docs))))
-        sizes = self.starts[docs + 1] - self.starts[docs]
-        ends = np.cumsum(sizes)
-        entries = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[docs] - ends + sizes, sizes)
-        np.maximum.at(out, np.repeat(block * n_terms, sizes) + self.terms[entries], self.shares[entries])
-        return out.reshape(len(begins), n_terms)
+        sizes, entries = _entries(self.rare_starts, docs)
+        np.maximum.at(out, np.repeat(block * n_terms, sizes) + self.rare_terms[entries], self.rare_shares[entries])
+        out = out.reshape(len(begins), n_terms)
+        out[:, self.common] = self.highest[self.common]
+        return out
 
 
 class Best:
@@ -147,14 +161,17 @@ class Best:
 
     NULL = np.iinfo(np.int64).max
 
-    def __init__(self, n: int, k: int) -> None:
+    def __init__(self, n: int, k: int, floor: np.ndarray | None = None) -> None:
         self.k = k
+        #: Scores that k documents are known to reach, by query.
+        self.floor = np.ones(n, dtype=np.int64) if floor is None else floor
         self.ids = [np.zeros(0, dtype=np.int64)] * n
         self.scores = [np.zeros(0, dtype=np.int64)] * n
 
     def least(self, q: int) -> int:
         """A score below this is not among the first k; equal ones can be."""
-        return int(self.scores[q][-1]) if len(self.scores[q]) == self.k else 1
+        own = int(self.scores[q][-1]) if len(self.scores[q]) == self.k else 1
+        return max(own, int(self.floor[q]))
 
     def add(self, q: int, ids: np.ndarray, scores: np.ndarray) -> None:
         near = scores >= self.least(q)
@@ -163,11 +180,20 @@ class Best:
         self.ids[q], self.scores[q] = ids[first], scores[first]
 
 
+def seed_shard(shard: Shard, seeds: list[np.ndarray], queries: list[np.ndarray], best: Best) -> None:
+    """Merge into ``best`` the shard's documents that have one of a query's ``seeds``, its rarest terms."""
+    weight = np.zeros(len(shard.highest), dtype=np.int64)
+    for q, terms in enumerate(seeds):
+        lists = [shard.docs(t) for t in terms]
+        docs = np.unique(np.concatenate(lists)) if lists else np.zeros(0, dtype=np.int64)
+        if len(docs):
+            best.add(q, shard.ids[docs], shard.scores_of(docs, queries[q], weight))
+
+
 def search_shard(shard: Shard, queries: list[np.ndarray], best: Best) -> tuple[int, int]:
     """Merge the shard's documents into ``best``; how many blocks were asked for and how many were read.
 
-    A query first reads its rarest posting lists, until they hold enough documents for a threshold. Then
-    terms come by their highest share, from above. A document that matters and is unread has none
+    Terms come by their highest share, from above. A document that matters and is unread has none
     of the terms that came before: it was in their blocks, and one that is left unread there cannot be among
     the first k. So only the terms from here on count in a bound, and when their highest shares
     together stay below the threshold the query is done.
@@ -186,10 +212,6 @@ def search_shard(shard: Shard, queries: list[np.ndarray], best: Best) -> tuple[i
     for q, query in enumerate(queries):
         lengths = shard.lists[query + 1] - shard.lists[query]
         held = query[lengths > 0]
-        rarest = held[np.argsort(lengths[lengths > 0], kind="stable")]
-        enough = np.searchsorted(np.cumsum(np.sort(lengths[lengths > 0])), 4 * best.k) + 1
-        if len(held) and len(best.scores[q]) < best.k:
-            take(q, np.unique(np.concatenate([shard.docs(t) for t in rarest[:enough]])))
         held = held[np.lexsort((held, -shard.highest[held]))]
         rest.append(held)
         bounds.append(np.cumsum(shard.highest[held][::-1])[::-1])
@@ -234,18 +256,24 @@ def _shares(n: np.ndarray, counts: np.ndarray, tfs: np.ndarray, terms: np.ndarra
     return w[terms] * ((1_000_000_000 * tfs) // (1000 * tfs + 20 * np.repeat(m, counts)))
 
 
-def _search(queries: list[np.ndarray], w: np.ndarray, n_docs: int, n_terms: int, k: int):
+def _search(queries: list[np.ndarray], w: np.ndarray, n_docs: int, n_terms: int, k: int, seeds=None, floor=None):
+    """The first k of each query among a task's documents: of all, or of those with one of its ``seeds``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        best = Best(len(queries), k)
+        best = Best(len(queries), k, floor)
         waiting: list[tuple] = []
         rows = entries = 0
 
         def work() -> None:
             ids, ns, counts, terms, tfs = (np.concatenate(x) for x in zip(*waiting, strict=True))
             shares = _shares(ns, counts, tfs, terms, w, n_docs, n_terms)
-            search_shard(Shard(ids, np.append(0, np.cumsum(counts)), terms, shares, len(w)), queries, best)
+            shard = Shard(ids, np.append(0, np.cumsum(counts)), terms, shares, len(w))
+            if seeds is None:
+                search_shard(shard, queries, best)
+            else:
+                seed_shard(shard, seeds, queries, best)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -295,11 +323,29 @@ def _one_pass(docs: DataFrame, items: list[tuple], k: int) -> DataFrame:
     w = np.zeros(len(vocabulary), dtype=np.int64)
     for row in df:
         w[row.t] = math.floor(1000 * math.log((2 * size.n + 2) / (2 * row.df + 1)))
-    found = stage(forward.df.mapInArrow(_search(queries, w, size.n, max(size.terms, 1), k), FOUND), "search-found")
+    counted = np.zeros(len(vocabulary), dtype=np.int64)
+    for row in df:
+        counted[row.t] = row.df
+    n_terms = max(size.terms, 1)
+
+    def first(rows: DataFrame) -> DataFrame:
+        merged = _ranked(rows.withColumn("task", F.col("task") % MERGED), ["item", "task"], k).drop("rank")
+        return _ranked(merged, ["item"], k)
+
+    # The rarest terms of each query, until they have SEEDED * k documents: what the k-th of those
+    # scores is a floor for the search of all others. One row per item.
+    seeds = []
+    for query in queries:
+        order = query[np.argsort(counted[query], kind="stable")]
+        seeds.append(order[: int(np.searchsorted(np.cumsum(counted[order]), SEEDED * k)) + 1])
+    tried = stage(forward.df.mapInArrow(_search(queries, w, size.n, n_terms, k, seeds=seeds), FOUND), "search-seeds")
+    floor = np.ones(len(queries), dtype=np.int64)
+    for row in first(tried).where(F.col("rank") == k).collect():
+        floor[row.item] = row.score
+    found = stage(forward.df.mapInArrow(_search(queries, w, size.n, n_terms, k, floor=floor), FOUND), "search-found")
     forward.drop()
-    merged = _ranked(found.withColumn("task", F.col("task") % MERGED), ["item", "task"], k).drop("rank")
     names = spark.createDataFrame([(i, item) for i, (item, _) in enumerate(items)], "item int, item_id long")
-    return _ranked(merged, ["item"], k).join(names, "item").select("item_id", "rank", F.col("id").alias("doc_id"), "score")
+    return first(found).join(names, "item").select("item_id", "rank", F.col("id").alias("doc_id"), "score")
 
 
 def search(
