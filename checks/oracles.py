@@ -548,6 +548,7 @@ STORED = f"""
   union all select 'error_hosts', batch_no, concat({DAY}, ' ', host), log_hour,
     error_request_count, null from ({_error_hosts('batch_no, ')})"""
 oracle("run_results", STORED, PARSED)
+oracle("compacted_results", STORED, PARSED)
 oracle(
     "stream_batches",
     f"select *, (select count(*) from raw_log) as total_record_count from ({STORED})",

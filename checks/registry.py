@@ -16,6 +16,7 @@ from loglark.plans import reports
 from loglark.plans.run import read_runs, run_batches
 from loglark.session import new_folder
 from loglark.sources import tables
+from loglark.sources.loads import vacuum
 from loglark.sources.text import (
     count_check,
     export_query,
@@ -571,6 +572,19 @@ def run_results(spark, sf):
     return _stored_rows(spark, root)
 
 
+@query
+def compacted_results(spark, sf):
+    """A run whose batches come in two loads, one of them again after it was spoiled, merged into one load."""
+    files, root = _batch_files(spark, sf), new_folder(spark, "results")
+    lines = read_batches(spark, files)
+    spoiled = lines.withColumn("value", F.when(F.col("batch_no") % 2 == 0, "junk").otherwise(F.col("value")))
+    run_batches(spoiled, root, "web_2500", "spark", run_id=1)
+    run_batches(lines.where("batch_no % 2 = 0"), root, "web_2500", "spark", run_id=1, load_id=1)
+    tables.compact_loads(spark, root, 1)
+    vacuum(spark, root)
+    return _stored_rows(spark, root)
+
+
 @query
 def stream_batches(spark, sf):
     """The same batch files as a stream; the run's totals and all stored rows."""

@@ -6,6 +6,8 @@
             [--separately 1,2,...]
     report  <root> <run id> <output folder> [--engines a,b,...]
     history <root> <output folder>
+    compact <root> <run id> [--vacuum]
+    differ  <root> <run id> <output folder> [--engines a,b,...]
 """
 
 from __future__ import annotations
@@ -16,10 +18,11 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from loglark.operators.runs import ENGINES
-from loglark.plans.reports import all_reports, run_history_json
+from loglark.plans.reports import all_reports, result_differences, run_history_json
 from loglark.plans.run import read_run_tables, read_runs, run_batches, split_dataset
 from loglark.session import configure
-from loglark.sources.tables import write_run_history
+from loglark.sources.loads import vacuum
+from loglark.sources.tables import compact_loads, write_run_history
 from loglark.sources.text import count_check, export_query, read_batches
 
 
@@ -59,6 +62,17 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     history = jobs.add_parser("history", help="write the finished runs as JSON lines")
     history.add_argument("root")
     history.add_argument("out")
+
+    compact = jobs.add_parser("compact", help="rewrite all loads of a run as one")
+    compact.add_argument("root")
+    compact.add_argument("run_id", type=int)
+    compact.add_argument("--vacuum", action="store_true", help="delete what no reader needs any more")
+
+    differ = jobs.add_parser("differ", help="write every number in which the scorecard's runs differ")
+    differ.add_argument("root")
+    differ.add_argument("run_id", type=int)
+    differ.add_argument("out")
+    differ.add_argument("--engines")
     return parser.parse_args(argv)
 
 
@@ -81,6 +95,15 @@ def main(argv: Sequence[str] | None = None) -> None:
         found = all_reports(**tables, run_id=args.run_id, engines=engines)
         for name, table in found.items():
             export_query(table, f"{args.out}/{name}")
+    elif args.job == "compact":
+        compact_loads(spark, args.root, args.run_id)
+        if args.vacuum:
+            vacuum(spark, args.root)
+    elif args.job == "differ":
+        engines = args.engines.split(",") if args.engines else ENGINES
+        found = read_run_tables(spark, args.root)
+        names = ("runs", "daily", "top", "top_hosts", "hours", "hour_hosts")
+        export_query(result_differences(*[found[n] for n in names], args.run_id, engines), args.out)
     else:
         write_run_history(run_history_json(read_runs(spark, args.root)), args.out)
 

@@ -20,7 +20,8 @@ def _offset_rows(rows: DataFrame, group: Column, inside: Column) -> DataFrame:
     """Add ``row_no`` (from 0) to stored rows with a ``_row`` id.
 
     ``group`` and ``inside`` tell runs of consecutive rows apart and sort them. Lengths are
-    added up over the groups, then over the runs of each group, so no task sees all runs.
+    added up by a tree: over sorted ranges of groups, inside each range, then over the runs of
+    each group. No window sees all groups, and no task all runs.
     """
     length = F.col("_last") - F.col("_first") + 1
     runs = rows.groupBy(group.alias("_g"), inside.alias("_o"), _task().alias("_t")).agg(
@@ -28,8 +29,7 @@ def _offset_rows(rows: DataFrame, group: Column, inside: Column) -> DataFrame:
     )
     runs = staged(runs.withColumn("_n", length), "runs")
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    groups = runs.groupBy("_g").agg(F.sum("_n").alias("_all"))
-    starts = groups.select("_g", _sum_of("_all", before.orderBy("_g")).alias("_start"))
+    starts = _starts(runs.groupBy("_g").agg(F.sum("_n").alias("_all")))
     earlier = _sum_of("_n", before.partitionBy("_g").orderBy("_o"))
     offsets = runs.join(starts, "_g").select(
         "_t", "_first", "_last", (F.col("_start") + earlier).alias("_offset")
@@ -42,6 +42,24 @@ def _offset_rows(rows: DataFrame, group: Column, inside: Column) -> DataFrame:
     )
 
 
+def _starts(groups: DataFrame) -> DataFrame:
+    """(_g, _start): the sum of ``_all`` over the groups that sort before.
+
+    The groups are sorted once over tasks and written; the sums of the tasks, a row each, are
+    added up in the driver.
+    """
+    placed = staged(groups.orderBy("_g").withColumn("_row", F.monotonically_increasing_id()), "groups")
+    placed = placed.withColumn("_range", _task())
+    sums = placed.groupBy("_range").agg(F.sum("_all").alias("_all")).orderBy("_range").collect()
+    at, bases = 0, []
+    for row in sums:
+        bases.append((row["_range"], at))
+        at += row["_all"]
+    bases = groups.sparkSession.createDataFrame(bases, "_range bigint, _base bigint")
+    inside = Window.partitionBy("_range").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    return placed.join(bases, "_range").select("_g", (F.col("_base") + _sum_of("_all", inside)).alias("_start"))
+
+
 def _sum_of(name: str, window: WindowSpec) -> Column:
     return F.coalesce(F.sum(name).over(window), F.lit(0))
 

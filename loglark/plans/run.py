@@ -20,16 +20,17 @@ from loglark.operators.traffic import (
     top_resources,
 )
 from loglark.session import staging
+from loglark.sources.loads import load_aside, manifest
 from loglark.sources.tables import (
-    clear_load,
+    read_aside,
     read_metadata,
     read_parsed,
     read_quality,
     read_results,
     refuse_other_batches,
     table_exists,
+    write_aside,
     write_parsed,
-    write_results,
 )
 from loglark.sources.text import read_raw, write_batches
 
@@ -102,9 +103,10 @@ def run_batches(
     after the other, each as a load of its own from ``load_id`` on; that takes longer
     but times every query on every batch. A failing query raises and stores no time.
 
-    Repeating a load replaces it wholly, whatever queries it had; a load id that holds other
-    batches is refused. The run's row is written first, with runtime 0 until the load ends,
-    so a run that fails is seen as unfinished.
+    Repeating a load replaces it wholly, whatever queries it had, at the end and in one step: until
+    then, and if it fails, readers see the old one. A load id that holds other batches is
+    refused. A new load begins with the run's row, with runtime 0 until the load ends, so a
+    run that fails is seen as unfinished.
     """
     chosen = select_queries(queries)
     start = time.monotonic()
@@ -122,33 +124,35 @@ def run_batches(
         refuse_other_batches(lines.sparkSession, root, run_id, load_id + i, mine)
     if not separately:
         refuse_other_batches(lines.sparkSession, root, run_id, load_id, lines)
-    for i in range(max(1, len(separately))):
-        clear_load(lines.sparkSession, root, run_id, load_id + i)
-    opened = lines.sparkSession.range(1).withColumns(began)
-    write_results(opened, root, "run_metadata", run_id, load_id)
-    parsed_path = f"{root}/parsed/run={run_id}/load={load_id}"
-    write_parsed(parse_logs(lines.select("value", "batch_no")), parsed_path)
-
     spark = lines.sparkSession
-    parsed, seen = read_parsed(spark, parsed_path), read_quality(spark, parsed_path)
-    if separately:
-        for i, batch in enumerate(separately):
-            mine = F.col("batch_no") == batch
-            _load(parsed.where(mine), seen.where(mine), root, run_id, load_id + i, chosen, batch)
-        seen = seen.where(F.col("batch_no").isin(*separately))
-    else:
-        _load(parsed, seen, root, run_id, load_id, chosen)
-
-    spent = {**began, "total_runtime": F.lit(time.monotonic() - start)}
-    del spent["avg_batch_size"]
-    ended = dataset_stats(seen).select("avg_batch_size").withColumns(spent)
-    write_results(ended, root, "run_metadata", run_id, load_id)
+    ids = [load_id + i for i in range(max(1, len(separately)))]
+    held = {(e.run_id, e.load_id) for e in manifest(spark, root)}
+    if not held & {(run_id, i) for i in ids}:
+        with load_aside(spark, root, run_id, ids) as folder:
+            write_aside(spark.range(1).withColumns(began), folder, "run_metadata", run_id, load_id)
+
+    with load_aside(spark, root, run_id, ids) as folder:
+        parsed_path = f"{root}/parsed/run={run_id}/load={load_id}"
+        write_parsed(parse_logs(lines.select("value", "batch_no")), parsed_path)
+        parsed, seen = read_parsed(spark, parsed_path), read_quality(spark, parsed_path)
+        if separately:
+            for i, batch in zip(ids, separately, strict=True):
+                mine = F.col("batch_no") == batch
+                _load(parsed.where(mine), seen.where(mine), folder, run_id, i, chosen, batch)
+            seen = seen.where(F.col("batch_no").isin(*separately))
+        else:
+            _load(parsed, seen, folder, run_id, load_id, chosen)
+
+        spent = {**began, "total_runtime": F.lit(time.monotonic() - start)}
+        del spent["avg_batch_size"]
+        ended = dataset_stats(seen).select("avg_batch_size").withColumns(spent)
+        write_aside(ended, folder, "run_metadata", run_id, load_id)
 
 
 def _load(
     parsed: DataFrame,
     seen: DataFrame,
-    root: str,
+    folder: str,
     run_id: int,
     load_id: int,
     chosen: Sequence[int],
@@ -162,11 +166,11 @@ def _load(
         start = time.monotonic()
         for name, query in QUERIES[q].items():
             if query is top_resources:  # its rows sum the host rows just written
-                hosts = read_metadata(parsed.sparkSession, root, "top_resource_hosts", run_id)
-                results = resource_totals(hosts.where(F.col("load_id") == load_id), BY)
+                hosts = read_aside(parsed.sparkSession, folder, "top_resource_hosts", load_id)
+                results = resource_totals(hosts, BY)
             else:
                 results = query(parsed, by=BY)
-            write_results(results, root, name, run_id, load_id)
+            write_aside(results, folder, name, run_id, load_id)
         timings.append((batch, q, (time.monotonic() - start) * 1000))
 
     spent = sum(ms for _, _, ms in timings) / 1000 if batch is not None else None
@@ -176,11 +180,11 @@ def _load(
         F.col("malformed_records").alias("malformed_record_count"),
         F.lit(spent).alias("batch_runtime"),
     )
-    write_results(batches, root, "batch_metadata", run_id, load_id)
+    write_aside(batches, folder, "batch_metadata", run_id, load_id)
     times = parsed.sparkSession.createDataFrame(
         timings, "batch_no int, query_number int, query_runtime double"
     )
-    write_results(times, root, "query_metadata", run_id, load_id)
+    write_aside(times, folder, "query_metadata", run_id, load_id)
 
 
 def read_runs(spark: SparkSession, root: str) -> DataFrame:

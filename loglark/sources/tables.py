@@ -1,9 +1,10 @@
 """Parsed rows, results and bookkeeping as Parquet tables, and the JDBC option.
 
-Every load of batches has a ``load_id``. Tables are partitioned by run and load and
-a write replaces just its own partition, so a repeated load changes nothing. A
-batch that is loaded again under a higher id supersedes its older rows when results
-are read. Batches themselves are no partitions: a large dataset has millions.
+Every load of batches has a ``load_id``. Tables are partitioned by run and load. Whole loads
+are written aside and take effect together (``sources.loads``); a single table is written by
+``write_results``, which replaces just its own partition. A batch that is loaded again under a
+higher id supersedes its older rows when results are read. Batches themselves are no
+partitions: a large dataset has millions.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 from loglark.functions.parsing import to_log_date
 from loglark.schemas import PARSED, TABLES
-from loglark.session import delete_folder
+from loglark.sources import loads
 from loglark.sources.text import texts_of_lists
 
 
@@ -59,33 +60,43 @@ def to_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_results(df: DataFrame, root: str, name: str, run_id: int, load_id: int) -> None:
-    """Write one load of a run to a result or bookkeeping table."""
+    """Write one load of a run to a result or bookkeeping table of its own, not under a manifest."""
+    _write(df, f"{root}/{name}", name, run_id, load_id)
+
+
+def write_aside(df: DataFrame, folder: str, name: str, run_id: int, load_id: int) -> None:
+    """Write a table of a load to the folder of ``loads.load_aside``."""
+    _write(df, f"{folder}/table={name}", name, run_id, load_id)
+
+
+def read_aside(spark: SparkSession, folder: str, name: str, load_id: int) -> DataFrame:
+    """A table of a load that is not committed yet."""
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/table={name}").where(F.col("load_id") == load_id)
+
+
+def _write(df: DataFrame, path: str, name: str, run_id: int, load_id: int) -> None:
     tagged = df.withColumns({"run_id": F.lit(run_id), "load_id": F.lit(load_id)})
     (
         to_table(tagged, name)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id", "load_id")
-        .parquet(f"{root}/{name}")
+        .parquet(path)
     )
 
 
-def clear_load(spark: SparkSession, root: str, run_id: int, load_id: int) -> None:
-    """Delete all rows of one load of a run, in every table: what is written next replaces it wholly."""
-    for name in TABLES:
-        delete_folder(spark, f"{root}/{name}/run_id={run_id}/load_id={load_id}")
-
-
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    known = loads.manifest(spark, root)
+    if not known:
+        return loads.exists(spark, f"{root}/{name}")
+    return any(loads.exists(spark, f"{folder}/table={name}") for folder in {e.folder for e in known})
 
 
 def refuse_other_batches(
     spark: SparkSession, root: str, run_id: int, load_id: int, batches: DataFrame
 ) -> None:
     """Raise if the load holds batches that are not among ``batches``: they would be lost."""
-    if not table_exists(spark, root, "batch_metadata"):
+    if not any((e.run_id, e.load_id) == (run_id, load_id) for e in loads.manifest(spark, root)):
         return
     held = read_metadata(spark, root, "batch_metadata", run_id).where(F.col("load_id") == load_id)
     if not held.join(batches.select("batch_no").distinct(), "batch_no", "left_anti").isEmpty():
@@ -97,11 +108,23 @@ def read_metadata(
 ) -> DataFrame:
     """A table as written, of one run (partitions of other runs are not read) or of all.
 
-    A table that no query has written yet is empty.
+    A table that no query has written yet is empty. Where ``root`` has a manifest, the rows are
+    those of its newest version as it is now: loads that are committed later are not among them.
     """
-    if not table_exists(spark, root, name):
+    known = loads.manifest(spark, root)
+    if known:
+        # A folder can hold loads that were replaced since, so each load is named by its partition.
+        wanted = [e for e in known if run_id is None or e.run_id == run_id]
+        places = [f"{e.folder}/table={name}/run_id={e.run_id}/load_id={e.load_id}" for e in wanted]
+        paths = [p for p in places if loads.exists(spark, p)]
+        if not paths:
+            return spark.createDataFrame([], TABLES[name])
+        rows = spark.read.schema(TABLES[name]).option("basePath", f"{root}/loads").parquet(*paths)
+        rows = rows.select(*TABLES[name].fieldNames())
+    elif loads.exists(spark, f"{root}/{name}"):
+        rows = spark.read.schema(TABLES[name]).parquet(f"{root}/{name}")
+    else:
         return spark.createDataFrame([], TABLES[name])
-    rows = spark.read.schema(TABLES[name]).parquet(f"{root}/{name}")
     return rows if run_id is None else rows.where(F.col("run_id") == run_id)
 
 
@@ -120,6 +143,39 @@ def read_results(
     return rows.select(*TABLES[name].fieldNames())
 
 
+#: Tables with a row or more for each batch, whose superseded rows a compaction leaves out.
+PER_BATCH = tuple(name for name in TABLES if name not in ("run_metadata", "query_metadata"))
+
+
+def compact_loads(spark: SparkSession, root: str, run_id: int) -> int:
+    """Rewrite all loads of a run as one, without the rows of superseded loads; how many loads it took in.
+
+    The one load has the highest number, so that later loads supersede it as before. Readers see
+    the old loads until it is committed. A load that was taken in cannot be repeated.
+    """
+    known = [e for e in loads.manifest(spark, root) if e.run_id == run_id]
+    if len(known) < 2:
+        return 0
+    last, folder = max(e.load_id for e in known), loads.new_load_folder(root)
+    for name in TABLES:
+        if name in PER_BATCH:
+            rows = read_results(spark, root, name, run_id)
+        else:
+            rows = read_metadata(spark, root, name, run_id)
+        if name == "run_metadata":
+            firsts = ("pipeline_name", "dataset_name")
+            rows = rows.groupBy("run_id").agg(
+                *[F.max_by(c, "load_id").alias(c) for c in firsts],
+                F.sum("total_runtime").alias("total_runtime"),
+                F.max("execution_timestamp").alias("execution_timestamp"),
+                *[F.lit(None).alias(c) for c in ("avg_batch_size", "total_malformed_record_count", "total_record_count")],
+            )
+        write_aside(rows, folder, name, run_id, last)
+    merged = sorted({i for e in known for i in (e.load_id, *e.merged)} - {last})
+    loads.commit(spark, root, [loads.Entry(run_id, last, folder, tuple(merged))], [(run_id, e.load_id) for e in known])
+    return len(known)
+
+
 def write_run_history(history: DataFrame, folder: str) -> None:
     """The JSON objects of ``reports.run_history_json`` as text, one run per line, in order."""
     history.select("json").write.mode("overwrite").text(folder)

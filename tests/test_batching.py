@@ -47,6 +47,20 @@ def test_rows_of_many_tasks_are_numbered_without_a_broadcast(spark, conf, monkey
     assert {(r.id, r.row_no) for r in rows.collect()} == {(i, 2999 - i) for i in range(3000)}
 
 
+def test_offsets_of_many_files_need_no_window_over_all(spark, conf):
+    conf(spark__sql__shuffle__partitions="6", spark__sql__adaptive__coalescePartitions__enabled="false")
+    groups = spark.range(2000).selectExpr("concat('file', lpad(id, 5, '0')) AS _g", "id % 7 AS _all")
+    starts = batching._starts(groups.repartition(5))
+    want, at = {}, 0
+    for i in range(2000):
+        want[f"file{i:05}"] = at
+        at += i % 7
+    assert {r["_g"]: r["_start"] for r in starts.collect()} == want
+    plan = starts._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "SinglePartition" not in plan
+    assert batching._starts(groups.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("one_file", [True, False])
 def test_split_leaves_only_the_batches(spark, tmp_path, one_file):
     shared = Path(shared_folder(spark))

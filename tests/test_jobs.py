@@ -42,6 +42,9 @@ def test_jobs_from_file_to_reports(spark, tmp_path):
     # Runs of 91 records are too small to compare with, so only the target's size is shown.
     assert [r[0] for r in rows(out / "batch_size_runtime")] == ["40"]
 
+    main(["differ", root, "1", str(tmp_path / "differ")])
+    assert rows(tmp_path / "differ") == []
+    main(["compact", root, "1", "--vacuum"])
     main(["history", root, str(tmp_path / "history")])
     found = [json.loads(r[0]) for r in rows(tmp_path / "history")]
     assert [(r["id"], r["pipeline"], r["dataset"]) for r in found] == [
