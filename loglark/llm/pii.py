@@ -153,8 +153,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spelled-out one, and all that the spans there reach into, which is wherever a span can
     be. Offsets are code points, ends exclusive. A null text is
     empty; an empty list has the hash of the empty string; null ids and repeated rows are
-    rows like others; where no base span exists nothing is learned and nothing added. Only
-    the id and the text are read.
+    rows like others; where no base span exists nothing is learned and nothing added. An empty
+    table gives an empty result, and a text of any length is read whole. Only the id and the
+    text are read.
     """
     tagger = train(docs, id_col, text_col)
     slim = with_package(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -83,7 +83,9 @@ def quality_rules(
     trees keep those that score at least ``threshold``; they learn from at most ``per_class``
     labelled documents of each label, and the score never rises with the FALLING statistics.
     A null text counts as empty and fails; repeated rows and null ids are scored like any
-    row; without labels every score is 0.5. Only the id and the text of ``docs`` are read.
+    row; without labels every score is 0.5. An empty table gives an empty result; a text of any
+    length is read whole. Of an id that has several labels or texts, any one is learned from.
+    Only the id and the text of ``docs`` are read.
     """
     forest = fit(*training_rows(docs, labels, label, per_class, id_col, text_col))
     schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", score double"

@@ -103,7 +103,9 @@ def quality(
     label; every path is a rule, and a lasso keeps a sparse weighted set of them. Documents
     with crc32(id as text) mod 5 = 0 are never learned from. A null text is scored as an
     empty one, all statistics zero; a null id is not held out; repeated rows are scored
-    alike; without labels every score is 0.5. Only the id and the text of ``docs`` are read.
+    alike; without labels every score is 0.5. An empty table gives an empty result; a text of
+    any length is read whole. Of an id that has several labels or texts, any one is learned from.
+    Only the id and the text of ``docs`` are read.
     """
     bias, rules = fit(*training_rows(docs, labels, label, per_class, id_col, text_col))
     return measured(docs, id_col, text_col).select(
