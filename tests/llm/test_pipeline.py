@@ -22,3 +22,17 @@ def test_stages(spark):
 def test_run(spark):
     assert corpus_pipeline.run(spark, DATA).count() > 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "exact_dedup", "near_dedup", "mixing", "packing"]
+
+
+def test_odd_rows_and_an_empty_table_through_all_stages(spark, odd, empty):
+    """Nulls, empty and long texts, repeated rows and columns with names that stages use inside."""
+    for rows in (odd, empty.selectExpr("*", "'x' as part", "'x' as _key")):
+        docs, columns = rows, rows.columns
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = corpus_pipeline.Stage(stage(spark, docs, DATA), f"odd-{name}").df
+            assert docs.columns == columns
+        kept = docs.collect()
+        assert all(r[columns[-1]] == "x" and any(c.isalpha() for c in r.text) for r in kept)
+        assert len({r.text.lower() for r in kept}) == len({(r.doc_id, r.text) for r in kept})
+        pieces = corpus_pipeline.STAGES[-1][1](spark, docs, DATA).collect()
+        assert sum(p.length for p in pieces) == sum(len(encode(r.text)) for r in kept)
