@@ -2,9 +2,8 @@
 
 Texts with equal shingle sets are one node. Nodes that share a band meet in a bucket, and
 each bucket compares its members with one centre, the member that meets most others, which
-needs no pairs of members. Members that this leaves in different components meet again by the
-rarest shingles of their sets: two linked sets share one among the first few, and what a whole
-template shares comes later, so members that a template alone brings together never meet.
+needs no pairs of members. Only members that this leaves in different components are
+compared with each other, inside blocks of one centre's members.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from functools import lru_cache
 from math import exp, lgamma, log
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +28,8 @@ BANDS, ROWS = 32, 6
 HASHES = BANDS * ROWS
 #: Hashes compared at a time, and the probability at which a linked pair may be pruned.
 BATCH, MISS = 32, 1e-6
-#: Buckets in which shingles are counted to order them; any order gives the same links.
-COUNTED = 1 << 18
+#: Most members and hashes of a block of members that are compared with each other.
+BLOCK_ROWS, BLOCK_HASHES = 2048, 2_000_000
 
 _rng = np.random.default_rng(20240229)
 _FACTOR = (_rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -101,8 +101,8 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = [shingles(t.as_py()) for t in batch.column("text")]
         same = [i for i, (s, fp) in enumerate(zip(sets, batch.column("fp"), strict=True)) if fingerprint(s) == fp.as_py()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("node").take(pa.array(same, pa.int64())), pa.array([sets[i].tobytes() for i in same], pa.binary())],
-            names=["node", "hashes"],
+            [batch.column("fp").take(pa.array(same, pa.int64())), pa.array([sets[i].tobytes() for i in same], pa.binary())],
+            names=["fp", "hashes"],
         )
 
 
@@ -122,50 +122,47 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).take(pa.array(left, pa.int64()))
 
 
-def _bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes % np.uint64(COUNTED)).astype(np.int64)
+def _link_block(rows: pd.DataFrame) -> list[tuple[bytes, bytes]]:
+    """Links between members of different components in one block, or between two blocks.
 
-
-def _shingle_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many of a task's sets have a shingle of each bucket."""
-    total = np.zeros(COUNTED, dtype=np.int64)
-    for batch in batches:
-        for x in batch.column("hashes"):
-            total += np.bincount(_bucket(np.frombuffer(x.as_py(), dtype="<u8")), minlength=COUNTED)
-    held = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array(total[held], pa.int64())], names=["at", "n"])
-
-
-def rarest(hashes: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int]:
-    """The shingles of a set by which it meets sets of its size or smaller, rarest first, and how
-    many of them are enough to meet sets of its size or larger.
-
-    Linked sets of sizes m <= n share at least percent of n, and (m + n) * percent / (100 + percent);
-    so one of all but that many of the first shingles of each, in any order common to both.
+    Pairs are tested by signature first, best first on the full sets; those that earlier
+    links have joined are not tested again.
     """
-    n = len(hashes)
-    order = hashes[np.lexsort((hashes, counts[_bucket(hashes)]))]
-    return order[: n - -(-percent * n // 100) + 1], n - -(-2 * percent * n // (100 + percent)) + 1
-
-
-def _rarest_of(counts: np.ndarray):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.frombuffer(x.as_py(), dtype="<u8") for x in batch.column("hashes")]
-            found = [rarest(x, counts) for x in sets]
-            many = [len(x) for x, _ in found]
-            at = pa.array(np.repeat(np.arange(len(sets)), many))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([x for x, _ in found]).view("<i8") if found else np.zeros(0, "<i8")),
-                    batch.column("node").take(at),
-                    pa.array(np.repeat([len(x) for x in sets], many).astype(np.int64)),
-                    pa.array(np.concatenate([np.arange(len(x)) < k for x, k in found]) if found else np.zeros(0, bool)),
-                ],
-                names=["shingle", "node", "n", "near"],
-            )
-
-    return rows
+    sigs = np.frombuffer(b"".join(rows["sig"]), dtype="<u2").reshape(-1, HASHES)
+    sets = [np.frombuffer(x, dtype="<u8") for x in rows["hashes"]]
+    sizes, names = np.array([len(s) for s in sets]), rows["fp"].tolist()
+    comps = np.unique(rows["comp"].to_numpy(dtype=object), return_inverse=True)[1]
+    blocks, across = rows["block"].to_numpy(), bool(rows["low"].iloc[0] != rows["high"].iloc[0])
+    root = list(range(int(comps.max()) + 1))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    found = []
+    for i in range(len(names) - 1):
+        other = np.arange(i + 1, len(names))
+        keep = comps[other] != comps[i]
+        if across:
+            keep &= blocks[other] != blocks[i]
+        n = sizes[other]
+        keep &= 100 * np.minimum(n, sizes[i]) >= PERCENT * np.maximum(n, sizes[i])
+        other = other[keep]
+        if not len(other):
+            continue
+        left = other[surviving(np.broadcast_to(sigs[i], (len(other), HASHES)), sigs[other])]
+        for j in left[np.argsort(-(sigs[left] == sigs[i]).sum(axis=1), kind="stable")]:
+            a, b = find(comps[i]), find(comps[j])
+            if a != b and linked(sets[i], sets[j]):
+                root[a] = b
+                found.append((names[i], names[j]))
+    return found
+
+
+def _link_blocks(rows: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame(_link_block(rows), columns=["a", "b"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -200,12 +197,12 @@ def _bands(nodes: DataFrame) -> DataFrame:
     keys = F.expr(
         f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(sig, b * {2 * ROWS} + 1, {2 * ROWS})))"
     )
-    return nodes.select("node", F.explode(keys).alias("bucket"))
+    return nodes.select("fp", F.explode(keys).alias("bucket"))
 
 
 def _with(pairs: DataFrame, table: DataFrame, column: str, sides: str = "ab") -> DataFrame:
     for side in sides:
-        right = table.select(F.col("node").alias(side), F.col(column).alias(f"{side}_{column}"))
+        right = table.select(F.col("fp").alias(side), F.col(column).alias(f"{side}_{column}"))
         pairs = pairs.join(right, side)
     return pairs
 
@@ -215,60 +212,46 @@ def _star_pairs(nodes: DataFrame) -> DataFrame:
     bands = _bands(nodes)
     shared = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = stage(bands.join(shared, "bucket"), "near-buckets")
-    meets = members.groupBy("node").agg(F.sum("size").alias("meets"))
-    # By how many a member meets; which of equal ones is the centre does not matter.
-    order = F.shiftleft("meets", 16) + F.pmod(F.xxhash64("node"), F.lit(1 << 16))
-    centres = members.join(meets, "node").groupBy("bucket").agg(F.max_by("node", order).alias("b"))
-    return members.join(centres, "bucket").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-
-
-def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """The linked ones of some pairs: pruned by signatures, then tested on the full sets."""
-    likely = _with(pairs, nodes, "sig").mapInArrow(_prune, "a long, b long")
-    return stage(_with(likely, sets, "hashes").mapInArrow(_verify, "a long, b long"), "near-links")
-
-
-def _of_components(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` with the component of each node; one without links is its own."""
-    comps = components(links).withColumnRenamed("node", "_linked")
-    return rows.join(comps, F.col("node") == F.col("_linked"), "left").withColumn("comp", F.coalesce("comp", "node")).drop("_linked")
+    meets = members.groupBy("fp").agg(F.sum("size").alias("meets"))
+    centres = (
+        members.join(meets, "fp")
+        .groupBy("bucket")
+        .agg(F.max(F.struct("meets", "fp")).alias("c"))
+        .select("bucket", F.col("c.fp").alias("b"))
+    )
+    return members.join(centres, "bucket").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
 
 
 def _links_of_rest(stars: DataFrame, links: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links that centres do not show: between members of one centre in different components.
-
-    Sets meet at a shingle: the smaller one has it among the few that are enough for larger
-    sets, the larger one among all of its rarest. First each shingle links its sets to the
-    smallest of them; then only pairs in different components are left to test.
-    """
-    members = _of_components(stars.select(F.col("a").alias("node"), F.col("b").alias("centre")), links)
-    members = stage(members, "near-members")
-    open_ = members.groupBy("centre").agg(F.min("comp").alias("first"), F.max("comp").alias("last")).where("first <> last")
-    some = stage(members.join(open_.select("centre"), "centre").select("node").distinct(), "near-open")
-    some = stage(some.join(sets, "node"), "near-open-sets")
-    counts = np.zeros(COUNTED, dtype=np.int64)
-    # One row per bucket at most.
-    for row in some.select("hashes").mapInArrow(_shingle_counts, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
-        counts[row.at] = row.n
-    rare = stage(some.mapInArrow(_rarest_of(counts), "shingle long, node long, n long, near boolean"), "near-rarest")
-
-    # Sizes order the members of a shingle; the number in the low bits makes the order whole.
-    least = F.min(F.when(F.col("near"), F.shiftleft("n", 34) + F.pmod(F.xxhash64("node"), F.lit(1 << 34)))).alias("least")
-    own = F.shiftleft("n", 34) + F.pmod(F.xxhash64("node"), F.lit(1 << 34))
-    smallest = rare.groupBy("shingle").agg(least).where("least is not null")
-    centres = rare.where("near").withColumn("least", own).join(smallest, ["shingle", "least"])
-    centres = centres.select("shingle", F.col("node").alias("b"), F.col("n").alias("b_n"))
-    near = F.expr(f"100 * least(n, b_n) >= {PERCENT} * greatest(n, b_n)")
-    pairs = rare.join(centres, "shingle").where((F.col("node") != F.col("b")) & near)
-    more = _verified(stage(pairs.select(F.col("node").alias("a"), "b").distinct(), "near-pairs"), nodes, sets)
-    links = stage(links.union(more), "near-links")
-
-    rare = stage(_of_components(rare, links), "near-rarest")
-    left = rare.where("near").select("shingle", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("comp").alias("a_comp"))
-    right = rare.select("shingle", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("comp").alias("b_comp"))
-    apart = F.expr(f"a_comp <> b_comp and 100 * a_n >= {PERCENT} * b_n and (a_n < b_n or (a_n = b_n and a < b))")
-    last = _verified(stage(left.join(right, "shingle").where(apart).select("a", "b").distinct(), "near-pairs"), nodes, sets)
-    return more.union(last)
+    """Links that centres do not show: between members of one centre in different components."""
+    comps = components(links)
+    members = stars.join(comps, F.col("a") == F.col("node"), "left").select(
+        F.col("b").alias("centre"), F.col("a").alias("fp"), F.coalesce("comp", "a").alias("comp")
+    )
+    members = stage(members.join(nodes.select("fp", "n"), "fp"), "near-members")
+    open_ = (
+        members.groupBy("centre")
+        .agg(
+            F.min("comp").alias("first"),
+            F.max("comp").alias("last"),
+            F.greatest(
+                F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_HASHES), F.lit(1)
+            ).alias("blocks"),
+        )
+        .where("first <> last")
+        .select("centre", "blocks")
+    )
+    rows = (
+        members.join(open_, "centre")
+        .withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "centre", "fp", "comp", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+        )
+        .join(nodes.select("fp", "sig"), "fp")
+        .join(sets, "fp")
+    )
+    return rows.groupBy("centre", "low", "high").applyInPandas(_link_blocks, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -284,30 +267,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     slim = with_package(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = Stage(slim.mapInArrow(_sets, "doc_id long, n long, fp binary, sig binary"), "near-signatures")
     full = signed.df.where("n > 0")
-    # From here on a node is a number: groupings and joins by it need no sorting of fingerprints.
     nodes = stage(
-        full.groupBy("fp")
-        .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-        .withColumn("node", F.monotonically_increasing_id()),
+        full.groupBy("fp").agg(
+            F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sig").alias("sig")
+        ),
         "near-nodes",
     )
     rows = stage(signed.df.select("doc_id", "n", "fp"), "near-rows")
     signed.drop()
 
     stars = stage(_star_pairs(nodes), "near-stars")
-    wanted = stars.select("a").union(stars.select("b")).distinct().withColumnRenamed("a", "node")
-    wanted = wanted.join(nodes.select("node", "fp", "first_id"), "node")
+    wanted = stars.select("a").union(stars.select("b")).distinct().withColumnRenamed("a", "fp")
+    wanted = wanted.join(nodes.select("fp", "first_id"), "fp")
     sets = stage(
         slim.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id")))
-        .select("node", "fp", "text")
-        .mapInArrow(_full_sets, "node long, hashes binary")
-        .dropDuplicates(["node"]),
+        .select("fp", "text")
+        .mapInArrow(_full_sets, "fp binary, hashes binary")
+        .dropDuplicates(["fp"]),
         "near-sets",
     )
-    links = _verified(stars, nodes, sets)
+    likely = _with(stars, nodes, "sig").mapInArrow(_prune, "a binary, b binary")
+    links = stage(_with(likely, sets, "hashes").mapInArrow(_verify, "a binary, b binary"), "near-links")
     links = stage(links.union(_links_of_rest(stars, links, nodes, sets)), "near-links")
 
-    grouped = nodes.select("node", "fp", "first_id", "copies").join(components(links), "node", "left")
+    comps = components(links).withColumnRenamed("node", "fp")
+    grouped = nodes.select("fp", "first_id", "copies").join(comps, "fp", "left")
     smallest = grouped.where("comp is not null").groupBy("comp").agg(F.min("first_id").alias("least_id"))
     groups = stage(
         grouped.join(smallest, "comp", "left").select(
