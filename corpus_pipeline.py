@@ -62,8 +62,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages; each one's rows are written to the shared folder and read again by the next."""
-    docs = documents(spark, sf_dir)
+    """All stages; each one's rows are written to the shared folder, read again by the next and then deleted."""
+    docs, last = documents(spark, sf_dir), None
     for name, stage in STAGES:
-        docs = Stage(stage(spark, docs, sf_dir), f"pipeline-{name}").df
+        done = Stage(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if last:
+            last.drop()
+        docs, last = done.df, done
     return docs

@@ -30,6 +30,10 @@ HASHES = BANDS * ROWS
 BATCH, MISS = 32, 1e-6
 #: Most members and hashes of a block of members that are compared with each other.
 BLOCK_ROWS, BLOCK_HASHES = 2048, 2_000_000
+#: Bits for each wanted id in the bitmaps that choose the texts to be shuffled, and most bits of them: 8 MB.
+ID_BITS, MOST_BITS = 16, 1 << 26
+#: Bits of one bitmap of Spark's bitmap functions.
+BITMAP = 1 << 15
 
 _rng = np.random.default_rng(20240229)
 _FACTOR = (_rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -165,16 +169,17 @@ def _link_blocks(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(_link_block(rows), columns=["a", "b"])
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame) -> Stage:
     """``node``, ``comp``: the smallest node that links (a, b) reach, for every linked node.
 
     Each round takes the smallest label of the neighbours and then the label of that label.
     """
-    both = stage(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("comp")), "labels")
+    both = Stage(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
+    last = Stage(both.df.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("comp")), "labels")
     while True:
+        labels = last.df.select("node", "comp")
         near = (
-            both.join(labels, F.col("b") == F.col("node"))
+            both.df.join(labels, F.col("b") == F.col("node"))
             .groupBy("a")
             .agg(F.min("comp").alias("near"))
         )
@@ -182,15 +187,17 @@ def components(links: DataFrame) -> DataFrame:
             "node", "comp", F.least("comp", "near").alias("low")
         )
         jump = labels.select(F.col("node").alias("via"), F.col("comp").alias("far"))
-        after = stage(
+        after = Stage(
             lower.join(jump, F.col("low") == F.col("via"), "left").select(
                 "node", F.least("low", F.coalesce("far", "low")).alias("comp"), F.col("comp").alias("was")
             ),
             "labels",
         )
-        labels = after.select("node", "comp")
-        if after.where("comp <> was").isEmpty():
-            return labels
+        last.drop()
+        last = after
+        if after.df.where("comp <> was").isEmpty():
+            both.drop()
+            return last
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
@@ -207,11 +214,12 @@ def _with(pairs: DataFrame, table: DataFrame, column: str, sides: str = "ab") ->
     return pairs
 
 
-def _star_pairs(nodes: DataFrame) -> DataFrame:
+def _star_pairs(nodes: DataFrame) -> Stage:
     """(a, b): member and centre of every bucket that at least two nodes share."""
     bands = _bands(nodes)
     shared = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = stage(bands.join(shared, "bucket"), "near-buckets")
+    buckets = Stage(bands.join(shared, "bucket"), "near-buckets")
+    members = buckets.df
     meets = members.groupBy("fp").agg(F.sum("size").alias("meets"))
     centres = (
         members.join(meets, "fp")
@@ -219,16 +227,45 @@ def _star_pairs(nodes: DataFrame) -> DataFrame:
         .agg(F.max(F.struct("meets", "fp")).alias("c"))
         .select("bucket", F.col("c.fp").alias("b"))
     )
-    return members.join(centres, "bucket").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
+    pairs = members.join(centres, "bucket").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
+    stars = Stage(pairs, "near-stars")
+    buckets.drop()
+    return stars
 
 
-def _links_of_rest(stars: DataFrame, links: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+def _may_hold(docs: DataFrame, wanted: DataFrame, column: str, wanted_column: str) -> DataFrame:
+    """The rows of ``docs`` whose value may be one of ``wanted``, a written table; few others, and none it holds is lost.
+
+    The hashes of the wanted values are bits of bitmaps, ID_BITS a value, MOST_BITS at most. A
+    hash that two values share lets the other pass too, so an exact join has to follow.
+    """
+    bits = BITMAP * min(-(-ID_BITS * max(wanted.count(), 1) // BITMAP), MOST_BITS // BITMAP)
+
+    def place(name: str):
+        return F.pmod(F.xxhash64(name), F.lit(bits)) + 1
+
+    number, at, bitmap = fresh(docs, "_bitmap", "_at", "_bits")
+    bitmaps = (
+        wanted.select(place(wanted_column).alias("at"))
+        .groupBy(F.bitmap_bucket_number("at").alias(number))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias(bitmap))
+    )
+    placed = docs.withColumn(at, place(column))
+    placed = placed.withColumns({number: F.bitmap_bucket_number(at), at: F.bitmap_bit_position(at)})
+    byte = F.expr(f"cast(conv(hex(substring(`{bitmap}`, cast(`{at}` div 8 + 1 as int), 1)), 16, 10) as long)")
+    held = placed.join(F.broadcast(bitmaps), number).where(F.getbit(byte, (F.col(at) % 8).cast("int")) == 1)
+    return held.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _links_of_rest(stars: DataFrame, links: DataFrame, met: DataFrame, sets: DataFrame) -> Stage:
     """Links that centres do not show: between members of one centre in different components."""
     comps = components(links)
-    members = stars.join(comps, F.col("a") == F.col("node"), "left").select(
+    members = stars.join(comps.df, F.col("a") == F.col("node"), "left").select(
         F.col("b").alias("centre"), F.col("a").alias("fp"), F.coalesce("comp", "a").alias("comp")
     )
-    members = stage(members.join(nodes.select("fp", "n"), "fp"), "near-members")
+    written = Stage(members.join(met.select("fp", "n"), "fp"), "near-members")
+    members = written.df
+    comps.drop()
     open_ = (
         members.groupBy("centre")
         .agg(
@@ -248,57 +285,63 @@ def _links_of_rest(stars: DataFrame, links: DataFrame, nodes: DataFrame, sets: D
         .select(
             "centre", "fp", "comp", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
         )
-        .join(nodes.select("fp", "sig"), "fp")
+        .join(met.select("fp", "sig"), "fp")
         .join(sets, "fp")
     )
-    return rows.groupBy("centre", "low", "high").applyInPandas(_link_blocks, "a binary, b binary")
+    found = Stage(rows.groupBy("centre", "low", "high").applyInPandas(_link_blocks, "a binary, b binary"), "near-links")
+    written.drop()
+    return found
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+def _groups(docs: DataFrame, id_col: str, text_col: str) -> tuple[Stage, Stage]:
+    """All rows (doc_id, n, fp), and the nodes (fp, copies, component_id).
 
-    Two texts are linked when 100 * intersection >= 85 * union of their sets of five-word
-    shingles (A-Z in lower case, fewer words are one shingle). ``component_id`` is the
-    smallest id that links reach, ``kept`` marks the row of that id. A text without words or
-    a null text has an empty set and no links, like a row of its own; a null id is never the
-    smallest but among null ids. Rows of one text stay together whatever their ids; an empty
-    table gives an empty result; other columns are not read.
+    Every other table that is written on the way is deleted as soon as no later step reads it.
     """
     slim = with_package(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = Stage(slim.mapInArrow(_sets, "doc_id long, n long, fp binary, sig binary"), "near-signatures")
     full = signed.df.where("n > 0")
-    nodes = stage(
+    nodes = Stage(
         full.groupBy("fp").agg(
             F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sig").alias("sig")
         ),
         "near-nodes",
     )
-    rows = stage(signed.df.select("doc_id", "n", "fp"), "near-rows")
+    rows = Stage(signed.df.select("doc_id", "n", "fp"), "near-rows")
     signed.drop()
 
-    stars = stage(_star_pairs(nodes), "near-stars")
-    wanted = stars.select("a").union(stars.select("b")).distinct().withColumnRenamed("a", "fp")
-    wanted = wanted.join(nodes.select("fp", "first_id"), "fp")
-    sets = stage(
-        slim.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id")))
+    stars = _star_pairs(nodes.df)
+    ends = stars.df.select("a").union(stars.df.select("b")).distinct().withColumnRenamed("a", "fp")
+    met = Stage(ends.join(nodes.df.select("fp", "first_id", "n", "sig"), "fp"), "near-met")
+    sets = Stage(
+        _may_hold(slim, met.df, "doc_id", "first_id")
+        .join(met.df.select("fp", "first_id"), F.col("doc_id").eqNullSafe(F.col("first_id")))
         .select("fp", "text")
         .mapInArrow(_full_sets, "fp binary, hashes binary")
         .dropDuplicates(["fp"]),
         "near-sets",
     )
-    likely = _with(stars, nodes, "sig").mapInArrow(_prune, "a binary, b binary")
-    links = stage(_with(likely, sets, "hashes").mapInArrow(_verify, "a binary, b binary"), "near-links")
-    links = stage(links.union(_links_of_rest(stars, links, nodes, sets)), "near-links")
-
-    comps = components(links).withColumnRenamed("node", "fp")
-    grouped = nodes.select("fp", "first_id", "copies").join(comps, "fp", "left")
+    likely = _with(stars.df, met.df, "sig").mapInArrow(_prune, "a binary, b binary")
+    links = Stage(_with(likely, sets.df, "hashes").mapInArrow(_verify, "a binary, b binary"), "near-links")
+    rest = _links_of_rest(stars.df, links.df, met.df, sets.df)
+    for done in (sets, stars, met):
+        done.drop()
+
+    comps = components(links.df.union(rest.df))
+    grouped = nodes.df.select("fp", "first_id", "copies").join(comps.df.withColumnRenamed("node", "fp"), "fp", "left")
     smallest = grouped.where("comp is not null").groupBy("comp").agg(F.min("first_id").alias("least_id"))
-    groups = stage(
+    groups = Stage(
         grouped.join(smallest, "comp", "left").select(
             "fp", "copies", F.coalesce("least_id", "first_id").alias("component_id")
         ),
         "near-groups",
     )
+    for done in (links, rest, comps, nodes):
+        done.drop()
+    return rows, groups
+
+
+def _found(rows: DataFrame, groups: DataFrame) -> DataFrame:
     found = attach(rows.where("n > 0"), groups, ["fp"], "copies").select("doc_id", "n", "component_id")
     alone = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return found.unionByName(alone).select(
@@ -309,12 +352,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+
+    Two texts are linked when 100 * intersection >= 85 * union of their sets of five-word
+    shingles (A-Z in lower case, fewer words are one shingle). ``component_id`` is the
+    smallest id that links reach, ``kept`` marks the row of that id. A text without words or
+    a null text has an empty set and no links, like a row of its own; a null id is never the
+    smallest but among null ids. Rows of one text stay together whatever their ids; an empty
+    table gives an empty result; other columns are not read.
+    """
+    rows, groups = _groups(docs, id_col, text_col)
+    return _found(rows.df, groups.df)
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns.
 
     Of a group the rows with its smallest id stay: one, where ids are unique.
     """
-    kept = stage(near_duplicates(docs, id_col, text_col).where("kept").select("doc_id"), "near-kept").distinct()
+    rows, groups = _groups(docs, id_col, text_col)
+    kept = stage(_found(rows.df, groups.df).where("kept").select("doc_id"), "near-kept").distinct()
+    rows.drop()
+    groups.drop()
     (key,) = fresh(docs, "_kept_id")
     kept = kept.withColumnRenamed("doc_id", key)
     return docs.join(kept, docs[id_col].eqNullSafe(kept[key]), "left_semi")

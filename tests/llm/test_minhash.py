@@ -1,9 +1,13 @@
 """Near-duplicates against all pairs."""
 
+from pathlib import Path
+
 import numpy as np
+from pyspark.sql import functions as F
 
 from loglark.llm import minhash
 from loglark.llm.shingles import fingerprint, shingles
+from loglark.session import shared_folder
 from tests.llm.conftest import DOCS, sentence
 
 
@@ -88,3 +92,26 @@ def test_pruning_keeps_pairs_at_the_threshold():
     for similarity, least, most in ((0.85, 0.9999, 1.0), (0.5, 0.0, 0.001)):
         b = np.where(rng.random(a.shape) < similarity, a, a ^ 1)
         assert least <= len(minhash.surviving(a, b)) / len(a) <= most
+
+
+def test_only_kept_ids_stay_written(spark, rng):
+    """What the stage wrote on the way used to lie beside every later stage of the pipeline."""
+    rows = near_copies(rng)
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    shared = Path(shared_folder(spark))
+    before = set(shared.iterdir())
+    kept = {r.doc_id for r in minhash.drop_near_duplicates(docs).collect()}
+    assert kept == {i for i, (_, least) in brute(rows).items() if i == least}
+    assert [p.name.rpartition("-")[0] for p in set(shared.iterdir()) - before] == ["near-kept"]
+
+
+def test_bitmaps_lose_no_wanted_row(spark, monkeypatch):
+    docs = spark.range(-5_000, 45_000).selectExpr("id as doc_id", "'x' as text", "'x' as _at")
+    docs = docs.unionByName(docs.limit(1).withColumn("doc_id", F.lit(None).cast("long")))
+    wanted = docs.where("doc_id % 10 = 0 or doc_id is null").select(F.col("doc_id").alias("first_id"))
+    for most, limit in ((minhash.MOST_BITS, 10_000), (minhash.BITMAP, 20_000)):
+        monkeypatch.setattr(minhash, "MOST_BITS", most)
+        passed = minhash._may_hold(docs, wanted, "doc_id", "first_id")
+        assert passed.columns == docs.columns
+        assert passed.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id"))).count() == wanted.count()
+        assert passed.count() < limit

@@ -1,7 +1,10 @@
 """The pipeline: columns of every stage, and the packed pieces against the mixed documents."""
 
+from pathlib import Path
+
 import corpus_pipeline
 from loglark.llm.packing import encode
+from loglark.session import shared_folder
 
 DATA = "/root/testdata/sf0.001"
 
@@ -37,3 +40,11 @@ def test_odd_rows_and_an_empty_table_through_all_stages(spark, odd, empty):
         assert len({r.text.encode().translate(lower) for r in kept}) == len({(r.doc_id, r.text) for r in kept})
         pieces = corpus_pipeline.STAGES[-1][1](spark, docs, DATA).collect()
         assert sum(p.length for p in pieces) == sum(len(encode(r.text)) for r in kept)
+
+
+def test_stage_outputs_go_when_the_next_is_written(spark):
+    shared = Path(shared_folder(spark))
+    before = set(shared.iterdir())
+    assert corpus_pipeline.run(spark, DATA).count() > 0
+    left = set(shared.iterdir()) - before
+    assert [p.name.split("-")[1] for p in left if p.name.startswith("pipeline-")] == ["packing"]
