@@ -233,16 +233,16 @@ def _star_pairs(nodes: DataFrame) -> Stage:
     return stars
 
 
-def _may_hold(docs: DataFrame, wanted: DataFrame, column: str, wanted_column: str) -> DataFrame:
-    """The rows of ``docs`` whose value may be one of ``wanted``, a written table; few others, and none it holds is lost.
+def _likely(docs: DataFrame, wanted: DataFrame, column: str, wanted_column: str, mark: str) -> DataFrame:
+    """``docs`` with ``mark``: false only where ``wanted``, a written table, surely has no such value.
 
     The hashes of the wanted values are bits of bitmaps, ID_BITS a value, MOST_BITS at most. A
-    hash that two values share lets the other pass too, so an exact join has to follow.
+    hash that two values share marks the other too, so an exact join of the marked rows has to follow.
     """
     bits = BITMAP * min(-(-ID_BITS * max(wanted.count(), 1) // BITMAP), MOST_BITS // BITMAP)
 
     def place(name: str):
-        return F.pmod(F.xxhash64(name), F.lit(bits)) + 1
+        return F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(bits)) + 1
 
     number, at, bitmap = fresh(docs, "_bitmap", "_at", "_bits")
     bitmaps = (
@@ -253,8 +253,8 @@ def _may_hold(docs: DataFrame, wanted: DataFrame, column: str, wanted_column: st
     placed = docs.withColumn(at, place(column))
     placed = placed.withColumns({number: F.bitmap_bucket_number(at), at: F.bitmap_bit_position(at)})
     byte = F.expr(f"cast(conv(hex(substring(`{bitmap}`, cast(`{at}` div 8 + 1 as int), 1)), 16, 10) as long)")
-    held = placed.join(F.broadcast(bitmaps), number).where(F.getbit(byte, (F.col(at) % 8).cast("int")) == 1)
-    return held.select(*[F.col(f"`{c}`") for c in docs.columns])
+    held = F.coalesce(F.getbit(byte, (F.col(at) % 8).cast("int")) == 1, F.lit(False))
+    return placed.join(F.broadcast(bitmaps), number, "left").select(*[F.col(f"`{c}`") for c in docs.columns], held.alias(mark))
 
 
 def _links_of_rest(stars: DataFrame, links: DataFrame, met: DataFrame, sets: DataFrame) -> Stage:
@@ -314,7 +314,8 @@ def _groups(docs: DataFrame, id_col: str, text_col: str) -> tuple[Stage, Stage]:
     ends = stars.df.select("a").union(stars.df.select("b")).distinct().withColumnRenamed("a", "fp")
     met = Stage(ends.join(nodes.df.select("fp", "first_id", "n", "sig"), "fp"), "near-met")
     sets = Stage(
-        _may_hold(slim, met.df, "doc_id", "first_id")
+        _likely(slim, met.df, "doc_id", "first_id", "likely")
+        .where("likely")
         .join(met.df.select("fp", "first_id"), F.col("doc_id").eqNullSafe(F.col("first_id")))
         .select("fp", "text")
         .mapInArrow(_full_sets, "fp binary, hashes binary")
@@ -372,9 +373,14 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Of a group the rows with its smallest id stay: one, where ids are unique.
     """
     rows, groups = _groups(docs, id_col, text_col)
-    kept = stage(_found(rows.df, groups.df).where("kept").select("doc_id"), "near-kept").distinct()
+    key, mark = fresh(docs, "_gone_id", "_likely")
+    # An id that is kept for one of its texts stays with all its rows.
+    by_id = _found(rows.df, groups.df).groupBy(F.col("doc_id").alias(key)).agg(F.max("kept").alias("kept"))
+    gone = stage(by_id.where("not kept").select(key), "near-gone")
     rows.drop()
     groups.drop()
-    (key,) = fresh(docs, "_kept_id")
-    kept = kept.withColumnRenamed("doc_id", key)
-    return docs.join(kept, docs[id_col].eqNullSafe(kept[key]), "left_semi")
+    marked = _likely(docs, gone, id_col, key, mark)
+    # Few rows go, as a rule: only those that may are shuffled.
+    unsure = marked.where(F.col(mark))
+    left = unsure.join(gone, unsure[id_col].cast("long").eqNullSafe(gone[key]), "left_anti")
+    return marked.where(~F.col(mark)).unionByName(left).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -94,7 +94,7 @@ def test_pruning_keeps_pairs_at_the_threshold():
         assert least <= len(minhash.surviving(a, b)) / len(a) <= most
 
 
-def test_only_kept_ids_stay_written(spark, rng):
+def test_only_ids_that_go_stay_written(spark, rng):
     """What the stage wrote on the way used to lie beside every later stage of the pipeline."""
     rows = near_copies(rng)
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
@@ -102,7 +102,7 @@ def test_only_kept_ids_stay_written(spark, rng):
     before = set(shared.iterdir())
     kept = {r.doc_id for r in minhash.drop_near_duplicates(docs).collect()}
     assert kept == {i for i, (_, least) in brute(rows).items() if i == least}
-    assert [p.name.rpartition("-")[0] for p in set(shared.iterdir()) - before] == ["near-kept"]
+    assert [p.name.rpartition("-")[0] for p in set(shared.iterdir()) - before] == ["near-gone"]
 
 
 def test_bitmaps_lose_no_wanted_row(spark, monkeypatch):
@@ -111,7 +111,19 @@ def test_bitmaps_lose_no_wanted_row(spark, monkeypatch):
     wanted = docs.where("doc_id % 10 = 0 or doc_id is null").select(F.col("doc_id").alias("first_id"))
     for most, limit in ((minhash.MOST_BITS, 10_000), (minhash.BITMAP, 20_000)):
         monkeypatch.setattr(minhash, "MOST_BITS", most)
-        passed = minhash._may_hold(docs, wanted, "doc_id", "first_id")
-        assert passed.columns == docs.columns
+        marked = minhash._likely(docs, wanted, "doc_id", "first_id", "likely")
+        assert marked.count() == docs.count() and marked.columns == [*docs.columns, "likely"]
+        passed = marked.where("likely")
         assert passed.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id"))).count() == wanted.count()
         assert passed.count() < limit
+
+
+def test_an_id_kept_for_one_text_stays_with_all(spark, rng):
+    """Rows go by id; only those that may go are shuffled, the others come from the scan."""
+    a, b = sentence(rng, 60), sentence(rng, 60)
+    rows = [(1, a), (2, a), (2, b), (3, b), (None, a), (None, "alone here"), (4, None), (5, "alone too")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    kept = minhash.drop_near_duplicates(docs)
+    assert {(r.doc_id, r.text) for r in kept.collect()} == set(rows) - {(3, b)} and kept.count() == 7
+    many = spark.range(40_000).selectExpr("id as doc_id", "concat('some text of number ', id div 2, ' and more words') as text", "'en' as lang")
+    assert {r.doc_id for r in minhash.drop_near_duplicates(many).select("doc_id").collect()} == set(range(0, 40_000, 2))
