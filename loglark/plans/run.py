@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from loglark.operators.traffic import (
     top_resource_hosts,
     top_resources,
 )
-from loglark.session import staging
+from loglark.session import folder_bytes, side_by_side, staging
 from loglark.sources.loads import load_aside, manifest
 from loglark.sources.tables import (
     read_aside,
@@ -42,6 +43,9 @@ QUERIES: dict[int, dict[str, Callable[..., DataFrame]]] = {
 }
 BY = ("batch_no",)
 
+#: Parsed bytes up to which a query of a small load is one task: shuffles would take longer than its rows.
+ONE_TASK_BYTES = 16 << 20
+
 
 RUN_COLUMNS = (
     "run_id",
@@ -94,6 +98,7 @@ def run_batches(
     load_id: int = 0,
     queries: str = "all",
     separately: Sequence[int] = (),
+    beside: bool = False,
 ) -> None:
     """Parse ``value, batch_no`` rows once, query them per batch, write results and metadata.
 
@@ -103,6 +108,10 @@ def run_batches(
     after the other, each as a load of its own from ``load_id`` on; that takes longer
     but times every query on every batch. A failing query raises and stores no time.
 
+    ``beside`` is for many small loads, whose time is that of starting jobs: the queries of a load
+    of at most ``ONE_TASK_BYTES`` run side by side, each in one task. The time of a query is then
+    that which it took beside the others.
+
     Repeating a load replaces it wholly, whatever queries it had, at the end and in one step: until
     then, and if it fails, readers see the old one. A load id that holds other batches is
     refused. A new load begins with the run's row, with runtime 0 until the load ends, so a
@@ -119,34 +128,52 @@ def run_batches(
         "total_record_count": F.lit(None),
         "execution_timestamp": F.current_timestamp(),
     }
-    for i, batch in enumerate(separately):
-        mine = lines.sparkSession.createDataFrame([(batch,)], "batch_no int")
-        refuse_other_batches(lines.sparkSession, root, run_id, load_id + i, mine)
-    if not separately:
-        refuse_other_batches(lines.sparkSession, root, run_id, load_id, lines)
     spark = lines.sparkSession
     ids = [load_id + i for i in range(max(1, len(separately)))]
-    held = {(e.run_id, e.load_id) for e in manifest(spark, root)}
-    if not held & {(run_id, i) for i in ids}:
+    held = {e.load_id for e in manifest(spark, root) if e.run_id == run_id} & set(ids)
+    for i in sorted(held):
+        mine = spark.createDataFrame([(separately[i - load_id],)], "batch_no int") if separately else lines
+        refuse_other_batches(spark, root, run_id, i, mine)
+    parsed_path = f"{root}/parsed/run={run_id}/load={load_id}"
+
+    def begin():
         with load_aside(spark, root, run_id, ids) as folder:
-            write_aside(spark.range(1).withColumns(began), folder, "run_metadata", run_id, load_id)
+            write_aside(_one_row(spark).withColumns(began), folder, "run_metadata", run_id, load_id)
 
-    with load_aside(spark, root, run_id, ids) as folder:
-        parsed_path = f"{root}/parsed/run={run_id}/load={load_id}"
+    def parse():
         write_parsed(parse_logs(lines.select("value", "batch_no")), parsed_path)
+
+    with load_aside(spark, root, run_id, ids) as folder:
+        side_by_side(spark, *([] if held else [begin]), parse)
         parsed, seen = read_parsed(spark, parsed_path), read_quality(spark, parsed_path)
+        one_task = beside and not separately and folder_bytes(spark, parsed_path) <= ONE_TASK_BYTES
+        run = side_by_side if one_task else _in_turn
+        if one_task:
+            parsed, seen = parsed.coalesce(1), seen.coalesce(1)
         if separately:
             for i, batch in zip(ids, separately, strict=True):
                 mine = F.col("batch_no") == batch
-                _load(parsed.where(mine), seen.where(mine), folder, run_id, i, chosen, batch)
-            seen = seen.where(F.col("batch_no").isin(*separately))
+                run(spark, *_load(parsed.where(mine), seen.where(mine), folder, run_id, i, chosen, batch)[1])
+            size = dataset_stats(seen.where(F.col("batch_no").isin(*separately))).first().avg_batch_size
+            notes = []
         else:
-            _load(parsed, seen, folder, run_id, load_id, chosen)
+            size, notes = _load(parsed, seen, folder, run_id, load_id, chosen, one_task=one_task)
+
+        def end():
+            spent = {"avg_batch_size": F.lit(size), "total_runtime": F.lit(time.monotonic() - start)}
+            write_aside(_one_row(spark).withColumns({**began, **spent}), folder, "run_metadata", run_id, load_id)
 
-        spent = {**began, "total_runtime": F.lit(time.monotonic() - start)}
-        del spent["avg_batch_size"]
-        ended = dataset_stats(seen).select("avg_batch_size").withColumns(spent)
-        write_aside(ended, folder, "run_metadata", run_id, load_id)
+        run(spark, *notes, end)
+
+
+def _one_row(spark: SparkSession) -> DataFrame:
+    # Constants beside it are folded into its values. Beside a range they would stand in generated
+    # code, which is then compiled anew for every load.
+    return spark.sql("SELECT * FROM VALUES (0) AS one(id)")
+
+
+def _in_turn(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    return [job() for job in jobs]
 
 
 def _load(
@@ -157,34 +184,57 @@ def _load(
     load_id: int,
     chosen: Sequence[int],
     batch: int | None = None,
-) -> None:
-    if batch is None:  # a load of one batch times that batch
-        first = seen.select("batch_no").distinct().limit(2).collect()
-        batch = first[0].batch_no if len(first) == 1 else None
-    timings = []
-    for q in chosen:
-        start = time.monotonic()
-        for name, query in QUERIES[q].items():
-            if query is top_resources:  # its rows sum the host rows just written
-                hosts = read_aside(parsed.sparkSession, folder, "top_resource_hosts", load_id)
-                results = resource_totals(hosts, BY)
-            else:
-                results = query(parsed, by=BY)
-            write_aside(results, folder, name, run_id, load_id)
-        timings.append((batch, q, (time.monotonic() - start) * 1000))
-
-    spent = sum(ms for _, _, ms in timings) / 1000 if batch is not None else None
-    batches = count_quality(seen).select(
-        "batch_no",
-        F.col("total_records").alias("record_count"),
-        F.col("malformed_records").alias("malformed_record_count"),
-        F.lit(spent).alias("batch_runtime"),
-    )
-    write_aside(batches, folder, "batch_metadata", run_id, load_id)
-    times = parsed.sparkSession.createDataFrame(
-        timings, "batch_no int, query_number int, query_runtime double"
-    )
-    write_aside(times, folder, "query_metadata", run_id, load_id)
+    one_task: bool = False,
+) -> tuple[float | None, list[Callable[[], None]]]:
+    """Write the results of a load.
+
+    Gives its mean batch size, unless it is told which ``batch`` it is, and the jobs that write its
+    batches and times, which are left to do.
+    """
+    spark, run = parsed.sparkSession, side_by_side if one_task else _in_turn
+
+    def sizes():  # a load of one batch times that batch
+        stats = dataset_stats(seen).first()
+        return stats.avg_batch_size, seen.first().batch_no if stats.total_batches == 1 else None
+
+    queries = [partial(_query, parsed, folder, run_id, load_id, q, one_task) for q in chosen]
+    if batch is None:
+        (size, batch), *spent = run(spark, sizes, *queries)
+    else:
+        size, spent = None, run(spark, *queries)
+
+    def write_batch_rows():
+        batches = count_quality(seen).select(
+            "batch_no",
+            F.col("total_records").alias("record_count"),
+            F.col("malformed_records").alias("malformed_record_count"),
+            F.lit(sum(spent) / 1000 if batch is not None else None).alias("batch_runtime"),
+        )
+        write_aside(batches, folder, "batch_metadata", run_id, load_id)
+
+    def write_times():
+        rows = [F.struct(F.lit(batch), F.lit(q), F.lit(ms)) for q, ms in zip(chosen, spent, strict=True)]
+        times = _one_row(spark).select(F.inline(F.array(*rows)))
+        write_aside(times.toDF("batch_no", "query_number", "query_runtime"), folder, "query_metadata", run_id, load_id)
+
+    return size, [write_batch_rows, write_times]
+
+
+def _query(parsed: DataFrame, folder: str, run_id: int, load_id: int, number: int, one_task: bool) -> float:
+    """Write the tables of a query; the milliseconds that took."""
+    start = time.monotonic()
+
+    def write(name, query):
+        if query is top_resources and not one_task:  # its rows sum the host rows just written
+            hosts = read_aside(parsed.sparkSession, folder, "top_resource_hosts", load_id)
+            results = resource_totals(hosts, BY)
+        else:
+            results = query(parsed, by=BY)
+        write_aside(results, folder, name, run_id, load_id)
+
+    run = side_by_side if one_task else _in_turn
+    run(parsed.sparkSession, *[partial(write, name, query) for name, query in QUERIES[number].items()])
+    return (time.monotonic() - start) * 1000
 
 
 def read_runs(spark: SparkSession, root: str) -> DataFrame:

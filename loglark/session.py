@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -57,6 +59,25 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """The size of all files below a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
+def side_by_side(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Run jobs that do not need each other at the same time; what they return, in their order.
+
+    All have ended when this returns or raises the error of the first that failed.
+    """
+    inherit = inheritable_thread_target(spark)
+    if inherit is spark:  # threads of Python and Java are not paired, so there is nothing to hand on
+        inherit = lambda job: job
+    with ThreadPoolExecutor(max(1, len(jobs))) as threads:
+        running = [threads.submit(inherit(copy_context().run), job) for job in jobs]
+    return [job.result() for job in running]
+
+
 _staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 

@@ -9,6 +9,8 @@ partitions: a large dataset has millions.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,37 +56,47 @@ def read_quality(spark: SparkSession, path: str) -> DataFrame:
 
 def to_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` in the column types of result table ``name``; raw date text becomes a date."""
-    if dict(df.dtypes).get("log_date") == "string":
-        df = df.withColumn("log_date", to_log_date(F.col("log_date")))
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name]])
+    return _typed(df, TABLES[name])
 
 
-def write_results(df: DataFrame, root: str, name: str, run_id: int, load_id: int) -> None:
-    """Write one load of a run to a result or bookkeeping table of its own, not under a manifest."""
-    _write(df, f"{root}/{name}", name, run_id, load_id)
+def _typed(df: DataFrame, fields: Iterable[T.StructField]) -> DataFrame:
+    dates = dict(df.dtypes).get("log_date") == "string"
+    cols = {f.name: to_log_date(F.col(f.name)) if dates and f.name == "log_date" else F.col(f.name) for f in fields}
+    return df.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in fields])
 
 
-def write_aside(df: DataFrame, folder: str, name: str, run_id: int, load_id: int) -> None:
-    """Write a table of a load to the folder of ``loads.load_aside``."""
-    _write(df, f"{folder}/table={name}", name, run_id, load_id)
+def partition(folder: str, name: str, run_id: int, load_id: int) -> str:
+    """Where the rows of a load are in the folder of ``loads.load_aside``."""
+    return f"{folder}/table={name}/run_id={run_id}/load_id={load_id}"
 
 
-def read_aside(spark: SparkSession, folder: str, name: str, load_id: int) -> DataFrame:
-    """A table of a load that is not committed yet."""
-    return spark.read.schema(TABLES[name]).parquet(f"{folder}/table={name}").where(F.col("load_id") == load_id)
-
-
-def _write(df: DataFrame, path: str, name: str, run_id: int, load_id: int) -> None:
+def write_results(df: DataFrame, root: str, name: str, run_id: int, load_id: int) -> None:
+    """Write one load of a run to a result or bookkeeping table of its own, not under a manifest."""
     tagged = df.withColumns({"run_id": F.lit(run_id), "load_id": F.lit(load_id)})
     (
         to_table(tagged, name)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id", "load_id")
-        .parquet(path)
+        .parquet(f"{root}/{name}")
     )
 
 
+def write_aside(df: DataFrame, folder: str, name: str, run_id: int, load_id: int) -> None:
+    """Write a table of a load to the folder of ``loads.load_aside``.
+
+    The rows go right into the one partition they can be in: nothing has to be sorted by
+    partition or moved at the end.
+    """
+    rows = _typed(df, [f for f in TABLES[name] if f.name not in ("run_id", "load_id")])
+    rows.write.mode("overwrite").parquet(partition(folder, name, run_id, load_id))
+
+
+def read_aside(spark: SparkSession, folder: str, name: str, load_id: int) -> DataFrame:
+    """A table of a load that is not committed yet."""
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/table={name}").where(F.col("load_id") == load_id)
+
+
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
     known = loads.manifest(spark, root)
     if not known:
@@ -115,8 +127,7 @@ def read_metadata(
     if known:
         # A folder can hold loads that were replaced since, so each load is named by its partition.
         wanted = [e for e in known if run_id is None or e.run_id == run_id]
-        places = [f"{e.folder}/table={name}/run_id={e.run_id}/load_id={e.load_id}" for e in wanted]
-        paths = [p for p in places if loads.exists(spark, p)]
+        paths = loads.existing(spark, root, [partition(e.folder, name, e.run_id, e.load_id) for e in wanted])
         if not paths:
             return spark.createDataFrame([], TABLES[name])
         rows = spark.read.schema(TABLES[name]).option("basePath", f"{root}/loads").parquet(*paths)

@@ -34,7 +34,8 @@ def stream_batches(
     Each batch is one file, so it is never split over triggers. The trigger number gives
     the load id: a trigger repeated after a failure replaces its own rows. A new checkpoint
     counts triggers from 0 again; for the same run give it a ``first_load`` above the old
-    loads. Many small batches go faster with more files per trigger.
+    loads. Many small batches go faster with more files per trigger. The queries of a small
+    trigger run side by side (``beside`` of ``run_batches``).
     """
     reader = (
         spark.readStream.option("pathGlobFilter", "*.txt")
@@ -44,7 +45,7 @@ def stream_batches(
     )
 
     def load(lines: DataFrame, epoch: int) -> None:
-        run_batches(lines, root, dataset, engine, run_id, first_load + epoch, queries)
+        run_batches(lines, root, dataset, engine, run_id, first_load + epoch, queries, beside=True)
 
     return (
         batch_columns(reader.text(folder))

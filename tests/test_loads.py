@@ -96,3 +96,25 @@ def test_versions_of_two_writers(spark, tmp_path, monkeypatch):
     assert loads.commit(spark, root, [b]) == 3
     assert loads.manifest(spark, root) == [a, loads.Entry(3, 0, "c"), b]
     assert loads.manifest(spark, root, 1) == [a]
+
+
+def test_a_look_at_the_manifest_is_as_many_calls_for_any_number_of_versions(spark, tmp_path, monkeypatch):
+    from py4j.clientserver import ClientServerConnection as Connection
+
+    sent, send = [], Connection.send_command
+    # Objects that Python gives up are told to Java at any time; those calls are not counted.
+    monkeypatch.setattr(
+        Connection, "send_command", lambda self, c, *a: (c.startswith("m\n") or sent.append(c), send(self, c, *a))[1]
+    )
+
+    def calls(root):
+        del sent[:]
+        loads.versions(spark, root)
+        return len(sent)
+
+    few, many = str(tmp_path / "few,v7.json"), str(tmp_path / "many")
+    for root, n in ((few, 2), (many, 30)):
+        for version in range(1, n + 1):
+            assert loads._put(spark, root, version, [])
+        assert loads.versions(spark, root) == list(range(1, n + 1))
+    assert calls(many) == calls(few) > 0

@@ -202,3 +202,31 @@ def test_a_failed_run_is_seen_as_unfinished(spark, tmp_path):
         runs.run_batches(broken, root, "d", "spark", run_id=4)
     run = runs.read_runs(spark, root).first()
     assert (run.run_id, run.total_runtime, run.total_record_count) == (4, 0.0, None)
+
+
+@pytest.mark.parametrize("most", [0, 16 << 20])
+def test_queries_beside_each_other(spark, tmp_path, monkeypatch, most):
+    """The results of a load are the same whether its queries are one task each or not."""
+    monkeypatch.setattr(runs, "ONE_TASK_BYTES", most)
+    root, lines = str(tmp_path), make_lines(spark)
+    no_host = F.when(F.col("value") != "junk", F.col("value")).otherwise(None)
+    lines = lines.withColumn("value", F.when(F.col("batch_no") == 3, no_host).otherwise(F.col("value")))
+    for _ in range(2):
+        runs.run_batches(lines, root, "logs_150", "mr", run_id=1, beside=True)
+    check_results(spark, root, lines)
+    run = runs.read_runs(spark, root).first()
+    assert (run.avg_batch_size, run.total_record_count, run.total_malformed_record_count) == (150.0, 600, 12)
+    times = tables.read_metadata(spark, root, "query_metadata", 1).collect()
+    assert sorted((r.batch_no, r.query_number) for r in times) == [(None, 1), (None, 2), (None, 3)]
+
+
+def test_a_query_that_fails_beside_others(spark, tmp_path, monkeypatch):
+    def broken(parsed, by=()):
+        return traffic.daily_traffic(parsed, by).withColumn("log_date", F.raise_error(F.lit("no")))
+
+    monkeypatch.setitem(runs.QUERIES, 1, {"daily_traffic": broken})
+    root = str(tmp_path)
+    with pytest.raises(Exception, match="no"):
+        runs.run_batches(make_lines(spark), root, "logs_150", "mr", run_id=1, beside=True)
+    assert tables.read_metadata(spark, root, "top_resources").isEmpty()
+    assert runs.read_runs(spark, root).first().total_runtime == 0

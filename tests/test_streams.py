@@ -120,3 +120,20 @@ def test_files_older_than_seen_ones_are_read(spark, tmp_path):
     os.utime(late, (1_000_000_000, 1_000_000_000))
     step()
     assert read_runs(spark, root).first().total_record_count == 2
+
+
+def test_a_trigger_starts_few_jobs(spark, tmp_path):
+    """A long stream is as slow as the jobs that each small trigger starts."""
+    source, root = tmp_path / "in", str(tmp_path / "out")
+    for b in range(1, 4):
+        put(source, f"b{b}_61.txt", [*hours_lines(b, b + 1), "junk"])
+    jobs = spark.sparkContext._jsc.sc().dagScheduler()
+    before = jobs.numTotalJobs()
+    query = streams.stream_batches(spark, str(source), root, "logs_61", "mr", 1)
+    query.awaitTermination()
+    assert len(query.recentProgress) == 3
+    assert jobs.numTotalJobs() - before <= 3 * 14
+    check_results(spark, root, read_batches(spark, str(source)))
+    times = tables.read_metadata(spark, root, "query_metadata", 1).collect()
+    assert sorted((r.batch_no, r.query_number) for r in times) == [(b, q) for b in (1, 2, 3) for q in (1, 2, 3)]
+    assert all(r.batch_runtime > 0 for r in tables.read_results(spark, root, "batch_metadata", 1).collect())
